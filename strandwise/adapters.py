@@ -119,6 +119,23 @@ then 4 else 6 end as int)) as qual, case when l_linenumber % 4 = 2 then concat(c
 when l_orderkey % 3 = 0 then 'A0' else '' end) end as md, l_orderkey % 3 = 0 as md_sub, len, case
 when l_linenumber % 4 = 1 then 3 else 0 end as clip from (select *, cast(l_quantity as bigint) as
 len from lineitem) t""",
+    "cover": """
+select sample, chrom as chromosome, start, stop, size, cast(floor(base / 50) as bigint) as reads_uni,
+cast(floor(base / 300) as bigint) as reads_dup, cast(base as bigint) as base_uni, cast(floor(base /
+6) as bigint) as base_dup, least(size, cast(floor(base / 20) as bigint)) as c1, least(size,
+cast(floor(base / 40) as bigint)) as c4, least(size, cast(floor(base / 80) as bigint)) as c10,
+least(size, cast(floor(base / 160) as bigint)) as c20, concat('G', cast(cast(floor(start / 100.0) as
+bigint) % 3 as string)) as gene, cast(floor(start / 100.0) as bigint) % 7 as n_size, gender from
+bins where not (chrom = 'chrY' and cast(substring(sample, 2) as int) % 2 = 1)""",
+    "fastp": """
+select concat('S', cast(o_custkey % 20 as string)) as sample, cast(sum(cast(floor(o_totalprice) as
+bigint)) as bigint) as total_reads, cast(sum(cast(floor(o_totalprice) as bigint)) * 100000 as bigint) as raw_bases,
+max(o_orderkey % 97) / cast(97 as double) as q20, max(o_orderkey % 89) / cast(97 as double) as q30
+from orders where o_custkey % 20 < 18 group by o_custkey % 20""",
+    "targets": """
+select concat('T_', chrom) as gene, chrom, lo - 1 as start_extend, hi - 200 as end_extend,
+cast(floor(lo + (hi - lo) / 3.0) as bigint) as start, cast(floor(lo + (hi - lo) / 2.0) as bigint) as
+stop from (select chrom, min(pos) as lo, max(pos) as hi from sites group by chrom) t""",
     "ref_chunks": """
 select case rec % 5 when 3 then 'chrX' when 4 then 'chrY' else concat('chr', cast(rec % 5 + 1 as
 string)) end as chrom, cast(floor(rec / 5.0) as bigint) as chunk, case when rec % 29 = 0 then
@@ -127,6 +144,68 @@ concat('NNN', substring(seq1, 4, 9)) else seq1 end as seq from fq""",
 
 # DuckDB only: brute-force expansions the oracles start from.
 ORACLE_VIEWS: dict[str, str] = {
+    "ok_call": """
+select *, ad0 + ad1 as dp, round_even(ad1 / cast(ad0 + ad1 as double), 3) as ratio from calls where
+filter <> 'LowQual' and gt <> './.' and ad0 + ad1 > 0""",
+    "fixed_call": """
+select *, case when gt = './.' then null when sample in ('Father', 'Mother', 'Proband') then case gt
+when '0/1' then case when ratio < 0.05 then '0/0' when ratio > 0.95 then '1/1' else gt end when
+'1/1' then case when ratio <= 0.95 then '0/1' else gt end else case when ratio >= 0.05 then '0/1'
+else gt end end else case when ratio > 0 and ratio < 1 then '0/1' else gt end end as gtc from
+ok_call""",
+    "fam": """
+select chrom, pos, ref, alt, var_type, site_id,
+max(dp) filter (where sample = 'Father') as f_dp, max(gtc) filter (where sample = 'Father') as f,
+max(dp) filter (where sample = 'Mother') as m_dp, max(gtc) filter (where sample = 'Mother') as m,
+max(dp) filter (where sample = 'Proband') as p_dp, max(gtc) filter (where sample = 'Proband') as p,
+max(dp) filter (where sample = 'Embryo1') as e1_dp, max(gtc) filter (where sample = 'Embryo1') as e1,
+max(dp) filter (where sample = 'Embryo2') as e2_dp, max(gtc) filter (where sample = 'Embryo2') as e2,
+max(dp) filter (where sample = 'Embryo3') as e3_dp, max(gtc) filter (where sample = 'Embryo3') as e3
+from fixed_call group by chrom, pos, ref, alt, var_type, site_id
+having count(*) filter (where sample in ('Father', 'Mother', 'Proband')) = 3""",
+    "rule": """
+select * from (values ('0/0', '0/1', '0/0', 'R', 'R', 'R', 'A'), ('0/0', '0/1', '0/1', 'R', 'R', 'A', 'R'),
+('0/1', '0/0', '0/0', 'R', 'A', 'R', 'R'), ('0/1', '0/0', '0/1', 'A', 'R', 'R', 'R'),
+('0/1', '1/1', '0/1', 'R', 'A', 'A', 'A'), ('0/1', '1/1', '1/1', 'A', 'R', 'A', 'A'),
+('1/1', '0/1', '0/1', 'A', 'A', 'R', 'A'), ('1/1', '0/1', '1/1', 'A', 'A', 'A', 'R'))
+as t(f, m, p, f1, f2, m1, m2)""",
+    "core": """
+select fam.*, case when f1 is null then 'no' else 'yes' end as if_,
+case f1 when 'R' then ref when 'A' then alt else '.' end as h_f1,
+case f2 when 'R' then ref when 'A' then alt else '.' end as h_f2,
+case m1 when 'R' then ref when 'A' then alt else '.' end as h_m1,
+case m2 when 'R' then ref when 'A' then alt else '.' end as h_m2,
+case when f1 is null then '.' when f1 <> f2 then case when f1 = m1 then 'F2' else 'F1' end
+else case when m1 = f1 then 'M2' else 'M1' end end as allele
+from fam left join rule on fam.f = rule.f and fam.m = rule.m and fam.p = rule.p""",
+    "hap": """
+select c.*, t.gene, case when if_ = 'no' then 'Fail' when least(f_dp, m_dp, p_dp) < 24 then
+'LowDepth' else 'Pass' end as if_filter, case when c.pos < t.start then 'upstream' when c.pos >
+t.stop then 'downstream' else 'internal' end as location, case allele when 'F1' then h_f1 when 'F2'
+then h_f2 when 'M1' then h_m1 when 'M2' then h_m2 end as own
+from core c join targets t on c.chrom = t.chrom and c.pos > t.start_extend and c.pos <= t.end_extend""",
+    "emb": """
+select gene, chrom, pos, site_id, location, if_filter, var_type, sample, case when if_ = 'no' or g is null then '.'
+when g in ('0/0', '1/1') and (case g when '0/0' then ref else alt end) <> own then '.' when d < 14
+then concat(allele, '-LowDepth') else allele end as hap from (
+select *, 'Embryo1' as sample, e1 as g, e1_dp as d from hap union all
+select *, 'Embryo2', e2, e2_dp from hap union all select *, 'Embryo3', e3, e3_dp from hap) t""",
+    "counted": """
+select gene, sample, count(*) filter (where hap = 'F1' and location = 'upstream') as "F1-U",
+count(*) filter (where hap = 'F1' and location = 'internal') as "F1-I",
+count(*) filter (where hap = 'F1' and location = 'downstream') as "F1-D",
+count(*) filter (where hap = 'F2' and location = 'upstream') as "F2-U",
+count(*) filter (where hap = 'F2' and location = 'internal') as "F2-I",
+count(*) filter (where hap = 'F2' and location = 'downstream') as "F2-D",
+count(*) filter (where hap = 'M1' and location = 'upstream') as "M1-U",
+count(*) filter (where hap = 'M1' and location = 'internal') as "M1-I",
+count(*) filter (where hap = 'M1' and location = 'downstream') as "M1-D",
+count(*) filter (where hap = 'M2' and location = 'upstream') as "M2-U",
+count(*) filter (where hap = 'M2' and location = 'internal') as "M2-I",
+count(*) filter (where hap = 'M2' and location = 'downstream') as "M2-D"
+from (select gene, sample, location, hap from emb where if_filter = 'Pass' and var_type <> 'indel'
+union all select gene, 'IF', location, allele from hap where if_filter = 'Pass' and var_type <>
+'indel') t group by gene, sample""",
     "per_base": """
 select chrom, unnest(range(start, stop)) as pos, is_dup, sample from reads""",
     "base_depth": """
@@ -169,7 +248,9 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body)
     if not order:
         return body
-    return "with " + ",\n".join(f"{n} as ({known[n]})" for n in order) + "\n" + body
+    own = body.lstrip()
+    rest = ", " + own[5:] if own[:5].lower() == "with " else own
+    return "with " + ",\n".join(f"{n} as ({known[n]})" for n in order) + "\n" + rest
 
 
 def _mentions(text: str, name: str) -> bool:

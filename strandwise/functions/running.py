@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,18 +30,25 @@ def running(
     fills: Mapping[str, Column] | None = None,
     leads: Mapping[str, Column] | None = None,
     lags: Mapping[str, Column] | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Add running columns to ``df``, whose rows are unique per (keys, order).
 
     sums: running total up to and including the row.  prior_max: maximum over the
     rows before it.  fills: last non-null value up to and including the row.
-    leads / lags: the value on the next / previous row.
+    leads / lags: the value on the next / previous row.  ``keep_block`` leaves the
+    block number in, so that a second call over the same order shuffles nothing.
     """
     keys = list(keys)
     sums, prior_max, fills = dict(sums or {}), dict(prior_max or {}), dict(fills or {})
     leads, lags = dict(leads or {}), dict(lags or {})
     pos = F.col(order)
-    rows = df.withColumn("_block", F.floor(pos / F.lit(block)))
+    known = reduce(and_, [F.col(c).isNotNull() for c in [*keys, order]])
+    # Stated here and joined from the left: both uses of the rows then have the same
+    # filters, so the shuffle below them is planned once and reused.
+    rows = df if "_block" in df.columns else df.where(known).withColumn(
+        "_block", F.floor(pos / F.lit(block))
+    )
 
     totals = []
     for name, expr in sums.items():
@@ -90,8 +97,9 @@ def running(
         out[name] = F.coalesce(F.lead(expr).over(inner), F.col(f"_carry_{name}"))
     for name, expr in lags.items():
         out[name] = F.coalesce(F.lag(expr).over(inner), F.col(f"_carry_{name}"))
-    joined = rows.join(carry, [*keys, "_block"])
-    return joined.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+    joined = rows.join(carry, [*keys, "_block"], "left")
+    kept = [c for c in rows.columns if keep_block or c != "_block"]
+    return joined.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
 def sweep(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions.columns import q, ratio
 from strandwise.functions.running import BLOCK, running, sweep
+from strandwise.functions.stages import cut
 from strandwise.operators.intervals import count_overlaps, flank_segments, merge_intervals, overlap_join
 
 # Alignment flag bits and the insert size cap.
@@ -91,6 +92,7 @@ def region_coverage(
         "pos",
         sums={f"c_{n}": F.col(n) for n in begins},
         lags={"_prev": F.col("pos")},
+        keep_block=True,
     )
     # depth on the run that ends at this position = starts - stops before it
     span = F.coalesce(F.col("pos") - F.col("_prev"), F.lit(0))
@@ -107,19 +109,35 @@ def region_coverage(
         "f_dup": F.col("c_e_dup"),
         **{n: F.col(n) for n in sums},
     }
-    at = points.select(*keys, "pos", F.struct(*[c.alias(n) for n, c in cum.items()]).alias("x"))
-    low = at.select(*keys, F.col("pos").alias("start"), F.col("x").alias("_l"))
-    high = at.select(*keys, F.col("pos").alias("stop"), F.col("x").alias("_h"))
-    both = regions.join(low, [*keys, "start"]).join(high, [*keys, "stop"])
+    at = points.select(*keys, "pos", *[c.alias(n) for n, c in cum.items()])
+    # Each distinct span looks its two ends up in one join and is put together by a
+    # small aggregation, so that the sweep is planned once.
+    spans = regions.select(*keys, "start", "stop").distinct()
+    ends = spans.withColumn(
+        "_end",
+        F.explode(
+            F.array(
+                F.struct(F.col("start").alias("pos"), F.lit(-1).alias("sign")),
+                F.struct(F.col("stop").alias("pos"), F.lit(1).alias("sign")),
+            )
+        ),
+    ).select(*keys, "start", "stop", "_end.pos", "_end.sign")
+    upper, lower = F.col("sign") > 0, F.col("sign") < 0
+    looked = ends.join(at, [*keys, "pos"]).groupBy(*keys, "start", "stop").agg(
+        F.sum(F.when(upper, F.col("b_uni")).when(lower, -F.col("f_uni"))).alias("r_uni"),
+        F.sum(F.when(upper, F.col("b_dup")).when(lower, -F.col("f_dup"))).alias("r_dup"),
+        *[F.sum(F.col("sign") * F.col(n)).alias(n) for n in sums],
+    )
+    both = regions.join(looked, [*keys, "start", "stop"])
 
     def gain(n: str) -> Column:
-        return (F.col(f"_h.{n}") - F.col(f"_l.{n}")).cast("long")
+        return F.col(n).cast("long")
 
     return both.select(
         *regions.columns,
         (F.col("stop") - F.col("start")).alias("size"),
-        (F.col("_h.b_uni") - F.col("_l.f_uni")).cast("long").alias("reads_on_target(rm_dup)"),
-        (F.col("_h.b_dup") - F.col("_l.f_dup")).cast("long").alias("reads_on_target(dup)"),
+        gain("r_uni").alias("reads_on_target(rm_dup)"),
+        gain("r_dup").alias("reads_on_target(dup)"),
         gain("a_uni").alias("base_on_target(rm_dup)"),
         gain("a_dup").alias("base_on_target(dup)"),
         *[gain(f"a_{c}").alias(f"coverage>={c}(rm_dup)") for c in cutoffs],
@@ -252,14 +270,14 @@ def capture_metrics(
     ``reads`` are mapped primary alignments (chrom, start, stop, is_dup, length) with
     ``length`` the read's own length.
     """
-    merged = merge_intervals(targets.select("chrom", "start", "stop"))
+    merged = cut(merge_intervals(targets.select("chrom", "start", "stop")))
     layers = {
         "depth": reads,
         "unique": reads.where(~F.col("is_dup")),
         "target": merged,
     }
     if flank:
-        layers["flank"] = flank_segments(merged, flank, chrom_len)
+        layers["flank"] = cut(flank_segments(merged, flank, chrom_len))
     runs = sweep(layers).where(F.col("stop").isNotNull())
     size = F.col("stop") - F.col("start")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions.columns import col
 from strandwise.functions.running import BLOCK, running, sweep
+from strandwise.functions.stages import cut
 
 BIN = 1024
 _LONG = 64  # intervals over 64 bins move to the coarse level
@@ -24,7 +25,9 @@ def merge_intervals(
     """Union of overlapping, touching or at most ``gap`` apart intervals."""
     keys = list(keys)
     starts = df.groupBy(*keys, "start").agg(F.max("stop").alias("stop"))
-    seen = running(starts, keys, "start", block, prior_max={"_reach": F.col("stop")})
+    seen = running(
+        starts, keys, "start", block, prior_max={"_reach": F.col("stop")}, keep_block=True
+    )
     opens = F.col("_reach").isNull() | (F.col("start") > F.col("_reach") + gap)
     flagged = seen.withColumn("_new", opens.cast("int"))
     islands = running(flagged, keys, "start", block, sums={"_island": F.col("_new")})
@@ -57,7 +60,7 @@ def slop(df: DataFrame, flank: int, chrom_len: DataFrame) -> DataFrame:
 
 def flank_segments(targets: DataFrame, flank: int, chrom_len: DataFrame) -> DataFrame:
     """Flanks beside merged targets; a gap no wider than ``flank`` is one segment."""
-    merged = merge_intervals(targets.select("chrom", "start", "stop"))
+    merged = cut(merge_intervals(targets.select("chrom", "start", "stop")))
     near = running(
         merged,
         ["chrom"],
@@ -136,7 +139,7 @@ def overlap_join(
     """
     on = list(on)
     if how == "semi":
-        islands = merge_intervals(b.select(*on, "start", "stop"), keys=on)
+        islands = cut(merge_intervals(b.select(*on, "start", "stop"), keys=on))
         islands = running(islands, on, "start", leads={"_next": F.col("start")})
         hits = overlap_join(
             a, islands, on=on, bin_size=bin_size, long_intervals=long_intervals, hot_rows=hot_rows
@@ -242,6 +245,8 @@ def subtract_intervals(
     weights = {"a": F.col(payload)} if payload else None
     layers = {"a": a.where(F.col(payload) != 0) if payload else a, "b": b}
     runs = sweep(layers, keys, weights=weights).where((F.col("a") != 0) & (F.col("b") == 0))
+    if payload is None:
+        runs = cut(runs)
     if payload:
         kind = a.schema[payload].dataType
         return runs.select(*keys, "start", "stop", F.col("a").cast(kind).alias(payload))
@@ -384,7 +389,7 @@ def gaps_between(features: DataFrame, keys: Sequence[str], number: str) -> DataF
 def callable_regions(genome: DataFrame, gaps: DataFrame, par: DataFrame, gap: int = 1) -> DataFrame:
     """Genome minus the merged union of assembly gaps and pseudo-autosomal parts."""
     spans = ["chrom", "start", "stop"]
-    masked = merge_intervals(gaps.select(*spans).unionByName(par.select(*spans)), gap=gap)
+    masked = cut(merge_intervals(gaps.select(*spans).unionByName(par.select(*spans)), gap=gap))
     return subtract_intervals(genome.select(*spans), masked)
 
 
@@ -464,13 +469,14 @@ def mate_region_reads(reads: DataFrame, regions: DataFrame, extend: int) -> Data
 
     ``reads`` has (chrom, start, stop, mate_chrom, mate_start).
     """
-    wanted = union_with_extension(regions.select("chrom", "start", "stop"), extend)
+    wanted = cut(union_with_extension(regions.select("chrom", "start", "stop"), extend))
     mates = overlap_join(reads, wanted, "semi").select(
         F.col("mate_chrom").alias("chrom"),
         F.col("mate_start").alias("start"),
         (F.col("mate_start") + 1).alias("stop"),
     ).where("chrom is not null").distinct()
-    return overlap_join(reads, union_with_extension(wanted.unionByName(mates), extend), "semi")
+    places = cut(union_with_extension(wanted.unionByName(cut(mates)), extend))
+    return overlap_join(reads, places, "semi")
 
 
 def assign_location(pos, start, stop) -> Column:
