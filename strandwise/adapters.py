@@ -136,6 +136,27 @@ from orders where o_custkey % 20 < 18 group by o_custkey % 20""",
 select concat('T_', chrom) as gene, chrom, lo - 1 as start_extend, hi - 200 as end_extend,
 cast(floor(lo + (hi - lo) / 3.0) as bigint) as start, cast(floor(lo + (hi - lo) / 2.0) as bigint) as
 stop from (select chrom, min(pos) as lo, max(pos) as hi from sites group by chrom) t""",
+    "pgx": """
+select site_id, sample, chrom, pos, ref as drug_ref, alt as drug_alt, case when gt in ('./.', '0/0')
+then '.' when site_id % 7 = 0 then concat(ref, 'CA') else ref end as ref_calling, case when gt in
+('./.', '0/0') then '.' when site_id % 13 = 0 then concat(alt, ',', ref, 'TT') when site_id % 5 = 0
+then concat(alt, 'GG') else alt end as alt_calling, case when gt in ('./.', '0/0') then '0/0' when
+site_id % 13 = 0 then '1/2' else gt end as gt, ad0 + ad1 as dp, case when gt in ('./.', '0/0') then
+null else ad1 / cast(ad0 + ad1 as double) end as ratio, cast(8 + site_id % 20 as bigint) as depth_threshold,
+cast(85 + site_id % 14 as double) / 100 as het_hom_ratio_threshold, cast(30 + site_id % 25 as double) / 100 as
+ref_het_ratio_threshold, case when site_id % 2 = 0 then 'yes' else 'no' end as corrected, concat('q',
+cast(site_id % 9 as string)) as qd from calls""",
+    "pair_reads": """
+select concat('S', cast(l_orderkey % 4 as string)) as sample, l_orderkey as qname, case l_linenumber
+when 1 then 64 when 2 then 128 else 2048 end + case when l_returnflag = 'R' and l_linenumber < 3
+then 1024 else 0 end as flag, concat('chr', cast(l_orderkey % 3 + 1 as string)) as chrom, l_partkey
+* 10 as start, l_partkey * 10 + cast(l_quantity as bigint) as stop, case when l_suppkey % 2 = 0 then
+'5S40M' else '45M' end as cigar from lineitem""",
+    "breakpoints": """
+select concat('chr', cast(p_partkey % 3 + 1 as string)) as chrom, p_partkey * 10 as bp_left,
+p_partkey * 10 + 900 as bp_right, concat('del', cast(p_partkey as string)) as cnv_name, cast(0.001 as double) as
+thres_normal, cast(0.02 as double) as thres_hom_del, cast(1 as bigint) as thres_support_reads, cast(p_size as
+double) / 2 as thres_mean_reads from part where p_partkey % 5 = 0""",
     "ref_chunks": """
 select case rec % 5 when 3 then 'chrX' when 4 then 'chrY' else concat('chr', cast(rec % 5 + 1 as
 string)) end as chrom, cast(floor(rec / 5.0) as bigint) as chunk, case when rec % 29 = 0 then

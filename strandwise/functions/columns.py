@@ -15,10 +15,16 @@ def q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def round_even(x: Column, digits: int) -> Column:
+    """Round half to even the way numpy does: scale, rint, scale back."""
+    scale = float(10**digits)
+    return F.rint(x * F.lit(scale)) / F.lit(scale)
+
+
 def ratio(num: Column, den: Column, digits: int | None = None) -> Column:
     """num / den as double, null on a zero denominator, rounded half to even."""
     r = num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
-    return r if digits is None else F.bround(r, digits)
+    return r if digits is None else round_even(r, digits)
 
 
 def one_of(value: Column, *options: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.functions.columns import q, ratio
+from strandwise.functions.columns import q, ratio, round_even
 from strandwise.functions.running import BLOCK, running, sweep
 from strandwise.functions.stages import cut
 from strandwise.operators.intervals import count_overlaps, flank_segments, merge_intervals, overlap_join
@@ -158,7 +158,7 @@ def region_depth(reads: DataFrame, regions: DataFrame, **by) -> DataFrame:
 def interval_mean_depth(reads: DataFrame, intervals: DataFrame, digits: int | None = None) -> DataFrame:
     """Mean depth of given intervals."""
     out = region_depth(reads, intervals).drop("base", "coverage", "size")
-    return out if digits is None else out.withColumn("mean_depth", F.bround("mean_depth", digits))
+    return out if digits is None else out.withColumn("mean_depth", round_even(F.col("mean_depth"), digits))
 
 
 def contig_class(chrom: Column) -> Column:
@@ -376,8 +376,8 @@ def contig_depth(depth: DataFrame) -> DataFrame:
     size = F.col("stop") - F.col("start")
     return depth.groupBy("chrom").agg(
         F.sum(size).alias("target_size"),
-        F.bround(F.sum(F.when(F.col("depth") > 0, size).otherwise(0)) / F.sum(size), 4).alias("coverage"),
-        F.bround(F.sum(size * F.col("depth")) / F.sum(size), 2).alias("depth"),
+        round_even(F.sum(F.when(F.col("depth") > 0, size).otherwise(0)) / F.sum(size), 4).alias("coverage"),
+        round_even(F.sum(size * F.col("depth")) / F.sum(size), 2).alias("depth"),
     )
 
 

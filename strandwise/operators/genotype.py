@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.functions.columns import col, q, ratio
+from strandwise.functions.columns import col, q, ratio, round_even
 from strandwise.operators.intervals import assign_location, overlap_join
 
 SITE = ("chrom", "pos", "ref", "alt")
@@ -89,7 +89,7 @@ def family_calls(
     rows = usable_sites(calls).where(~F.col("gt").isin(*UNCALLED) & F.col("ad").isNotNull())
     rows = rows.withColumn("gt", F.translate("gt", "|", "/")).where(F.col("gt").isin(*TRIO_GENOTYPES))
     rows = rows.withColumn("DP", _depth(F.col("ad"))).where("DP > 0")
-    rows = rows.withColumn("ratio", F.bround(F.col("ad")[1] / F.col("DP"), 3)).withColumn(
+    rows = rows.withColumn("ratio", round_even(F.col("ad")[1] / F.col("DP"), 3)).withColumn(
         "AD", F.array_join(F.col("ad").cast("array<string>"), ",")
     )
     method = F.col("sample").isin(*members)

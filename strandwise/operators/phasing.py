@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.functions.columns import ratio
+from strandwise.functions.columns import ratio, round_even
 from strandwise.operators.genotype import SITE, UNCALLED, _depth, _wide, allele_text, usable_sites
 from strandwise.operators.intervals import best_overlap, distance_rank, overlap_join
 
@@ -83,7 +83,7 @@ def phase_block(calls: DataFrame) -> DataFrame:
         text.alias("TGT_lfr"),
         F.col("dp").alias("DP_lfr"),
         F.array_join(F.col("ad").cast("array<string>"), ",").alias("AD_lfr"),
-        F.bround(F.element_at("ad", -1) / F.col("dp"), 3).alias("Ratio_lfr"),
+        round_even(F.element_at("ad", -1) / F.col("dp"), 3).alias("Ratio_lfr"),
     )
 
 
@@ -101,7 +101,7 @@ def linked_family_calls(calls: DataFrame, members: Sequence[str], embryos: Seque
     rows = (
         rows.where("DP > 0")
         .withColumn("TGT", allele_text(F.col("GT"), F.col("ref"), F.col("alt")))
-        .withColumn("Ratio", F.bround(F.element_at("ad", -1) / F.col("DP"), 3))
+        .withColumn("Ratio", round_even(F.element_at("ad", -1) / F.col("DP"), 3))
         .withColumn("AD", F.array_join(F.col("ad").cast("array<string>"), ","))
         .where("TGT is not null")
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.functions.columns import col, q, ratio
+from strandwise.functions.columns import col, q, ratio, round_even
 from strandwise.operators.coverage import CUTOFFS
 
 BREADTH = tuple(f"coverage>={c}(rm_dup)" for c in CUTOFFS)
@@ -36,7 +36,7 @@ def sample_qc(
     mapped = coverage.groupBy(key).agg(F.sum(reads + dups).alias("_all"), F.sum(reads).alias("_uni"))
     kept = coverage if use_mt else coverage.where(~F.col("chromosome").contains("M"))
     stat = kept.groupBy(key).agg(
-        F.concat(F.bround(F.sum("size") / F.lit(1e6), 0).cast("long"), F.lit("M")).alias("genome_size"),
+        F.concat(round_even(F.sum("size") / F.lit(1e6), 0).cast("long"), F.lit("M")).alias("genome_size"),
         ratio(F.sum(dups), F.sum(dups + reads), 4).alias("dup_rate"),
         _share("base_on_target(rm_dup)").alias("mean_depth(rm_dup)"),
         *[_share(b).alias(b) for b in BREADTH],
@@ -57,7 +57,7 @@ def sample_qc(
         key,
         "genome_size",
         F.concat(
-            F.bround(F.coalesce("raw_bases", F.lit(0)) / F.lit(1e9), 0).cast("long"), F.lit("G")
+            round_even(F.coalesce("raw_bases", F.lit(0)) / F.lit(1e9), 0).cast("long"), F.lit("G")
         ).alias("raw_bases"),
         rate.alias("mapped_rate"),
         rate_uni.alias("mapped_rate(rm_dup)"),
@@ -76,8 +76,8 @@ def infer_sex(coverage: DataFrame, key: str = "sample") -> DataFrame:
 
     chrom = F.col("chromosome")
     df = coverage.groupBy(key).agg(
-        F.bround(mean(chrom == "chrX"), 4).alias("depX"),
-        F.bround(mean(chrom == "chrY"), 4).alias("depY"),
+        round_even(mean(chrom == "chrX"), 4).alias("depX"),
+        round_even(mean(chrom == "chrY"), 4).alias("depY"),
         mean(~chrom.contains("M")).alias("_mean"),
     )
     y = ratio(F.col("depY"), F.col("_mean"), 4)
@@ -187,7 +187,7 @@ def report_qc(wgs: DataFrame | None, lfr: DataFrame) -> DataFrame:
         )
 
     linked = lfr.withColumn(
-        "raw_bases", F.concat(F.bround(F.col("number_reads") / F.lit(1e7), 0).cast("long"), F.lit("G"))
+        "raw_bases", F.concat(round_even(F.col("number_reads") / F.lit(1e7), 0).cast("long"), F.lit("G"))
     )
     out = shaped(linked, 10)
     return out if wgs is None else shaped(wgs, 4).unionByName(out, allowMissingColumns=True)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandwise.functions.columns import round_even
+
 from strandwise.operators import genotype as gt
 from strandwise.operators.intervals import overlap_join
 from strandwise.plans.registry import query
@@ -48,7 +50,7 @@ select site_id, sample, gtc as corrected from fixed_call""",
 )
 def _(v):
     rows = calls(v).where("filter[0] <> 'LowQual' and gt <> './.' and dp > 0")
-    share = F.bround(F.col("ad")[1] / F.col("dp"), 3)
+    share = round_even(F.col("ad")[1] / F.col("dp"), 3)
     trio = gt.correct_genotype("gt", share)
     simple = gt.correct_genotype("gt", share, "simple")
     return rows.select(

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.functions.columns import round_even
+
 
 def _pieces(spans: DataFrame, ref_chunks: DataFrame, chunk_size: int) -> DataFrame:
     """One row per (span, chunk) with the piece of the span inside the chunk."""
@@ -72,7 +74,7 @@ def window_gc(windows: DataFrame, ref_chunks: DataFrame, chunk_size: int) -> Dat
     )
     return windows.join(counts, ["chrom", "start", "stop"], "left").select(
         *windows.columns,
-        F.when(F.col("_known") > 0, F.bround(F.col("_gc") / F.col("_known"), 3))
+        F.when(F.col("_known") > 0, round_even(F.col("_gc") / F.col("_known"), 3))
         .otherwise(F.lit(0.0))
         .alias("gc"),
     )
