@@ -157,6 +157,29 @@ select concat('chr', cast(p_partkey % 3 + 1 as string)) as chrom, p_partkey * 10
 p_partkey * 10 + 900 as bp_right, concat('del', cast(p_partkey as string)) as cnv_name, cast(0.001 as double) as
 thres_normal, cast(0.02 as double) as thres_hom_del, cast(1 as bigint) as thres_support_reads, cast(p_size as
 double) / 2 as thres_mean_reads from part where p_partkey % 5 = 0""",
+    "snv": """
+select distinct chrom, pos % 30000 + 100 as pos, ref, alt from sites where var_type = 'snp'""",
+    "dotted": """
+select site_id, chrom, pos % 30000 + 100 as start, case site_id % 4 when 0 then '.' when 1 then
+concat(ref, 'AT') when 2 then ref else concat(ref, 'C') end as ref, case site_id % 4 when 1 then '.'
+when 0 then 'GT' when 2 then substring(alt, 1, 1) else concat(alt, 'TT') end as alt from sites""",
+    "anchored": """
+select site_id, chrom, pos, case site_id % 5 when 0 then ref when 1 then concat(ref, 'AT') when 2
+then ref when 3 then concat(ref, 'C') else concat(ref, 'G') end as ref, case site_id % 5 when 0 then
+concat(ref, 'GT') when 1 then ref when 2 then substring(alt, 1, 1) when 3 then concat(ref, 'TTG') else
+concat(substring(alt, 1, 1), 'TT') end as alt from sites""",
+    "tx_exons": """
+select concat('NM_', substring(gene, 7), cast(region_id % 5 as string), '.1') as tx, gene, case when
+region_id % 5 in (1, 3) then -region_id else region_id end as exon_no, start, stop, chrom, case when
+region_id % 5 in (1, 3) then '-' else '+' end as strand, concat('NC_0000', case region_id % 5 when 3
+then '23' when 4 then '24' when 0 then '01' when 1 then '02' else '03' end, '.10') as accession,
+cast(4 as bigint) as cds_start, cast(60 as bigint) as cds_stop, region_id from regions where start > 0""",
+    "coding": """
+select region_id, gene, concat('c.', case region_id % 7 when 0 then concat(n, 'A>G') when 1 then
+concat(n, '_', n2, 'del') when 2 then concat('-2', 'C>T') when 3 then concat(n, '+5dup') when 4 then
+'*3G>A' when 5 then concat(n, '_', n1, 'insGA') else concat(n, '-3delinsTT') end) as c, tx from
+(select *, cast(region_id % 50 + 1 as string) as n, cast(region_id % 50 + 2 as string) as n1,
+cast(region_id % 50 + 3 as string) as n2 from tx_exons) t""",
     "ref_chunks": """
 select case rec % 5 when 3 then 'chrX' when 4 then 'chrY' else concat('chr', cast(rec % 5 + 1 as
 string)) end as chrom, cast(floor(rec / 5.0) as bigint) as chunk, case when rec % 29 = 0 then
@@ -165,6 +188,27 @@ concat('NNN', substring(seq1, 4, 9)) else seq1 end as seq from fq""",
 
 # DuckDB only: brute-force expansions the oracles start from.
 ORACLE_VIEWS: dict[str, str] = {
+    "linked": """
+select c.chrom, c.pos, c.ref, c.alt, c.var_type, c.site_id, b.ps, b.gt as gt_lfr, b.dp as dp_lfr,
+round_even(floor(b.dp / 3.0) / b.dp, 3) as ratio_lfr,
+case b.gt when '1|0' then c.alt when '0|1' then c.ref else c.alt end as m1,
+case b.gt when '1|0' then c.ref when '0|1' then c.alt else c.alt end as m2, c.f, c.f_dp, c.m, c.m_dp, c.e, c.e_dp
+from (select chrom, pos, ref, alt, var_type, site_id,
+max(gt) filter (where sample = 'Father') as f, max(ad0 + ad1) filter (where sample = 'Father') as f_dp,
+max(gt) filter (where sample = 'Mother') as m, max(ad0 + ad1) filter (where sample = 'Mother') as m_dp,
+max(gt) filter (where sample = 'Embryo1') as e, max(ad0 + ad1) filter (where sample = 'Embryo1') as e_dp
+from calls where filter <> 'LowQual' and gt <> './.' and ad0 + ad1 > 0
+group by chrom, pos, ref, alt, var_type, site_id) c
+join phased b on b.chrom = c.chrom and b.pos = c.pos and b.ref = c.ref
+where c.f is not null and c.m is not null""",
+    "linked_if": """
+select *, case when yes then case when fb = m1 then 'M2' else 'M1' end else '.' end as allele,
+case when not yes then 'Fail' when least(f_dp, dp_lfr) < 24 then 'LowDepth' else 'Pass' end as if_filter,
+case when pos < 20000 then 'upstream' when pos > 60000 then 'downstream' else 'internal' end as location,
+case when not yes or e is null then '.' when e in ('0/0', '1/1') and eb = fb then '.' when
+(case when e in ('0/0', '1/1') then eb when fb = ref then alt else ref end) = m1 then 'M1' else 'M2' end as raw_hap
+from (select *, gt_lfr <> '1|1' and f in ('0/0', '1/1') as yes, case f when '0/0' then ref else alt end as fb,
+case e when '0/0' then ref else alt end as eb from linked) t""",
     "ok_call": """
 select *, ad0 + ad1 as dp, round_even(ad1 / cast(ad0 + ad1 as double), 3) as ratio from calls where
 filter <> 'LowQual' and gt <> './.' and ad0 + ad1 > 0""",

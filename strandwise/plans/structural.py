@@ -47,7 +47,7 @@ with {_GOOD.strip().replace(">= 0.5", ">= 0.9")},
 sup as (select sample, cnv_name, count(*) as n from (select * from prs union select * from spl) t group by 1, 2),
 fl as (select chrom, cnv_name, bp_left - {_EXT} as a, bp_left - 1 as z from breakpoints union all
   select chrom, cnv_name, bp_right, bp_right + {_EXT} from breakpoints),
-dep as (select s.sample, f.cnv_name, f.a, f.z, coalesce(sum(least(r.stop, f.z) - greatest(r.start, f.a)), 0) / cast(f.z - f.a as double) as m
+dep as (select s.sample, f.cnv_name, f.a, f.z, coalesce(sum(case when r.start is not null then least(r.stop, f.z) - greatest(r.start, f.a) end), 0) / cast(f.z - f.a as double) as m
   from fl f cross join (select unnest(['S0', 'S1', 'S2', 'S3']) as sample) s
   left join pair_reads r on r.sample = s.sample and r.chrom = f.chrom and r.start < f.z and f.a < r.stop
     and r.flag & (4 | 256 | 512 | 1024) = 0 group by s.sample, f.cnv_name, f.a, f.z),
