@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.functions.columns import col, round_even
+from strandwise.functions.columns import col, q, round_even
 from strandwise.functions.running import running
 from strandwise.functions.sequence_text import complement, reverse_complement
 from strandwise.operators.intervals import overlap_join
@@ -326,7 +326,7 @@ def to_vcf(df: DataFrame, ref_chunks: DataFrame, chunk_size: int, style: str = "
     """Dotted or empty alleles → anchored POS, REF, ALT.
 
     one_based: (chrom, start, ref, alt), start = the variant's own first base; only
-    insertions and deletions get an anchor.  bed: (chrom, start, stop, ref, alt) with
+    insertions and deletions get an anchor (REF, ALT replace ref, alt).  bed: (chrom, start, stop, ref, alt) with
     0-based start; mixed changes are anchored too.
     """
     empty_ref = F.col("ref").isNull() | (F.col("ref") == ".")
@@ -350,7 +350,7 @@ def to_vcf(df: DataFrame, ref_chunks: DataFrame, chunk_size: int, style: str = "
         own = F.when(empty, "").otherwise(F.col(name))
         return F.when(anchored, F.concat(base, own)).otherwise(F.col(name))
 
-    kept = [c for c in df.columns if c not in ("_base", "_kind", "POS")]
+    kept = [c for c in df.columns if c not in ("_base", "_kind", "POS", "ref", "alt")]
     return df.select(*kept, "POS", allele("ref", empty_ref).alias("REF"), allele("alt", empty_alt).alias("ALT"))
 
 
@@ -375,8 +375,9 @@ def vcf_to_bed_style(df: DataFrame) -> DataFrame:
     ref = F.when(kind == "ins", ".").when(shared, rest_ref).otherwise(F.col("ref"))
     call = F.when(kind == "del", ".").when(shared, rest_alt).otherwise(F.col("alt"))
     stop = F.when(kind == "ins", F.col("pos")).otherwise(start + F.length(ref))
+    kept = [c for c in df.columns if c not in ("ref", "alt")]
     return df.select(
-        "*", F.col("chrom").alias("#Chr"), start.alias("Start"), stop.alias("Stop"), ref.alias("Ref"), call.alias("Call")
+        *kept, F.col("chrom").alias("#Chr"), start.alias("Start"), stop.alias("Stop"), ref.alias("Ref"), call.alias("Call")
     )
 
 
@@ -574,7 +575,7 @@ def expand_gene_transcripts(df: DataFrame, tx_exons: DataFrame) -> DataFrame:
     )
     dots = {c: F.lit(".") for c in ("g.", "#Chr", "Start", "Stop", "Ref", "Call", "MuType")}
     lost = lost.withColumns(dots).withColumn("Transcript", F.lit("."))
-    return out.unionByName(lost.select(*out.columns)).drop("variant")
+    return out.unionByName(lost.select(*[q(c) for c in out.columns])).drop("variant")
 
 
 def split_alts(sites: DataFrame) -> DataFrame:
