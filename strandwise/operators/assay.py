@@ -252,7 +252,8 @@ def _thin(peaks: DataFrame, keys: Sequence[str], distance: int) -> DataFrame:
     keys = list(keys)
     near = running(peaks, keys, "pos", block=100_000, lags={"_prev": F.col("pos")})
     opens = F.col("_prev").isNull() | (F.col("pos") - F.col("_prev") >= distance)
-    chains = running(near.drop("_prev").withColumn("_new", opens.cast("int")), keys, "pos", block=100_000, sums={"_chain": F.col("_new")})
+    marked = near.withColumn("_new", opens.cast("int")).drop("_prev")
+    chains = running(marked, keys, "pos", block=100_000, sums={"_chain": F.col("_new")})
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in peaks.schema.fields)
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -1,0 +1,5 @@
+"""No stream exists in what this library covers, so there is nothing here to build.
+
+The row-wise operators (genotype correction, variant representation, parsers) are
+plain column expressions and run unchanged on a streaming DataFrame.
+"""
