@@ -50,11 +50,11 @@ select s.chrom, s.pos, s.ref, s.alt, s.filter, s.var_type, s.site_id, s.cust,
 explode(array('Father', 'Mother', 'Proband', 'Embryo1', 'Embryo2', 'Embryo3')) as sample from
 sites s""",
     "calls0": """
-select chrom, pos, ref, alt, filter, var_type, site_id, sample, case (site_id * k + cust) % 7
-when 0 then '0/0' when 1 then '0/1' when 2 then '1/1' when 3 then '0/0' when 4 then '0/1' when 5
-then '1/1' else './.' end as gt, (site_id * 3 + k * 11) % 17 as r from (select *, case sample
-when 'Father' then 1 when 'Mother' then 2 when 'Proband' then 3 when 'Embryo1' then 4 when
-'Embryo2' then 5 else 6 end as k from roster) t""",
+select chrom, pos, ref, alt, filter, var_type, site_id, sample, explode(array(case (site_id * k
++ cust) % 7 when 0 then '0/0' when 1 then '0/1' when 2 then '1/1' when 3 then '0/0' when 4 then
+'0/1' when 5 then '1/1' else './.' end)) as gt, (site_id * 3 + k * 11) % 17 as r from (select *,
+case sample when 'Father' then 1 when 'Mother' then 2 when 'Proband' then 3 when 'Embryo1' then
+4 when 'Embryo2' then 5 else 6 end as k from roster) t""",
     "calls": """
 select chrom, pos, ref, alt, filter, var_type, site_id, sample, gt, case gt when '0/0' then 20 +
 r when '0/1' then 5 + r when '1/1' then r % 2 else 0 end as ad0, case gt when '0/0' then r % 2
@@ -323,7 +323,9 @@ def _mentions(text: str, name: str) -> bool:
 
 
 def for_duckdb(body: str) -> str:
-    return with_views(body, ORACLE_VIEWS).replace(*_UNNEST)
+    text = with_views(body, ORACLE_VIEWS)
+    # the closing brackets match: explode(array(x)) -> unnest(list_value(x))
+    return text.replace(*_UNNEST)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 1_000_000
+BLOCK = 100_000
 
 
 def running(

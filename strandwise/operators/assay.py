@@ -283,9 +283,9 @@ def call_peaks(
     tops = _maxima(signal, keys).where(F.col("height") >= height)
     if max_height is not None:
         tops = tops.where(F.col("height") <= max_height)
+    tops = cut(tops)
     if max_peaks is None:
         return _thin(tops, keys, distance)
-    tops = cut(tops)
     first = cut(_thin(tops, keys, distance))
     # the peaks of one trace: at most its length over the distance
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("height"), F.desc("pos")))

@@ -46,9 +46,13 @@ def correct_genotype(gt, alt_ratio, method: str = "ratio", low: float = 0.05, up
 
 def allele_text(gt: Column, ref: Column, alt: Column, sep: str = "/") -> Column:
     """``0/1`` → ``A/G``; null when any index has no allele."""
-    bases = F.concat(F.array(ref), alt)
-    parts = F.transform(F.split(gt, "[/|]"), lambda i: F.get(bases, i.try_cast("int")))
-    return F.when(F.forall(parts, lambda b: b.isNotNull()), F.array_join(parts, sep))
+    parts = F.split(gt, "[/|]")
+
+    def base(i: int) -> Column:
+        index = F.get(parts, F.lit(i))
+        return F.when(index == "0", ref).otherwise(F.get(alt, index.try_cast("int") - 1))
+
+    return F.when(F.size(parts) == 1, base(0)).otherwise(F.concat(base(0), F.lit(sep), base(1)))
 
 
 def usable_sites(calls: DataFrame, max_alts: int = 1) -> DataFrame:
@@ -61,14 +65,28 @@ def usable_sites(calls: DataFrame, max_alts: int = 1) -> DataFrame:
 
 
 def _depth(ad: Column) -> Column:
-    return F.aggregate(ad, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    """Sum of the allele depths; the usual few alleles stay in generated code."""
+    few = F.get(ad, F.lit(0))
+    for i in range(1, 4):
+        few = few + F.coalesce(F.get(ad, F.lit(i)), F.lit(0))
+    many = F.aggregate(ad, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return F.when(F.size(ad) <= 4, few).otherwise(many)
 
 
 def _wide(rows: DataFrame, people: Sequence[str], fields: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    picks = [
-        F.max(F.when(F.col("sample") == p, F.col(f))).alias(f"{p}_{f}") for p in people for f in fields
-    ]
-    return rows.where(F.col("sample").isin(*people)).groupBy(*keep).agg(*picks)
+    """One row per site with ``<person>_<field>`` columns.
+
+    The members of a family are collected once (a handful per site) and picked
+    apart by projection: one aggregate in place of one per person and field.
+    """
+    member = F.struct("sample", *fields)
+    packed = rows.where(F.col("sample").isin(*people)).groupBy(*keep).agg(F.collect_list(member).alias("_all"))
+
+    def of(person: str) -> Column:
+        return F.array_max(F.filter("_all", lambda m: m["sample"] == person))
+
+    picked = packed.withColumns({f"_of_{p}": of(p) for p in people})
+    return picked.select(*keep, *[F.col(f"_of_{p}.{f}").alias(f"{p}_{f}") for p in people for f in fields])
 
 
 def family_calls(
@@ -89,24 +107,31 @@ def family_calls(
     rows = usable_sites(calls).where(~F.col("gt").isin(*UNCALLED) & F.col("ad").isNotNull())
     rows = rows.withColumn("gt", F.translate("gt", "|", "/")).where(F.col("gt").isin(*TRIO_GENOTYPES))
     rows = rows.withColumn("DP", _depth(F.col("ad"))).where("DP > 0")
-    rows = rows.withColumn("ratio", round_even(F.col("ad")[1] / F.col("DP"), 3)).withColumn(
-        "AD", F.array_join(F.col("ad").cast("array<string>"), ",")
-    )
-    method = F.col("sample").isin(*members)
-    fixed = F.when(method, correct_genotype("gt", "ratio", method_trios, low, up)).otherwise(
-        correct_genotype("gt", "ratio", method_embryo)
-    )
-    rows = (
-        rows.withColumn("GT_origin", F.col("gt"))
-        .withColumn("GT_correct", fixed)
-        .withColumn("origin", allele_text(F.col("gt"), F.col("ref"), F.col("alt")))
-        .withColumn("correct", allele_text(F.col("GT_correct"), F.col("ref"), F.col("alt")))
-    )
-    fields = ["DP", "AD", "ratio", "GT_origin", "origin", "GT_correct", "correct"]
-    wide = _wide(rows, [*members, *embryos], fields, [*site, "var_type"])
+    # only the raw call is shuffled; everything derived from it is worked out per site
+    people = [*members, *embryos]
+    wide = _wide(rows, people, ["DP", "ad", "gt"], [*site, "var_type"])
     for m in members:
         wide = wide.where(F.col(f"{m}_DP").isNotNull())
-    return wide
+    share = {f"{p}_ratio": round_even(F.col(f"{p}_ad")[1] / F.col(f"{p}_DP"), 3) for p in people}
+    wide = wide.withColumns(share)
+    fixed = {}
+    for p in people:
+        method = method_trios if p in members else method_embryo
+        fixed[f"{p}_GT_correct"] = correct_genotype(f"{p}_gt", f"{p}_ratio", method, low, up)
+    wide = wide.withColumns(fixed)
+    out = [*site, "var_type"]
+    for p in people:
+        gt = F.col(f"{p}_gt")
+        out += [
+            F.col(f"{p}_DP"),
+            F.array_join(F.col(f"{p}_ad").cast("array<string>"), ",").alias(f"{p}_AD"),
+            F.col(f"{p}_ratio"),
+            gt.alias(f"{p}_GT_origin"),
+            allele_text(gt, F.col("ref"), F.col("alt")).alias(f"{p}_origin"),
+            F.col(f"{p}_GT_correct"),
+            allele_text(F.col(f"{p}_GT_correct"), F.col("ref"), F.col("alt")).alias(f"{p}_correct"),
+        ]
+    return wide.select(*out)
 
 
 def _dosage(gt: Column) -> Column:

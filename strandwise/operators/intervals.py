@@ -88,24 +88,29 @@ def flank_segments(targets: DataFrame, flank: int, chrom_len: DataFrame) -> Data
     )
 
 
-def _binned(df: DataFrame, width: int, long_intervals: bool) -> DataFrame:
-    """One row per bin an interval touches, at the levels it can meet a partner."""
+def _binned(df: DataFrame, width: int, long_intervals: bool, left: bool) -> DataFrame:
+    """One row per cell an interval can meet a partner in, as ``_cell`` (kind, bin).
+
+    Kind 0: both short, fine bins.  Kind 1: short left with long right, kind 2: long
+    left with any right, both on coarse bins.  So two short intervals never meet on
+    the coarse level, where everything nearby shares a bin.
+    """
     last = F.greatest(F.col("start"), F.col("stop") - 1)
 
-    def at(level: int, w: int) -> Column:
+    def at(kind: int, w: int) -> Column:
         bins = F.sequence(F.floor(F.col("start") / w), F.floor(last / w))
-        return F.transform(
-            bins, lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin"))
-        )
+        return F.transform(bins, lambda b: F.struct(F.lit(kind).alias("kind"), b.alias("bin")))
 
     fine = at(0, width)
     if not long_intervals:
-        return df.withColumn("_long", F.lit(0)).withColumn("_b", F.explode(fine))
+        return df.withColumn("_cell", F.explode(fine))
     is_long = F.col("stop") - F.col("start") > _LONG * width
-    coarse = at(1, width * _COARSE)
-    return df.withColumn("_long", is_long.cast("int")).withColumn(
-        "_b", F.explode(F.when(is_long, coarse).otherwise(F.concat(fine, coarse)))
-    )
+    wide = width * _COARSE
+    if left:
+        cells = F.when(is_long, at(2, wide)).otherwise(F.concat(fine, at(1, wide)))
+    else:
+        cells = F.when(is_long, F.concat(at(1, wide), at(2, wide))).otherwise(F.concat(fine, at(2, wide)))
+    return df.withColumn("_cell", F.explode(cells))
 
 
 def _prefixed(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -126,7 +131,7 @@ def overlap_join(
     """Range join: a.start < b.stop and b.start < a.stop on equal ``on`` columns.
 
     ``b``'s start/stop and clashing names get a ``b_`` prefix.  Both sides are cut
-    into bins and joined on (on, level, bin); a pair is kept only in the bin that
+    into bins and joined on (on, kind, bin); a pair is kept only in the bin that
     holds the later of the two starts.  Long intervals live on a coarse level, so
     that nothing is exploded into thousands of bins.  Without ``long_intervals``
     the coarse copies are skipped (right for reads against exons).  A hot bin is
@@ -157,15 +162,14 @@ def overlap_join(
         raise ValueError(f"unknown join type: {how}")
 
     right = _prefixed(a, b, on)
-    left = _binned(a, bin_size, long_intervals)
+    left = _binned(a, bin_size, long_intervals, True)
     other = _binned(
-        right.withColumnsRenamed({"b_start": "start", "b_stop": "stop"}), bin_size, long_intervals
-    ).withColumnsRenamed({"start": "b_start", "stop": "b_stop", "_long": "_b_long"})
-    left = left.select(*a.columns, "_long", F.col("_b.level").alias("_level"), F.col("_b.bin").alias("_bin"))
-    other = other.select(
-        *right.columns, "_b_long", F.col("_b.level").alias("_level"), F.col("_b.bin").alias("_bin")
-    )
-    cell = [*on, "_level", "_bin"]
+        right.withColumnsRenamed({"b_start": "start", "b_stop": "stop"}), bin_size, long_intervals, False
+    ).withColumnsRenamed({"start": "b_start", "stop": "b_stop"})
+    cells = [F.col("_cell.kind").alias("_kind"), F.col("_cell.bin").alias("_bin")]
+    left = left.select(*a.columns, *cells)
+    other = other.select(*right.columns, *cells)
+    cell = [*on, "_kind", "_bin"]
     if hot_rows:
         hot = (
             left.groupBy(*cell)
@@ -181,11 +185,10 @@ def overlap_join(
             "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))
         ).drop("_salts")
         cell = [*cell, "_salt"]
-    width = F.when(F.col("_level") == 1, bin_size * _COARSE).otherwise(bin_size)
+    width = F.when(F.col("_kind") > 0, bin_size * _COARSE).otherwise(bin_size)
     pairs = left.join(other, cell).where(
         (F.col("start") < F.col("b_stop"))
         & (F.col("b_start") < F.col("stop"))
-        & (F.greatest("_long", "_b_long") == F.col("_level"))
         & (F.col("_bin") == F.floor(F.greatest("start", "b_start") / width))
     )
     return pairs.select(*a.columns, *[c for c in right.columns if c not in on])
