@@ -160,7 +160,7 @@ double) / 2 as thres_mean_reads from part where p_partkey % 5 = 0""",
     "snv": """
 select distinct chrom, pos % 30000 + 100 as pos, ref, alt from sites where var_type = 'snp'""",
     "dotted": """
-select site_id, chrom, pos % 30000 + 100 as start, case site_id % 4 when 0 then '.' when 1 then
+select site_id, chrom, pos % 3000 + 100 as start, case site_id % 4 when 0 then '.' when 1 then
 concat(ref, 'AT') when 2 then ref else concat(ref, 'C') end as ref, case site_id % 4 when 1 then '.'
 when 0 then 'GT' when 2 then substring(alt, 1, 1) else concat(alt, 'TT') end as alt from sites""",
     "anchored": """

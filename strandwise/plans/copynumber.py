@@ -90,9 +90,12 @@ def batch_correct(v):
 @query(
     "E3_batch_correct_sex",
     f"""
-select b.sample, b.chrom, b.start, b.ratio / case when m = 0 then 1 else m end as ratio_batch_fix
-from ({_RATIO}) b join (select chrom, start, gender, median(ratio) as m from ({_RATIO}) x group by 1, 2, 3) t
-on b.chrom = t.chrom and b.start = t.start and b.gender = t.gender""",
+select sample, chrom, start, ratio / case when m = 0 then 1 else m end as ratio_batch_fix from (
+  select b.*, case when n.k >= 10 then t.m else a.m end as m
+  from ({_RATIO}) b join (select chrom, start, gender, median(ratio) as m from ({_RATIO}) x group by 1, 2, 3) t
+  on b.chrom = t.chrom and b.start = t.start and b.gender = t.gender
+  join (select chrom, start, median(ratio) as m from ({_RATIO}) y group by 1, 2) a on b.chrom = a.chrom and b.start = a.start
+  join (select gender, count(distinct sample) as k from bins group by gender) n on n.gender = b.gender) z""",
 )
 def _(v):
     return cn.batch_correct(_as_fixed(v), sex_matched=True).select("sample", "chrom", "start", "ratio_batch_fix")

@@ -223,8 +223,8 @@ def _(v):
 @query(
     "A14_base_at",
     """
-select site_id, substr(txt, s.pos % 30000 + 100, 1) as base from sites s join ref_text t on s.chrom = t.chrom""",
+select site_id, substr(txt, s.pos % 3000 + 100, 1) as base from sites s join ref_text t on s.chrom = t.chrom""",
 )
 def _(v):
-    rows = v("sites").select("site_id", "chrom", (F.col("pos") % 30000 + 100).alias("p"))
+    rows = v("sites").select("site_id", "chrom", (F.col("pos") % 3000 + 100).alias("p"))
     return sequence.base_at(rows, v("ref_chunks"), 12, "p", "base").select("site_id", "base")
