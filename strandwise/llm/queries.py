@@ -51,3 +51,12 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
         HostRule("allow", "www.example.com", "/en/"), HostRule("block", "net", "/es/"), HostRule("block", "net", "/fr/"),
     ]
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+@query(
+    "op5_mixing",
+)
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("blocks")
