@@ -60,3 +60,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("blocks")
+
+
+@query("op8_simhash_near_dedup")
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
