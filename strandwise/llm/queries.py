@@ -53,9 +53,7 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
-@query(
-    "op5_mixing",
-)
+@query("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.mixing import mix
 
@@ -67,3 +65,24 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(
+    "op6_warc",
+    """
+with p as (select page_id, coalesce(encode(html), ''::blob) as payload from pages),
+f as (select *, min(page_id) over (partition by payload) as least from p),
+h as (select *, sha1(payload) as hex from f),
+bits as (select *, [instr('0123456789abcdef', x) - 1 for x in string_split(hex, '')] as n from h)
+select page_id, cast(octet_length(payload) as bigint) as payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((n[(5 * k) // 4 + 1] * 16
+    + coalesce(n[(5 * k) // 4 + 2], 0)) // (1 << (3 - (5 * k) % 4))) % 32 as bigint), 1) for k in range(32)], '') as payload_digest,
+  case when least = page_id then 'response' else 'revisit' end as record_type,
+  case when least = page_id then null else least end as refers_to
+from bits
+""",
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.warc import round_trip
+
+    return round_trip(spark, table(spark, sf_dir, "pages"))
