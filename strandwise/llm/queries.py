@@ -86,3 +86,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.warc import round_trip
 
     return round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op7_benchmark_decontamination")
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.contamination import contained
+
+    return contained(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
