@@ -115,7 +115,7 @@ class _Members:
                 yield piece
 
     def finish(self) -> None:
-        tail = self.buffer
+        tail, self.buffer = self.buffer, b""
         while self._more():
             tail, self.buffer = tail + self.buffer, b""
         if tail != b"\r\n\r\n":

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 
 import pytest
 
@@ -24,6 +25,14 @@ def test_members_are_plain_gzip_and_digests_hold():
     assert gzip.decompress(archive).count(b"WARC/1.1\r\n") == 4
 
 
+def test_record_ends_anywhere_in_a_chunk(monkeypatch):
+    monkeypatch.setattr("strandwise.llm.warc.CHUNK", 7)
+    rng = random.Random(3)
+    payloads = [rng.randbytes(n) for n in range(120)]
+    rows = list(read_records(io.BytesIO(b"".join(map(one, payloads)))))
+    assert [r["payload_sha1"] for r in rows] == list(map(sha1_base32, payloads))
+
+
 def test_broken_archives_are_told():
     good = one()
     with pytest.raises(WarcError):
