@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +94,14 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     from strandwise.llm.contamination import contained
 
     return contained(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.common import fold
+    from strandwise.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"), fold("doc_id") != 0)
+    held = F.coalesce(fold("doc_id") == 0, F.lit(False))
+    return score(docs, model).drop("passages").select("doc_id", held.alias("held_out"), "score", "predicted", "n_passages", "evidence")
