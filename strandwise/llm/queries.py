@@ -105,3 +105,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, table(spark, sf_dir, "labels"), fold("doc_id") != 0)
     held = F.coalesce(fold("doc_id") == 0, F.lit(False))
     return score(docs, model).drop("passages").select("doc_id", held.alias("held_out"), "score", "predicted", "n_passages", "evidence")
+
+
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op10_token_store")
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.token_store import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
