@@ -172,42 +172,84 @@ def contained(
     spark = docs.sparkSession
     kinds = dict(docs.dtypes)[doc_id], dict(items.dtypes)[item_id]
     schema = f"{doc_id} {kinds[0]}, {item_id} {kinds[1]}, n_shingles long, n_shared long, containment double"
+    out = None
+    for search in _searches(spark, items, item_id, item_text, shingle, containment, item_block, n_hashes):
+        found = docs.select(doc_id, text).mapInArrow(_pairs(search, schema), schema)
+        out = found if out is None else out.unionByName(found)
+    return out if out is not None else spark.createDataFrame([], schema)
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+    shingle: int = 5, containment: float = 0.8, item_block: int = ITEM_BLOCK, n_hashes: int = N_HASHES,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns."""
+    at = docs.columns.index(text)
+    for search in _searches(docs.sparkSession, items, item_id, item_text, shingle, containment, item_block, n_hashes):
+        docs = docs.mapInArrow(_clean(search, at), docs.schema)
+    return docs
+
+
+def _searches(spark, items, item_id, item_text, shingle, containment, item_block, n_hashes) -> Iterator[Search]:
+    """A search for each block of items."""
     wanted = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).where("text is not null")
     n_blocks = -(-wanted.count() // item_block)
-    out = None
     for k in range(n_blocks):
         block = wanted.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k).toArrow()
-        if not block.num_rows:
-            continue
-        shared = spark.sparkContext.broadcast((block["item"].combine_chunks(), block["text"].to_pylist()))
-        found = docs.select(doc_id, text).mapInArrow(_searcher(shared, schema, shingle, containment, n_hashes), schema)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else spark.createDataFrame([], schema)
+        if block.num_rows:
+            shared = spark.sparkContext.broadcast((block["item"].combine_chunks(), block["text"].to_pylist()))
+            yield Search(shared, shingle, containment, n_hashes)
 
 
-def _searcher(shared, schema: str, shingle: int, containment: float, n_hashes: int):
+class Search:
+    """One block of items, ready in a task after ``begin``."""
+
+    def __init__(self, shared, shingle: int, containment: float, n_hashes: int):
+        self.shared, self.shingle, self.containment, self.n_hashes = shared, shingle, containment, n_hashes
+
+    def begin(self) -> None:
+        self.ids, texts = self.shared.value
+        self.sets = [np.unique(shingle_hashes(word_hashes(t), self.shingle)) for t in texts]
+        self.partitions = partition_items(self.sets, self.n_hashes, RATIO)
+        self.seeds = hash_seeds(self.n_hashes)
+
+    def __call__(self, text: str | None) -> Iterator[tuple[int, int]]:
+        """Items in ``text`` and the number of shingles shared with each."""
+        shingles = shingle_hashes(word_hashes(text), self.shingle)
+        if not len(shingles):
+            return
+        own = None
+        for i in sorted(candidates(shingles, self.partitions, self.seeds)):
+            own = np.unique(shingles) if own is None else own
+            n_shared = len(np.intersect1d(own, self.sets[i], assume_unique=True))
+            if n_shared >= self.containment * len(self.sets[i]):
+                yield i, n_shared
+
+
+def _pairs(search: Search, schema: str):
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts = shared.value
-        sets = [np.unique(shingle_hashes(word_hashes(t), shingle)) for t in texts]
-        partitions = partition_items(sets, n_hashes, RATIO)
-        seeds = hash_seeds(n_hashes)
+        search.begin()
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                shingles = shingle_hashes(word_hashes(text.as_py()), shingle)
-                if not len(shingles):
-                    continue
-                own = None
-                for i in sorted(candidates(shingles, partitions, seeds)):
-                    own = np.unique(shingles) if own is None else own
-                    n_shared = len(np.intersect1d(own, sets[i], assume_unique=True))
-                    if n_shared >= containment * len(sets[i]):
-                        rows.append((doc.as_py(), ids[i].as_py(), len(sets[i]), n_shared, n_shared / len(sets[i])))
+                for i, n_shared in search(text.as_py()):
+                    size = len(search.sets[i])
+                    rows.append((doc.as_py(), search.ids[i].as_py(), size, n_shared, n_shared / size))
             if rows:
-                kinds = [batch.schema.field(0).type, ids.type, pa.int64(), pa.int64(), pa.float64()]
+                kinds = [batch.schema.field(0).type, search.ids.type, pa.int64(), pa.int64(), pa.float64()]
                 columns = zip(zip(*rows, strict=True), kinds, strict=True)
                 yield pa.record_batch([pa.array(c, k) for c, k in columns], names)
 
     return run
+
+
+def _clean(search: Search, at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search.begin()
+        for batch in batches:
+            keep = [next(search(t.as_py()), None) is None for t in batch.column(at)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run

@@ -88,6 +88,7 @@ def mix(
     seed: int = 42,
     block: int = BLOCK,
     shard: int = SHARD,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """What the mix takes of each row of ``docs`` (``doc_id``, ``text``, ``source``).
 
@@ -99,9 +100,11 @@ def mix(
 
     A null or empty text has size 0 and is never taken; null sources are a source of their
     own; repeated rows are rows like any other; further columns are ignored, an empty table
-    gives no rows. Results depend on the rows and the seed alone.
+    gives no rows. Results depend on the rows and the seed alone. Columns named in
+    ``carry`` come along.
     """
-    sizes = docs.select("doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"))
+    sizes = docs.select(
+        "doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), *carry)
     sizes = written(sizes)  # texts are counted once
     targets = source_targets(sizes, weights, share, cap)
     total = F.sum("target").over(Window.partitionBy())
@@ -132,7 +135,7 @@ def mix(
     laid = laid.withColumn("blocks", F.when(F.col("size") > 0, blocks))
     return laid.select(
         "doc_id", "size", "source_size", "target",
-        F.coalesce(_taken(F.col("blocks"), F.col("size"), block), F.lit(0)).cast("long").alias("taken"), "blocks",
+        F.coalesce(_taken(F.col("blocks"), F.col("size"), block), F.lit(0)).cast("long").alias("taken"), "blocks", *carry,
     )
 
 
@@ -148,3 +151,30 @@ def _taken(b: Column, size: Column, block: int) -> Column:
 
     extra = F.aggregate(F.sequence(b["first"], b["last"]), F.lit(0).cast("long"), lambda a, k: a + words(k).cast("long"))
     return F.floor(b["quota"] / b["n"]) * size + extra
+
+
+def mixed_documents(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each time a document is taken.
+
+    A document taken whole keeps its text; where only some of its blocks are taken, the text
+    is the words of these, joined by blanks, and ``n_chars`` their length. What is not taken
+    leaves no row.
+    """
+    stamped = written(docs.select(F.monotonically_increasing_id().alias("_row"), *docs.columns))
+    plan = mix(stamped, block=block, carry=["_row"], **options)
+    plan = plan.where("taken > 0").select("_row", "blocks", "taken", F.col("size").alias("_size"))
+    rows = stamped.join(plan, "_row")
+    b = F.col("blocks")
+    whole = F.floor(b["quota"] / b["n"]).cast("int")
+    extra = F.col("taken") - whole * F.col("_size")
+    rows = rows.withColumns({"_whole": whole, "_extra": extra})
+    times = F.col("_whole") + (F.col("_extra") > 0).cast("int")
+    rows = rows.withColumn("_pass", F.explode(F.sequence(F.lit(1), times)))
+    words = F.regexp_extract_all("text", F.lit(WORD), 0)
+    some = F.filter(words, lambda w, i: chosen(b, F.floor((b["offset"] + i) / block)))
+    part = (F.col("_pass") > F.col("_whole")) & (F.col("_extra") < F.col("_size"))
+    rows = rows.withColumn("text", F.when(part, F.array_join(some, " ")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        rows = rows.withColumn("n_chars", F.when(part, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return rows.select(*docs.columns)

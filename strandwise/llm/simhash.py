@@ -204,3 +204,27 @@ def _named(classes: DataFrame, label: DataFrame) -> DataFrame:
     rooted = classes.join(label, "fp")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rooted.join(least, "root").select("fp", "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, reach: int = 3) -> DataFrame:
+    """One row of each component, with all its columns: the smallest ``doc_id``, null last.
+
+    Of rows with that same id one is kept.
+    """
+    stamped = docs.select(F.monotonically_increasing_id().alias("_row"), *docs.columns)
+    at = stamped.columns.index(text)
+    schema = ", ".join(["_fp long", *(f"`{c}` {t}" for c, t in stamped.dtypes)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = re.compile(WORD)
+        for batch in batches:
+            fps = np.fromiter((simhash(t.as_py(), words, shingle) for t in batch.column(at)), np.uint64, batch.num_rows)
+            yield pa.record_batch([pa.array(fps.view(np.int64)), *batch.columns], ["_fp", *batch.schema.names])
+
+    rows = written(stamped.mapInArrow(run, schema))
+    order = F.struct(F.col(doc_id).isNull().alias("unknown"), F.col(doc_id).alias("id"), F.col("_row").alias("row"))
+    classes = written(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min(order).alias("first")))
+    label = components(classes.select("fp"), links(classes.select("fp"), reach))
+    kept = classes.join(label, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)

@@ -307,3 +307,20 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             yield pa.record_batch([batch.column(0), *columns], [doc_id, "score", "predicted", "evidence", "n_passages", "passages"])
 
     return docs.select(doc_id, text).mapInArrow(run, f"{doc_id} {kind}, {RESULT}")
+
+
+def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = shared.value
+        for batch in batches:
+            keep = []
+            for t in batch.column(at):
+                words = tokens(t.as_py())
+                keep.append(m.probability(m.evidence(len(words), m.segments(words))) < 0.5)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
