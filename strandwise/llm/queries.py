@@ -118,3 +118,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.token_store import round_trip
 
     return round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
+
+
+@query("op9_embedding_near_dedup")
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.lattice import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
