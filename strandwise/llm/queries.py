@@ -125,3 +125,10 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.lattice import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op2_suffix_array_dedup")
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.suffix_dedup import deduplicate
+
+    return deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
