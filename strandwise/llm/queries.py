@@ -132,3 +132,13 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.suffix_dedup import deduplicate
 
     return deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.common import fold
+    from strandwise.llm.lm_scoring import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold("doc_id") == 1, F.lit(False))
+    return score(docs, fit(docs.where(~held_out), tokenizer_file()), held_out)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from functools import cache
 
 import numpy as np
 import regex
@@ -26,6 +27,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+@cache
+def task_encoder(path: str) -> Encoder:
+    """The encoder of a Python worker; the tasks it runs one after the other share the kept words."""
+    return Encoder(path)
+
+
 class Encoder:
     """``encode(text)`` gives the ids that the tokenizer file gives without special tokens.
 
@@ -56,7 +63,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _new_word(self, word: str) -> bytes:
-        if _LATIN.fullmatch(word):
+        if _LATIN.fullmatch(word) and not any(s in word for s in self.special):
             model, ids = self.tokenizer.model, []
             for piece in self.pieces.findall(word.lower()):
                 ids += [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
@@ -67,6 +74,10 @@ class Encoder:
             self.ids[word] = found
         return found
 
+    def encode_word(self, word: str) -> bytes:
+        """The ids, as bytes, of a text without ASCII white space."""
+        return self.ids.get(word) or (self._new_word(word) if self.by_word else self.whole(word).tobytes())
+
     def words(self, text: str) -> list[bytes] | None:
         """The ids of each word as bytes; None if the text can't be cut at its white space."""
         if not self.by_word or _ODD_SPACE.search(text) or any(s in text for s in self.special):
