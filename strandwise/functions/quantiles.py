@@ -10,33 +10,11 @@ from pyspark.sql import functions as F
 _SPLITS = 31
 
 
-HOT_GROUP = 1_000_000
-
 
 def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    hot_rows: int = HOT_GROUP,
-) -> DataFrame:
-    """Linear-interpolation quantiles of ``value`` per ``keys`` (nulls skipped).
-
-    Groups of at most ``hot_rows`` rows use the built-in exact percentile, whose
-    buffer is then bounded; larger groups are spread over tasks by value range.
-    """
-    keys = list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_x"))
-    hot = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).drop("count")
-    exact = [F.percentile("_x", F.lit(float(p))).alias(n) for n, p in quantiles.items()]
-    usual = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(*exact)
-    return usual.unionByName(_spread_quantiles(rows.join(hot, keys, "left_semi"), keys, "_x", quantiles))
-
-
-def _spread_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
-    """Exact quantiles of very large groups.
+    """Linear-interpolation quantiles of ``value`` per ``keys`` (nulls skipped), for groups of any size.
 
     Equal values are first counted on the map side.  A bounded sketch picks
     splitters per key; the counted values fall into buckets between them, so that

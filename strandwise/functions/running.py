@@ -31,6 +31,7 @@ def running(
     leads: Mapping[str, Column] | None = None,
     lags: Mapping[str, Column] | None = None,
     keep_block: bool = False,
+    keep_unknown: bool = False,
 ) -> DataFrame:
     """Add running columns to ``df``, whose rows are unique per (keys, order).
 
@@ -38,6 +39,8 @@ def running(
     rows before it.  fills: last non-null value up to and including the row.
     leads / lags: the value on the next / previous row.  ``keep_block`` leaves the
     block number in, so that a second call over the same order shuffles nothing.
+    Rows without a key or an order stand in no series and are dropped; ``keep_unknown``
+    keeps them, with null in the new columns.
     """
     keys = list(keys)
     sums, prior_max, fills = dict(sums or {}), dict(prior_max or {}), dict(fills or {})
@@ -99,7 +102,10 @@ def running(
         out[name] = F.coalesce(F.lag(expr).over(inner), F.col(f"_carry_{name}"))
     joined = rows.join(carry, [*keys, "_block"], "left")
     kept = [c for c in rows.columns if keep_block or c != "_block"]
-    return joined.select(*kept, *[c.alias(n) for n, c in out.items()])
+    found = joined.select(*kept, *[c.alias(n) for n, c in out.items()])
+    if keep_unknown:
+        found = found.unionByName(df.where(~known), allowMissingColumns=True)
+    return found
 
 
 def sweep(

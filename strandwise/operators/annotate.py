@@ -65,14 +65,17 @@ def explode_ann(calls: DataFrame, fields: Sequence[str] = ANN_FIELDS) -> DataFra
 
 
 def filter_annotation(
-    ann: DataFrame, gene_trans: DataFrame, common: DataFrame, info: DataFrame, genes: Sequence[str], trio: str
+    ann: DataFrame, gene_trans: DataFrame, common: DataFrame, info: DataFrame, genes: Sequence[str], trio: str,
+    order: str = "ord",
 ) -> DataFrame:
     """Annotations of the wanted genes for parents, current proband and embryos.
 
     Symbol and transcript are tested separately, as membership in the gene's lists;
-    "HLA" has no table.  One row per matching gene of interest.
+    "HLA" has no table.  One row per matching gene of interest.  Of several ``info`` rows
+    of a sample the first counts, by ``order``, the place in the sheet.
     """
-    wanted = info.dropDuplicates(["sampleID"]).where(
+    first = info.groupBy("sampleID").agg(F.min_by("sample", order).alias("sample"))
+    wanted = first.where(
         F.col("sample").isin("Father", "Mother")
         | (F.concat_ws("_", "sample", "sampleID") == trio)
         | F.col("sample").contains("Embryo")

@@ -428,7 +428,7 @@ def ladder_by_slope(
 
     A peak is taken when the slope to the last match changes by no more than the
     size's limit; with too few matches the last peak is dropped and the walk starts
-    again.  Sequential by nature; one group is the few dozen ladder peaks of a trace.
+    again, ``retries`` walks in all; the last walk counts.  Sequential by nature; one group is the few dozen ladder peaks of a trace.
     """
     known, bounds = [float(s) for s in sizes], [float(x) for x in limits]
 
@@ -455,17 +455,13 @@ def ladder_by_slope(
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
         best: list[tuple[int, int]] = []
-        for _ in range(retries + 1):
-            if len(pdf) < 2:
-                break
-            best = walk(pdf["pos"].to_numpy().astype(float))
+        for dropped in range(min(retries, len(pdf) - 1)):
+            best = walk(pdf["pos"].to_numpy()[: len(pdf) - dropped].astype(float))
             if len(best) >= min_found:
                 break
-            pdf = pdf.iloc[:-1] if len(pdf) > 2 else pdf
         rows = [
             (pdf["sample"].iloc[0], known[k], int(pdf["pos"].iloc[i]), float(pdf["height"].iloc[i]))
             for k, i in sorted(best)
-            if i < len(pdf)
         ]
         return pd.DataFrame(rows, columns=["sample", "size", "pos", "height"])
 

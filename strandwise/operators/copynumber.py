@@ -212,13 +212,60 @@ def _bridge_tail(x: Column, terms: int = 6) -> Column:
     return F.when(x < 0.4, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total)))
 
 
+def smooth_outliers(
+    bins: DataFrame,
+    value: str = "log2ratio",
+    *,
+    region: int = 10,
+    outlier: float = 4.0,
+    shrink: float = 2.0,
+    keys: Sequence[str] = ("sample", "chrom"),
+    block: int = 4096,
+) -> DataFrame:
+    """Pull single spikes towards their neighbours before segmentation.
+
+    A value farther than ``outlier`` standard deviations above (below) all of the
+    ``region`` values on either side becomes their median plus (minus) ``shrink``
+    deviations.  The deviation is that of the steps between neighbours.  Rows are
+    numbered and cut into blocks that share ``region`` rows with the next, so a long
+    series spreads over many tasks; rows without a value or a place stay as they are.
+    """
+    keys = list(keys)
+    x = F.col(value).cast("double")
+    placed = bins.where(x.isNotNull())
+    near = running(
+        placed.withColumn("_x", x), keys, "start", sums={"_i": F.lit(1)}, lags={"_prev": F.col("_x")}, keep_unknown=True
+    )
+    step = F.col("_x") - F.col("_prev")
+    noise = near.groupBy(*keys).agg(F.sqrt(F.avg(step * step) / 2).alias("_sd"))
+    own = F.floor(F.col("_i") / block)
+    blocks = F.array_distinct(F.array(own, F.floor((F.col("_i") - region) / block), F.floor((F.col("_i") + region) / block)))
+    spread = near.where("_i is not null").join(noise, keys).withColumn("_own", own).withColumn("_b", F.explode(blocks))
+    over = Window.partitionBy(*keys, "_b").orderBy("_i")
+    left, right = over.rowsBetween(-region, -1), over.rowsBetween(1, region)
+    high = F.greatest(F.max("_x").over(left), F.max("_x").over(right))
+    low = F.least(F.min("_x").over(left), F.min("_x").over(right))
+    spread = spread.withColumn("_high", high).withColumn("_low", low)
+    spread = spread.withColumn("_all", F.array_sort(F.collect_list("_x").over(over.rowsBetween(-region, region))))
+    n = F.size("_all")
+    middle = (F.get("_all", F.floor((n - 1) / 2).cast("int")) + F.get("_all", F.floor(n / 2).cast("int"))) / 2
+    sd = F.col("_sd")
+    smooth = (
+        F.when(F.col("_x") > F.col("_high") + outlier * sd, middle + shrink * sd)
+        .when(F.col("_x") < F.col("_low") - outlier * sd, middle - shrink * sd)
+        .otherwise(F.col("_x"))
+    )
+    done = spread.withColumn(value, smooth).where("_b = _own").select(*bins.columns)
+    rest = near.where("_i is null").select(*bins.columns).unionByName(bins.where(x.isNull()))
+    return done.unionByName(rest.withColumn(value, x).select(*bins.columns))
+
+
 def segment(
     bins: DataFrame,
     value: str = "log2ratio",
     *,
     alpha: float = 0.01,
     min_width: int = 2,
-    max_rounds: int = 20,
     keys: Sequence[str] = ("sample", "chrom"),
 ) -> DataFrame:
     """Circular change-point segmentation, all series and segments at once per round.
@@ -228,7 +275,8 @@ def segment(
     the best arc, and the range over noise x sqrt(n) has a known tail (Kuiper's
     statistic).  Significant arcs split their segment into up to three.  Every step
     is an aggregation with map-side combine or a join, so one long series spreads
-    over many tasks; a round's state is checkpointed.
+    over many tasks; a round's state is checkpointed.  Rounds go on until no segment
+    splits; a split makes its segment shorter, so they end.
     """
     keys = list(keys)
     base = bins.where(F.col(value).isNotNull()).select(*keys, "start", F.col(value).cast("double").alias("x"))
@@ -248,7 +296,7 @@ def segment(
         )
     )
     done = []
-    for _ in range(max_rounds):
+    while True:
         live = rows.where("open")
         seg = [*keys, "seg"]
         stats = live.groupBy(*seg).agg(
@@ -295,8 +343,6 @@ def segment(
         done.append(rows.where(~F.col("open")))
         if rows.where("open").limit(1).count() == 0:
             break
-    else:
-        done.append(rows.where("open"))
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
@@ -313,7 +359,7 @@ def spread_segments(bins: DataFrame, segs: DataFrame, keys: Sequence[str] = ("sa
     """Segment mean on every bin (filled along each contig) and 2 to its power."""
     starts = segs.select(*keys, "start", F.col("seg_mean").alias("_mean"))
     joined = bins.join(starts, [*keys, "start"], "left")
-    filled = running(joined, keys, "start", fills={"seg_mean": F.col("_mean")})
+    filled = running(joined, keys, "start", fills={"seg_mean": F.col("_mean")}, keep_unknown=True)
     return filled.select(*bins.columns, "seg_mean", F.pow(F.lit(2.0), F.col("seg_mean")).alias("copy_ratio"))
 
 

@@ -198,7 +198,7 @@ def count_overlaps(a: DataFrame, b: DataFrame, on: Sequence[str] = ("chrom",)) -
     """``a`` plus ``n_overlaps``, the number of ``b`` intervals each row meets.
 
     Counted as (starts before a.stop) - (stops up to a.start), so no pair is built
-    however deep the pile-up is.
+    however deep the pile-up is.  A row without a key or an end meets none.
     """
     on = list(on)
     marks = a.select(
@@ -218,9 +218,9 @@ def count_overlaps(a: DataFrame, b: DataFrame, on: Sequence[str] = ("chrom",)) -
     begun = at.select(*on, F.col("pos").alias("stop"), (F.col("_s") - F.col("s")).alias("_begun"))
     ended = at.select(*on, F.col("pos").alias("start"), F.col("_e").alias("_ended"))
     return (
-        a.join(begun, [*on, "stop"])
-        .join(ended, [*on, "start"])
-        .select(*a.columns, (F.col("_begun") - F.col("_ended")).alias("n_overlaps"))
+        a.join(begun, [*on, "stop"], "left")
+        .join(ended, [*on, "start"], "left")
+        .select(*a.columns, F.coalesce(F.col("_begun") - F.col("_ended"), F.lit(0)).alias("n_overlaps"))
     )
 
 

@@ -21,11 +21,12 @@ DEGENERATE = {"R": "A/G", "Y": "C/T", "M": "A/C", "K": "G/T", "S": "G/C", "W": "
 ACE_FEATURES = ("snp_ratio", "depth_ratio", "split_reads_ratio")
 
 
-def site_lookup(catalog: DataFrame, calls: DataFrame, depth: DataFrame) -> DataFrame:
+def site_lookup(catalog: DataFrame, calls: DataFrame, depth: DataFrame, order: str = "ord") -> DataFrame:
     """Record of each catalogue site, or reference with the depth of the reads.
 
     ``calls`` of one sample (chrom, pos, ref, alt array, qd, gt, dp, ad array);
-    ``depth`` runs (chrom, start, stop, depth).  The first record of a site counts.
+    ``depth`` runs (chrom, start, stop, depth).  The first record of a site counts, by
+    ``order``, the place in the file.
     """
     total = F.aggregate(F.col("ad"), F.lit(0).cast("long"), lambda a, x: a + x)
     rec = F.struct(
@@ -36,7 +37,7 @@ def site_lookup(catalog: DataFrame, calls: DataFrame, depth: DataFrame) -> DataF
         F.col("dp").cast("long").alias("dp"),
         ratio(F.element_at("ad", -1), total).alias("ratio"),
     )
-    first = calls.select("chrom", "pos", rec.alias("rec")).groupBy("chrom", "pos").agg(F.min("rec").alias("rec"))
+    first = calls.groupBy("chrom", "pos").agg(F.min_by(rec, F.col(order)).alias("rec"))
     spots = catalog.select("chrom", "pos").distinct().join(first, ["chrom", "pos"], "left_anti")
     spots = spots.withColumn("start", F.col("pos") - 1).withColumn("stop", F.col("pos"))
     under = overlap_join(spots, depth).select("chrom", "pos", "depth")

@@ -26,18 +26,19 @@ def variant_slot(gt: Column, alts: Column, alt: Column) -> Column:
     )
 
 
-def phased_variant(targets: DataFrame, calls: DataFrame) -> DataFrame:
+def phased_variant(targets: DataFrame, calls: DataFrame, order: str = "ord") -> DataFrame:
     """Phase set and slot of target SNVs/indels; targets without one keep nulls.
 
     ``targets`` (chrom, pos, ref, alt); ``calls`` (chrom, pos, ref, alt array, gt, ps).
+    Of several records of a target the first counts, by ``order``, the place in the file.
     """
     phased = calls.where(F.col("ps").isNotNull() & ~F.col("gt").contains("/")).select(
-        "chrom", "pos", "ref", F.col("alt").alias("_alts"), F.col("gt").alias("_gt"), "ps"
+        "chrom", "pos", "ref", F.col("alt").alias("_alts"), F.col("gt").alias("_gt"), "ps", F.col(order).alias("_ord")
     )
     hits = targets.join(phased, ["chrom", "pos", "ref"]).where(F.array_contains("_alts", F.col("alt")))
     slot = variant_slot(F.col("_gt"), F.col("_alts"), F.col("alt"))
     first = hits.groupBy(*SITE).agg(
-        F.min(F.struct(F.col("ps"), F.col("_gt").alias("gt"), slot.alias("slot"))).alias("_x")
+        F.min_by(F.struct(F.col("ps"), F.col("_gt").alias("gt"), slot.alias("slot")), F.col("_ord")).alias("_x")
     )
     return targets.join(first, list(SITE), "left").select(
         *targets.columns,

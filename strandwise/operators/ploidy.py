@@ -37,7 +37,8 @@ def fit_two_peaks(ratios: DataFrame, tol: float = 1e-3, reg: float = 1e-8, max_i
 
     Shares of reads are fractions with small denominators, so equal values are
     counted first; the fit then sees (value, count) pairs, whose number depends on
-    the depth and not on the number of sites.
+    the depth and not on the number of sites.  ``rounds`` tells how many steps were
+    taken and ``converged`` whether the last changed the likelihood by less than ``tol``.
     """
     counted = ratios.groupBy(*_KEY, "ratio").agg(F.count(F.lit(1)).alias("n"))
     start = np.array(START_MEANS)
@@ -50,7 +51,9 @@ def fit_two_peaks(ratios: DataFrame, tol: float = 1e-3, reg: float = 1e-8, max_i
         mass = (resp * n[:, None]).sum(axis=0) + 1e-12
         var = (resp * n[:, None] * (x[:, None] - means) ** 2).sum(axis=0) / mass + reg
         weight = mass / mass.sum()
-        for _ in range(max_iter):
+        rounds, converged = 0, False
+        while rounds < max_iter and not converged:
+            rounds += 1
             log = -0.5 * ((x[:, None] - means) ** 2 / var + np.log(2 * np.pi * var)) + np.log(weight)
             top = log.max(axis=1, keepdims=True)
             total = top[:, 0] + np.log(np.exp(log - top).sum(axis=1))
@@ -60,18 +63,17 @@ def fit_two_peaks(ratios: DataFrame, tol: float = 1e-3, reg: float = 1e-8, max_i
             means = (resp * x[:, None]).sum(axis=0) / mass
             var = (resp * (x[:, None] - means) ** 2).sum(axis=0) / mass + reg
             weight = mass / mass.sum()
-            if abs(bound - last) < tol:
-                break
-            last = bound
+            converged, last = abs(bound - last) < tol, bound
         a, b = np.argsort(means)
         return pd.DataFrame(
             {
                 "sample": [pdf["sample"].iloc[0]], "chrom": [pdf["chrom"].iloc[0]],
                 "w1": weight[a], "m1": means[a], "v1": var[a], "w2": weight[b], "m2": means[b], "v2": var[b],
+                "rounds": [rounds], "converged": [bool(converged)],
             }
         )
 
-    schema = "sample string, chrom string, w1 double, m1 double, v1 double, w2 double, m2 double, v2 double"
+    schema = "sample string, chrom string, w1 double, m1 double, v1 double, w2 double, m2 double, v2 double, rounds int, converged boolean"
     return counted.groupBy(*_KEY).applyInPandas(fit, schema)
 
 

@@ -48,6 +48,8 @@ def _(v):
     )
     common = spark.createDataFrame([("common", "NM_9", "c.9del")], "`Common Name` string, Transcript string, `HGVS.c` string")
     info = ann.select("sample", F.concat(F.lit("ID"), "sample").alias("sampleID")).distinct()
+    # the sheet names every sample again, later, as one that is not wanted
+    info = info.withColumn("ord", F.lit(1)).unionByName(info.withColumn("ord", F.lit(2)).withColumn("sample", F.lit("Cousin")))
     out = an.filter_annotation(ann, trans, common, info, ["T1", "T2", "HLA"], "Proband_other")
     return out.select("chrom", "pos", "sample", "sampleID", "gene", "Transcript", "`Common Name`")
 

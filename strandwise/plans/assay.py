@@ -78,7 +78,7 @@ def _(v):
     return v("counts2x2").select("row_id", F.round(ay.two_by_two_p("mut", "wild", "mut_c", "wild_c"), 6).alias("p"))
 
 
-_GRID = 4000
+_GRID = 1_000_000
 _BF = f"""
 select mut, total, num / (den + 2) as bf from (
   select mut, total, sum(exp(c + 3 * ln(p) + 99 * ln(1 - p) + mut * ln(1 + p) + (total - mut) * ln(1 - p))) / {_GRID} as num,
@@ -91,7 +91,7 @@ select mut, total, num / (den + 2) as bf from (
 @query("J4_bayes_factor", f"select row_id, round_even(bf, 3) as bf from counts2x2 c join ({_BF}) b on b.mut = c.mut and b.total = c.mut + c.wild")
 def _(v):
     rows = v("counts2x2").withColumn("total", F.col("mut") + F.col("wild"))
-    return ay.bayes_factor(rows, "mut", "total", _GRID).select("row_id", "bf")
+    return ay.bayes_factor(rows, "mut", "total").select("row_id", "bf")
 
 
 @query(
@@ -109,18 +109,21 @@ from (select q.row_id, p, q.mut + q.wild as total, q.mut / cast(q.mut + q.wild a
   from ({_P}) q join ({_BF}) b on b.mut = q.mut and b.total = q.mut + q.wild) t""",
 )
 def _(v):
-    return ay.droplet_genotype(v("counts2x2"), _GRID).select("row_id", "genotype")
+    return ay.droplet_genotype(v("counts2x2")).select("row_id", "genotype")
 
 
-_LADDER = """
-select sample, pos, intensity as height from (select *, row_number() over (partition by sample order by intensity desc, pos) as rn from signal) t where rn <= 12"""
+_PEAKS = """
+select sample, cast(floor((a + z) / 2.0) as bigint) as pos, height from (
+  select sample, min(pos) as a, max(pos) as z, min(intensity) as height, lag(min(intensity)) over (partition by sample order by min(pos)) as l,
+    lead(min(intensity)) over (partition by sample order by min(pos)) as r from (
+    select *, sum(case when intensity = p then 0 else 1 end) over (partition by sample order by pos) as g from (
+      select *, lag(intensity) over (partition by sample order by pos) as p from signal) x) y group by sample, g) t
+where l < height and r < height and height >= 40"""
+_LADDER = _PEAKS
 
 
 def _ladder(v):
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("intensity"), "pos"))
-    return v("signal").withColumn("rn", rank).where("rn <= 12").select("sample", "pos", F.col("intensity").alias("height"))
+    return ay.call_peaks(v("signal"), 40, 1)
 
 
 _SIZES = [50, 75, 100, 139, 150, 160, 200, 250]
@@ -161,15 +164,9 @@ def _(v):
 
 
 
-@query("J8_call_peaks", f"""
-select sample, cast(floor((a + z) / 2.0) as bigint) as pos, height from (
-  select sample, min(pos) as a, max(pos) as z, min(intensity) as height, lag(min(intensity)) over (partition by sample order by min(pos)) as l,
-    lead(min(intensity)) over (partition by sample order by min(pos)) as r from (
-    select *, sum(case when intensity = p then 0 else 1 end) over (partition by sample order by pos) as g from (
-      select *, lag(intensity) over (partition by sample order by pos) as p from signal) x) y group by sample, g) t
-where l < height and r < height and height >= 40""")
+@query("J8_call_peaks", _PEAKS)
 def _(v):
-    return ay.call_peaks(v("signal"), 40, 1)
+    return _ladder(v)
 
 
 @query("J8_call_peaks_thinned")
@@ -244,7 +241,8 @@ def _(v):
 @query(
     "J13_interpolate_size",
     f"""
-with l as (select sample, pos, (row_number() over (partition by sample order by pos) * 25)::double as size from ({_LADDER}) a),
+with l as (select sample, pos, ((9 - k) * 25)::double as size from (
+  select sample, pos, row_number() over (partition by sample order by pos desc) as k from ({_LADDER}) a) b where k <= 8),
 n as (select s.sample, s.pos, l.pos as x, l.size as y, row_number() over (partition by s.sample, s.pos order by abs(l.pos - s.pos), l.pos) as k
   from (select s.* from signal s join (select sample, min(pos) as p0 from l group by sample) f on f.sample = s.sample and s.pos >= f.p0) s
   join l on l.sample = s.sample)
@@ -255,6 +253,7 @@ select sample, pos, round_even((y2 - y1) / cast(x2 - x1 as double) * (pos - x1)
 def _(v):
     from pyspark.sql import Window
 
-    number = F.row_number().over(Window.partitionBy("sample").orderBy("pos"))
-    ladder = _ladder(v).withColumn("size", (number * 25).cast("double"))
+    # the last eight peaks are the eight sizes, as in the calibration
+    number = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("pos")))
+    ladder = _ladder(v).withColumn("k", number).where("k <= 8").select("sample", "pos", ((9 - F.col("k")) * 25).cast("double").alias("size"))
     return ay.interpolate_size(v("signal").select("sample", "pos"), ladder)

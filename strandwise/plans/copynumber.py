@@ -109,7 +109,7 @@ def _(v):
     from strandwise.functions.quantiles import exact_quantiles
 
     rows = _as_fixed(v)
-    line = exact_quantiles(rows, ["chrom", "start"], "ratio_gc_fix", {"m": 0.5}, hot_rows=5)
+    line = exact_quantiles(rows, ["chrom", "start"], "ratio_gc_fix", {"m": 0.5})
     fixed = F.col("ratio_gc_fix") / F.when(F.col("m") == 0, 1.0).otherwise(F.col("m"))
     return rows.join(line, ["chrom", "start"]).select("sample", "chrom", "start", fixed.alias("ratio_batch_fix"))
 
@@ -143,10 +143,47 @@ def _(v):
     return cn.cv(v("exon_calls"), variant="exons")
 
 
-@query("E6_segment")
+# every series gains 1 from 5,000 to 12,000, on a small deterministic noise
+_STEPS = """
+select sample, chrom, start, cast((start / 100 * 7919) % 101 as double) / 1000 + case when start >= 5000 and start < 12000 then 1 else 0 end as x from bins"""
+
+
+def _steps(v):
+    inside = (F.col("start") >= 5000) & (F.col("start") < 12000)
+    noise = ((F.col("start") / 100 * 7919) % 101).cast("double") / 1000
+    return v("bins").select("sample", "chrom", "start", (noise + F.when(inside, 1.0).otherwise(0.0)).alias("x"))
+
+
+@query(
+    "E6_segment",
+    f"""
+select sample, chrom, min(start) as start, max(start) as last_start, count(*) as num_mark, round(avg(x), 6) as seg_mean
+from (select *, case when start < 5000 then 0 when start < 12000 then 1 else 2 end as part from ({_STEPS}) s) t group by sample, chrom, part""",
+)
+def _(v):
+    found = cn.segment(_steps(v), "x")
+    return found.select("sample", "chrom", "start", "last_start", "num_mark", F.round("seg_mean", 6).alias("seg_mean"))
+
+
+@query(
+    "E6_smooth_outliers",
+    f"""
+with s as (select sample, chrom, start, case when start % 1700 = 0 then 9 when start % 1900 = 0 then -7 else x end as x from ({_STEPS}) a),
+d as (select *, x - lag(x) over (partition by sample, chrom order by start) as step from s),
+n as (select sample, chrom, sqrt(avg(step * step) / 2) as sd from d group by 1, 2),
+w as (select s.*, sd, max(x) over (partition by s.sample, s.chrom order by start rows between 5 preceding and 1 preceding) as a,
+  max(x) over (partition by s.sample, s.chrom order by start rows between 1 following and 5 following) as b,
+  min(x) over (partition by s.sample, s.chrom order by start rows between 5 preceding and 1 preceding) as c,
+  min(x) over (partition by s.sample, s.chrom order by start rows between 1 following and 5 following) as e,
+  median(x) over (partition by s.sample, s.chrom order by start rows between 5 preceding and 5 following) as mid
+  from s join n on n.sample = s.sample and n.chrom = s.chrom)
+select sample, chrom, start, round(case when x > greatest(a, b) + 2 * sd then mid + sd when x < least(c, e) - 2 * sd then mid - sd else x end, 6) as x from w""",
+)
 def _(v):
-    rows = cn.batch_correct(_as_fixed(v)).withColumn("log2ratio", cn.clamp_log2("ratio_batch_fix"))
-    return cn.segment(rows)
+    start = F.col("start")
+    spiked = _steps(v).withColumn("x", F.when(start % 1700 == 0, 9.0).when(start % 1900 == 0, -7.0).otherwise(F.col("x")))
+    smooth = cn.smooth_outliers(spiked, "x", region=5, outlier=2.0, shrink=1.0, block=16)
+    return smooth.select("sample", "chrom", "start", F.round("x", 6).alias("x"))
 
 
 @query(

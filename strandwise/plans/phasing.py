@@ -25,12 +25,17 @@ def linked(v):
     "G9_phased_variant",
     """
 select s.site_id, p.ps, p.gt, case when p.gt in ('1|0', '1|1') then 0 when p.gt = '0|1' then 1 end as allele_number
-from (select * from sites where site_id % 5 = 0) s left join phased p
+from (select * from sites where site_id % 5 = 0) s left join (
+  select chrom, pos, ref, alt, case when site_id % 2 = 0 then gt else '0|1' end as gt, case when site_id % 2 = 0 then ps else 'A' end as ps from phased) p
 on p.chrom = s.chrom and p.pos = s.pos and p.ref = s.ref and p.alt = s.alt""",
 )
 def _(v):
     targets = v("sites").where("site_id % 5 = 0").select("site_id", "chrom", "pos", "ref", "alt")
-    return ph.phased_variant(targets, phased(v)).select("site_id", "ps", "gt", "allele_number")
+    # two records a site: the second of even sites, and the first of odd ones, is 0|1 in set A
+    rows = phased(v)
+    again = rows.withColumn("gt", F.lit("0|1")).withColumn("ps", F.lit("A"))
+    both = rows.withColumn("ord", F.col("site_id") % 2).unionByName(again.withColumn("ord", (F.col("site_id") + 1) % 2))
+    return ph.phased_variant(targets, both).select("site_id", "ps", "gt", "allele_number")
 
 
 @query(

@@ -82,7 +82,7 @@ select n.sample, n.chrom, coalesce(p, cast(round_even(m / one, 0) as int)) as pl
   case when few then variant_num when p > 0 then ratio_separate else m / one end as score,
   case when few then 'variant_num' when p > 0 then 'ratio_separate' else 'depth_ratio' end as func
 from (select sample, chrom, count(*) as variant_num, avg(ad0 + ad1) filter (where var_type = 'snp') as m, chrom = 'chrY' as few from calls
-    where chrom <> 'chrY' or site_id % 9 = 0 group by 1, 2) n
+    where chrom <> 'chrY' or site_id < 60 group by 1, 2) n
 join (select sample, chrom, ratio_separate, case when chrom = 'chrY' then 0 when chrom = 'chr1' then 3 when chrom = 'chrX' then 2 end as p
   from ({_FITS}) f) f on f.sample = n.sample and f.chrom = n.chrom
 join (select sample, avg((ad0 + ad1) / case chrom when 'chr1' then 3.0::double else 2.0::double end) as one from calls
@@ -90,14 +90,9 @@ join (select sample, avg((ad0 + ad1) / case chrom when 'chr1' then 3.0::double e
 
 
 def _ploidy(v):
-    # chrY keeps a ninth of its sites, which is under the smallest number of variants
-    some = calls(v).where("chrom <> 'chrY' or site_id % 9 = 0")
-    return pl.call_ploidy(_fits(v), pl.fit_depth(some), some, min_sites=_half(v))
-
-
-def _half(v) -> int:
-    """Half the sites of a contig: between chrY's ninth and the others."""
-    return v("sites").where("chrom = 'chr1'").count() // 2
+    # chrY keeps its first sites only, fewer than the smallest number of variants
+    some = calls(v).where("chrom <> 'chrY' or site_id < 60")
+    return pl.call_ploidy(_fits(v), pl.fit_depth(some), some, min_sites=20)
 
 
 @query("H5_call_ploidy", f"select * from ({_PLOIDY}) t")

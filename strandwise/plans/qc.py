@@ -246,11 +246,11 @@ def _(v):
 @query(
     "D10_merge_family_qc",
     """
-select sample, base_uni, c1, concat('F', cast(size % 7 as varchar)) as "Family" from cover where chromosome = 'chr1' union all
+select sample, base_uni, c1, concat('F', cast(size % 7 as varchar)) as "Family" from cover where chromosome <> 'chr2' union all
 select sample, base_uni, null, 'FX' from cover where chromosome = 'chr2'""",
 )
 def _(v):
-    one = v("cover").where("chromosome = 'chr1'").selectExpr(
+    one = v("cover").where("chromosome <> 'chr2'").selectExpr(
         "sample", "base_uni", "c1", "concat('/w/F', size % 7, '/QC.tsv') as path"
     )
     two = v("cover").where("chromosome = 'chr2'").selectExpr("sample", "base_uni", "'/w/FX/QC.tsv' as path")
