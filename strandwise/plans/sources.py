@@ -1,15 +1,16 @@
-"""Reader queries (survey section 2.1): parsers over text that Spark makes from the tables."""
+"""Reader and writer queries (survey section 2.1), over files that Spark writes from the tables first."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandwise.functions.stages import new_folder
 from strandwise.operators.intervals import restrict_regions
 from strandwise.plans.genotype import EMBRYOS, MEMBERS
 from strandwise.plans.registry import query
 from strandwise.sources import sequence, tables, vcf
-from strandwise.sources.alignments import SAM_COLUMNS, parse_sam, primary
+from strandwise.sources.alignments import SAM_COLUMNS, read_sam
 
 _PEOPLE = [*MEMBERS, *EMBRYOS]
 
@@ -29,7 +30,10 @@ def _(v):
         "\t", "chrom", F.col("pos").cast("string"), F.when(s % 3 == 0, ".").otherwise(F.col("ref")),
         F.when(s % 5 == 0, ".").otherwise((s / 4).cast("string")),
     )
-    return tables.parse_table(v("sites").select(line.alias("value")), schema, header="chrom\tpos\tref\tscore")
+    rows = tables.parse_table(v("sites").select(line.alias("value")), schema, header="chrom\tpos\tref\tscore")
+    path = new_folder(rows.sparkSession)
+    tables.write_table(rows, path)
+    return tables.read_table(rows.sparkSession, path, schema)
 
 
 @query(
@@ -38,22 +42,29 @@ def _(v):
 )
 def _(v):
     line = F.concat_ws("\t", "chrom", (F.col("start") + 1).cast("string"), F.col("stop").cast("string"))
-    rows = tables.parse_table(v("regions").select(line.alias("value")), tables.BED)
-    return tables.to_half_open(rows, drop_sex_and_mt=True)
+    lines = v("regions").select(line.alias("value"))
+    return tables.read_bed(lines.sparkSession, _saved(lines), one_based=True, windows=True)
 
 
-def _vcf_lines(v):
+def _saved(lines) -> str:
+    """The lines as text files in a new folder."""
+    path = new_folder(lines.sparkSession)
+    lines.select("value").write.text(path)
+    return path
+
+
+def _vcf_lines(v, people):
     s = F.col("site_id")
     cell = F.when(F.col("gt") == "./.", "./.:.").otherwise(
         F.concat(F.col("gt"), F.lit(":"), F.col("ad0").cast("string"), F.lit(","), F.col("ad1").cast("string"), F.lit(":"),
                  (F.col("ad0") + F.col("ad1")).cast("string"))
     )
     sites = v("calls").groupBy("chrom", "pos", "ref", "alt", "filter", "site_id").agg(
-        *[F.max(F.when(F.col("sample") == p, cell)).alias(p) for p in _PEOPLE]
+        *[F.max(F.when(F.col("sample") == p, cell)).alias(p) for p in people]
     )
     line = F.concat_ws(
         "\t", "chrom", F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), "filter",
-        F.concat(F.lit("QD=2.5;ID="), s.cast("string")), F.lit("GT:AD:DP"), *_PEOPLE,
+        F.concat(F.lit("QD=2.5;ID="), s.cast("string")), F.lit("GT:AD:DP"), *people,
     )
     return sites.select(line.alias("value"))
 
@@ -65,7 +76,12 @@ select chrom, pos, ref, alt, sample, gt, case when gt <> './.' then ad0 end as a
   case when gt <> './.' then ad0 + ad1 end as dp, filter, var_type, cast(site_id as varchar) as info_id from calls""",
 )
 def _(v):
-    rows = vcf.parse_vcf(_vcf_lines(v), _PEOPLE)
+    # parents and proband in one set of files, embryos in another
+    paths = []
+    for people in (MEMBERS, EMBRYOS):
+        names = "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *people])
+        paths.append(_saved(vcf.headed(_vcf_lines(v, people), ["##fileformat=VCFv4.2", names])))
+    rows = vcf.read_vcf(v("calls").sparkSession, paths)
     return rows.select(
         "chrom", "pos", "ref", F.col("alt")[0].alias("alt"), "sample", "gt", F.get("ad", F.lit(0)).alias("ad0"),
         F.get("ad", F.lit(1)).alias("ad1"), "dp", F.col("filter")[0].alias("filter"), "var_type",
@@ -92,7 +108,7 @@ def _(v):
     line = F.concat_ws(
         "\t", *[F.col(n).cast("string") for n, _ in SAM_COLUMNS], F.lit("NM:i:0"), F.concat(F.lit("MD:Z:"), "md")
     )
-    return primary(parse_sam(rows.select(line.alias("value")))).select(
+    return read_sam(rows.sparkSession, _saved(rows.select(line.alias("value")))).select(
         "qname", "flag", "rname", "pos", "cigar", "seq", "tlen", "md"
     )
 
@@ -143,7 +159,8 @@ def _(v):
         "\t", "chrom", F.lit("RefSeq"), kind, F.col("start").cast("string"), F.col("stop").cast("string"), F.lit("."),
         "strand", F.lit("."), attrs,
     )
-    return tables.gff_exons(tables.parse_table(v("exons").select(line.alias("value")), tables.GFF))
+    lines = v("exons").select(line.alias("value"))
+    return tables.read_gff_exons(lines.sparkSession, _saved(lines))
 
 
 @query(
@@ -160,7 +177,12 @@ def _(v):
             (F.col("rec") * 4 + F.col("i")).alias("line_no"), "value"
         )
 
-    return tables.pair_fastq(lines("seq1", "I"), lines("seq2", "F"))
+    def path(seq: str, mark: str) -> str:
+        return _saved(lines(seq, mark).repartitionByRange("line_no").sortWithinPartitions("line_no"))
+
+    pairs = tables.read_fastq_pairs(v("fq").sparkSession, path("seq1", "I"), path("seq2", "F"))
+    # records are numbered in file order
+    return pairs.withColumn("rec", F.regexp_extract("name", "[0-9]+", 0).cast("long"))
 
 
 @query(
@@ -176,6 +198,19 @@ def _(v):
     return tables.union_by_name([a, b, c])
 
 
+@query(
+    "A10_union_by_glob_files",
+    """
+select sample, base_uni, case when size % 2 = 0 then 'a' else 'b' end as part from cover""",
+)
+def _(v):
+    rows = v("cover").select("sample", "base_uni", F.when(F.col("size") % 2 == 0, "a").otherwise("b").alias("part"))
+    path = new_folder(rows.sparkSession)
+    tables.write_table(rows, path, by=["part"])
+    schema = T.StructType([T.StructField("sample", T.StringType()), T.StructField("base_uni", T.LongType())])
+    return tables.union_by_glob(rows.sparkSession, [f"{path}/part=*"], schema, {"part": "part=([^/]*)/"})
+
+
 @query(
     "A11_write_table",
     """
@@ -183,7 +218,9 @@ select concat(chrom, chr(9), pos, chr(9), case when var_type = 'indel' then '.'
 )
 def _(v):
     rows = v("sites").select("chrom", "pos", F.when(F.col("var_type") != "indel", F.col("alt")).alias("alt"))
-    return tables.report_text(rows)
+    path = new_folder(rows.sparkSession)
+    tables.write_table(rows, path)
+    return rows.sparkSession.read.text(path).where("value <> 'chrom\tpos\talt'")
 
 
 @query(
@@ -193,7 +230,9 @@ select concat('{"chrom":"', chrom, '","pos":', pos, case when var_type = 'indel'
 )
 def _(v):
     rows = v("sites").select("chrom", "pos", F.when(F.col("var_type") != "indel", F.col("alt")).alias("alt"))
-    return rows.select(F.to_json(F.struct("chrom", "pos", "alt")).alias("value"))
+    path = new_folder(rows.sparkSession)
+    tables.write_ndjson(rows, path)
+    return rows.sparkSession.read.text(path)
 
 
 @query(
@@ -207,7 +246,9 @@ def _(v):
         F.when(F.col("site_id") % 2 == 0, F.concat(F.lit("ID="), F.col("site_id").cast("string"))).alias("info"),
     )
     value = F.concat(F.col("alt"), F.lit("|"), F.length("alt").cast("string"))
-    return vcf.vcf_lines(vcf.add_info(rows, "S", value))
+    path = new_folder(rows.sparkSession)
+    vcf.write_vcf_info(rows, ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"], "S", value, path)
+    return rows.sparkSession.read.text(path).where(~F.col("value").startswith("#"))
 
 
 @query(

@@ -83,12 +83,10 @@ def _sv_sites(v):
         "\t", chrom, F.col("start").cast("string"), F.lit("."), F.lit("N"), F.lit("<DEL>"), F.lit("."), F.lit("PASS"),
         info, F.lit("GT"), F.lit("0/1"),
     )
-    rows = v("reads").select("sample", line.alias("value"))
-    parts = [parse_vcf(rows.where(F.col("sample") == f"S{i}"), [f"S{i}"]) for i in range(8)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("chrom", "pos", "info", "sample")
+    # each line has one genotype, of the read's own sample
+    return parse_vcf(v("reads").select(line.alias("value"), F.array("sample").alias("_s")), F.col("_s")).select(
+        "chrom", "pos", "info", "sample"
+    )
 
 
 @query("F4_parse_sv_info", _SV)

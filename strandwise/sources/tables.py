@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,9 +147,19 @@ def parse_fastq(lines: DataFrame, suffix: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their place in the file order (a counting pass, no single task)."""
-    indexed = spark.read.text(path).rdd.zipWithIndex().map(lambda p: (p[1], p[0][0]))
-    return spark.createDataFrame(indexed, "line_no long, value string")
+    """Text lines numbered through the files in the order of their names.
+
+    The lines of a split have consecutive ids; a counting pass gives each split its
+    first id and the number of lines before it, one row a split.
+    """
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin")]
+    lines = spark.read.text(path).select(*split, F.monotonically_increasing_id().alias("id"), "value")
+    before = Window.orderBy("file", "begin").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "begin").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    splits = splits.select("file", "begin", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return lines.join(splits, ["file", "begin"]).select(
+        (F.col("before") + F.col("id") - F.col("first")).alias("line_no"), "value"
+    )
 
 
 def pair_fastq(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -158,6 +168,7 @@ def pair_fastq(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def read_fastq_pairs(spark: SparkSession, path1: str, path2: str) -> DataFrame:
+    """Pairs of two files or folders; files of a folder follow each other by name."""
     return pair_fastq(numbered_lines(spark, path1), numbered_lines(spark, path2))
 
 

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandwise.operators.intervals import contig_order
+
 _LONG = ("chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "var_type")
 
 
-def parse_vcf(lines: DataFrame, samples: Sequence[str]) -> DataFrame:
+def parse_vcf(lines: DataFrame, samples: Sequence[str] | Column) -> DataFrame:
     """Text lines ``value`` → one row per site x sample.
 
     Columns: chrom, pos, id, ref, alt array, qual, filter array (null for '.'),
     info map, var_type, sample, gt, ad array (null when uncalled), dp, ps and the
-    remaining FORMAT fields as a map.  ``samples`` are the header's sample names.
+    remaining FORMAT fields as a map.  ``samples`` are the header's sample names,
+    or a column of ``lines`` that holds them.
     """
+    names = samples if isinstance(samples, Column) else F.array(*[F.lit(s) for s in samples])
     cols = F.split("value", "\t")
     alt = F.split(cols[4], ",")
     snp = (F.length(cols[3]) == 1) & F.forall(alt, lambda a: (F.length(a) == 1) & (a != "*"))
@@ -31,14 +36,14 @@ def parse_vcf(lines: DataFrame, samples: Sequence[str]) -> DataFrame:
         F.str_to_map(cols[7], F.lit(";"), F.lit("=")).alias("info"),
         F.when(snp, "snp").otherwise("indel").alias("var_type"),
         F.split(F.get(cols, F.lit(8)), ":").alias("_format"),
-        F.slice(cols, 10, len(samples)).alias("_cells"),
+        F.slice(cols, F.lit(10), F.size(names)).alias("_cells"),
+        names.alias("_names"),
     )
-    names = F.array(*[F.lit(s) for s in samples])
-    long = rows.select(*_LONG, "_format", F.posexplode("_cells").alias("_i", "_cell"))
+    long = rows.select(*_LONG, "_format", "_names", F.posexplode("_cells").alias("_i", "_cell"))
     cells = F.split("_cell", ":")
     # trailing fields may be left out of a cell
     fields = F.map_from_arrays(F.slice("_format", F.lit(1), F.least(F.size("_format"), F.size(cells))), F.slice(cells, F.lit(1), F.least(F.size("_format"), F.size(cells))))
-    long = long.select(*_LONG, F.get(names, F.col("_i")).alias("sample"), fields.alias("format"))
+    long = long.select(*_LONG, F.get("_names", F.col("_i")).alias("sample"), fields.alias("format"))
 
     def field(name: str) -> Column:
         return F.nullif(F.try_element_at("format", F.lit(name)), F.lit("."))
@@ -55,15 +60,16 @@ def parse_vcf(lines: DataFrame, samples: Sequence[str]) -> DataFrame:
     )
 
 
-def header_samples(lines: DataFrame) -> list[str]:
-    """Sample names of the one ``#CHROM`` header line."""
-    head = lines.where(F.col("value").startswith("#CHROM")).first()
-    return [] if head is None else head["value"].split("\t")[9:]
-
-
 def read_vcf(spark: SparkSession, path: str | list[str], samples: Sequence[str] | None = None) -> DataFrame:
-    lines = spark.read.text(path)
-    return parse_vcf(lines, header_samples(lines) if samples is None else samples)
+    """Long calls of one or many files; each file's genotypes go to the names in its own header."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    if samples is not None:
+        return parse_vcf(lines, samples)
+    cells = F.split("value", "\t")
+    heads = lines.where(F.col("value").startswith("#CHROM")).groupBy("_file").agg(
+        F.min(F.slice(cells, F.lit(10), F.greatest(F.size(cells) - 9, F.lit(0)))).alias("_samples")
+    )
+    return parse_vcf(lines.join(heads, "_file"), F.col("_samples"))
 
 
 def read_sv_sites(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -86,7 +92,31 @@ def vcf_lines(sites: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def write_vcf_info(sites: DataFrame, header: DataFrame, name: str, value: Column, path: str, mode: str = "error") -> None:
-    """Header lines, then records with the added field, ordered by contig and position."""
-    body = vcf_lines(add_info(sites, name, value).orderBy("chrom", "pos"))
-    header.select("value").coalesce(1).unionByName(body).write.mode(mode).text(path)
+def headed(lines: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Text lines with the header lines first in every part file, so that each part is a file of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun = False
+        for batch in batches:
+            if batch.num_rows and not begun:
+                begun = True
+                yield pa.record_batch([pa.array(header, batch.schema.types[0])], schema=batch.schema)
+            yield batch
+
+    return lines.select("value").mapInArrow(run, "value string")
+
+
+def info_header(header: Sequence[str], name: str) -> list[str]:
+    """The header with a line for the new field, before the column names."""
+    line = f'##INFO=<ID={name},Number=.,Type=String,Description="{name}">'
+    at = next((i for i, h in enumerate(header) if h.startswith("#CHROM")), len(header))
+    return list(header) if line in header else [*header[:at], line, *header[at:]]
+
+
+def write_vcf_info(
+    sites: DataFrame, header: Sequence[str], name: str, value: Column, path: str, mode: str = "error"
+) -> None:
+    """Records with the added field in contig and position order; every part begins with the header."""
+    order = [F.coalesce(contig_order("chrom"), F.lit(99)), F.col("chrom"), F.col("pos")]
+    rows = add_info(sites, name, value).repartitionByRange(*order).sortWithinPartitions(*order)
+    headed(vcf_lines(rows), info_header(header, name)).write.mode(mode).text(path)
