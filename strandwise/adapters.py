@@ -93,8 +93,8 @@ select o_orderkey as rec, translate(lpad(cast(o_orderkey * 7919 as string), 12,
 '0123456789', 'ACGTACGTAC') as seq1, translate(lpad(cast((o_orderkey * 104729) % 1000000 as
 string), 10, '0'), '0123456789', 'ACGTACGTAC') as seq2 from orders""",
     "barcodes": """
-select s_suppkey as ord, translate(lpad(cast((s_suppkey * 104729) % 1000000 as string), 10,
-'0'), '0123456789', 'ACGTACGTAC') as barcode from supplier where s_suppkey < 40""",
+select s_suppkey as ord, reverse(translate(translate(lpad(cast((s_suppkey * 104729) % 1000000 as
+string), 10, '0'), '0123456789', 'ACGTACGTAC'), 'ACGT', 'TGCA')) as barcode from supplier""",
     "mates": """
 select r.chrom, r.start, r.stop, r.qname, r.ord, m.mate_chrom, m.mate_start from reads r join
 (select qname, min(chrom) as mate_chrom, min(start) as mate_start from reads group by qname) m on

@@ -25,19 +25,21 @@ THETA_LOW, THETA_UP, MIN_P, MIN_TOTAL, MIN_BF = 0.48, 0.52, 0.05, 1000, 1.0
 def concordance(calls: DataFrame, truth: DataFrame, confident: DataFrame, target: DataFrame) -> DataFrame:
     """TP, FP, FN by SNP and INDEL inside the confident part of the target."""
     spans = ["chrom", "start", "stop"]
-    both = cut(merge_intervals(intersect_intervals(
+    # the common parts of two disjoint sets are disjoint
+    both = intersect_intervals(
         merge_intervals(confident.select(*spans)), merge_intervals(target.select(*spans))
-    ).select(*spans)))
+    ).select(*spans)
     key = ["chrom", "pos", "ref", "alt"]
     kind = F.when(F.col("var_type") == "snp", "SNP").otherwise("INDEL")
 
-    def inside(df: DataFrame, flag: str) -> DataFrame:
-        rows = df.select(*key, kind.alias("type")).distinct()
-        return restrict_regions(rows, both).withColumn(flag, F.lit(1))
+    def marked(df: DataFrame, called: bool) -> DataFrame:
+        return df.select(*key, kind.alias("type"), F.lit(called).alias("called"), F.lit(not called).alias("true"))
 
-    joined = inside(calls, "called").join(inside(truth, "true"), [*key, "type"], "full")
-    c, t = F.col("called").isNotNull(), F.col("true").isNotNull()
-    return joined.groupBy("type").agg(
+    sites = marked(calls, True).unionByName(marked(truth, False)).groupBy(*key, "type").agg(
+        F.max("called").alias("called"), F.max("true").alias("true")
+    )
+    c, t = F.col("called"), F.col("true")
+    return restrict_regions(sites, both, merged=True).groupBy("type").agg(
         F.sum((c & t).cast("long")).alias("TP"),
         F.sum((c & ~t).cast("long")).alias("FP"),
         F.sum((~c & t).cast("long")).alias("FN"),

@@ -224,9 +224,15 @@ def count_overlaps(a: DataFrame, b: DataFrame, on: Sequence[str] = ("chrom",)) -
     )
 
 
-def restrict_regions(sites: DataFrame, regions: DataFrame) -> DataFrame:
-    """Sites whose 1-based ``pos`` is in (start, stop] of any region."""
+def restrict_regions(sites: DataFrame, regions: DataFrame, merged: bool = False) -> DataFrame:
+    """Sites whose 1-based ``pos`` is in (start, stop] of any region.
+
+    ``merged`` regions are known to be disjoint, so a site meets one at most and they
+    are not merged again.
+    """
     points = sites.withColumn("start", F.col("pos") - 1).withColumn("stop", F.col("pos"))
+    if merged:
+        return overlap_join(points, regions.select("chrom", "start", "stop")).select(*sites.columns)
     return overlap_join(points, regions, "semi").select(*sites.columns)
 
 
