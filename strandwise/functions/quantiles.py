@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +12,6 @@ from pyspark.sql import functions as F
 _SPLITS = 31
 
 
-
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
@@ -37,13 +38,15 @@ def exact_quantiles(
     placed = placed.withColumn(
         "_bucket", F.size(F.filter("_s", lambda s: s < F.col("_v")))
     ).drop("_s")
-    sizes = placed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_size"))
+    sizes = placed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_size"), F.max("_total").alias("_all"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = sizes.select(
-        *keys, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    # only the buckets that hold a wanted rank are looked into
+    ranks = [r(F.lit(float(q)) * (F.col("_all") - 1)) for q in quantiles.values() for r in (F.floor, F.ceil)]
+    inside = [(r >= F.col("_offset")) & (r < F.col("_offset") + F.col("_size")) for r in ranks]
+    offsets = offsets.where(reduce(or_, inside)).select(*keys, "_bucket", "_offset")
     inner = Window.partitionBy(*keys, "_bucket").orderBy("_v")
     ranked = placed.join(offsets, [*keys, "_bucket"]).withColumn(
         "_cum",
