@@ -12,6 +12,8 @@ from strandwise.operators.intervals import overlap_join
 
 _REJECT = DUPLICATE | QC_FAIL | UNMAPPED | SECONDARY | SUPPLEMENTARY | MATE_UNMAPPED
 _KEY = ("sample", "qname", "cnv_name")
+#: Fixed value: least share of the deletion's size in the distance of a pair's ends.
+MIN_RATE = 0.9
 
 
 def _has(bits: int) -> Column:
@@ -25,70 +27,68 @@ def _beside(reads: DataFrame, bps: DataFrame, low: Column, high: Column) -> Data
     return overlap_join(reads, spans).drop("b_start", "b_stop")
 
 
-def _mates(near: DataFrame, reads: DataFrame) -> DataFrame:
-    """Attach the mate: the other primary of the template on the same contig."""
-    mate = reads.select(
-        "sample", "qname", "chrom",
-        F.col("start").alias("m_start"), F.col("stop").alias("m_stop"),
+def _evidence(reads: DataFrame, bps: DataFrame, extend: int, min_rate: float = MIN_RATE) -> DataFrame:
+    """``(sample, qname, cnv_name, kind)`` of the pairs with a read beside a breakpoint.
+
+    ``pair``: the ends lie outside the deletion, about its size apart.  ``left`` and
+    ``right``: the mate of a read on that side is clipped towards the breakpoint.
+    The catalogue narrows the reads first, their names then narrow the mates, so
+    the reads meet their mates in one join whatever the evidence.
+    """
+    good = reads.where(~_has(_REJECT)).select("sample", "qname", "flag", "chrom", "start", "stop", "cigar")
+    sides = F.array(
+        F.struct(F.lit("left").alias("side"), (F.col("bp_left") - extend).alias("start"), F.col("bp_left").alias("stop")),
+        F.struct(F.lit("right").alias("side"), (F.col("bp_right") - 1).alias("start"), (F.col("bp_right") + extend).alias("stop")),
+    )
+    spans = bps.select("chrom", "bp_left", "bp_right", "cnv_name", F.explode(sides).alias("s"))
+    near = overlap_join(good, spans.select("chrom", "bp_left", "bp_right", "cnv_name", "s.*"))
+    near = near.withColumn("_first", _has(64))
+    template = ["sample", "qname", "chrom"]
+    mates = good.join(near.select(*template).distinct(), template, "left_semi").select(
+        *template, F.col("start").alias("m_start"), F.col("stop").alias("m_stop"),
         F.col("cigar").alias("m_cigar"), _has(64).alias("_m_first"),
     )
-    return near.withColumn("_first", _has(64)).join(mate, ["sample", "qname", "chrom"]).where(
-        F.col("_first") != F.col("_m_first")
+    size, clipped = F.col("bp_right") - F.col("bp_left"), F.col("m_cigar").contains("S")
+    start, stop, m_start, m_stop = (F.col(c) for c in ("start", "stop", "m_start", "m_stop"))
+    left, right = F.col("side") == "left", F.col("side") == "right"
+    apart = F.when(left & (stop <= F.col("bp_left")) & (m_start + 1 >= F.col("bp_right")), m_start + 1 - stop).when(
+        right & (start + 1 >= F.col("bp_right")) & (m_stop <= F.col("bp_left")), start + 1 - m_stop
     )
+    kinds = F.array(
+        F.when(size / apart >= min_rate, "pair"),
+        F.when(left & (m_stop > stop) & (m_stop <= F.col("bp_left")) & clipped, "left"),
+        F.when(right & (m_start < start) & (m_start + 1 >= F.col("bp_right")) & clipped, "right"),
+    )
+    pairs = near.join(mates, template).where(F.col("_first") != F.col("_m_first"))
+    return pairs.select(*_KEY, F.explode(F.array_compact(kinds)).alias("kind")).distinct()
 
 
-def _sides(reads: DataFrame, bps: DataFrame, extend: int) -> tuple[DataFrame, DataFrame]:
-    """Read pairs touching the left and the right side of each breakpoint pair.
-
-    The catalogue narrows the reads first; only what lies beside a breakpoint is
-    joined to its mate.
-    """
-    good = reads.where(~_has(_REJECT)).select("sample", "qname", "flag", "chrom", "start", "stop", "cigar")
-    left = _mates(_beside(good, bps, F.col("bp_left") - extend, F.col("bp_left")), good)
-    right = _mates(_beside(good, bps, F.col("bp_right") - 1, F.col("bp_right") + extend), good)
-    return left, right
+def _supported(reads: DataFrame, bps: DataFrame, extend: int) -> DataFrame:
+    """Evidence that counts: of the clipped mates those with a clipped secondary or
+    supplementary alignment of the template over the opposite breakpoint."""
+    extra = reads.where(_has(SECONDARY | SUPPLEMENTARY) & F.col("cigar").rlike("[SH]")).select(
+        "sample", "qname", "chrom", "start", "stop"
+    )
+    over_left = _beside(extra, bps, F.col("bp_left") - 1, F.col("bp_left")).select(*_KEY, F.lit("right").alias("kind"))
+    over_right = _beside(extra, bps, F.col("bp_right") - 1, F.col("bp_right")).select(*_KEY, F.lit("left").alias("kind"))
+    over = over_left.unionByName(over_right).distinct().withColumn("_over", F.lit(True))
+    found = _evidence(reads, bps, extend).join(over, [*_KEY, "kind"], "left")
+    return found.where((F.col("kind") == "pair") | F.col("_over")).drop("_over")
 
 
-def deletion_pairs(reads: DataFrame, bps: DataFrame, extend: int = 350, min_rate: float = 0.9) -> DataFrame:
+def deletion_pairs(reads: DataFrame, bps: DataFrame, extend: int = 350, min_rate: float = MIN_RATE) -> DataFrame:
     """Templates whose two ends lie outside a deletion of about the gap's size.
 
     ``reads`` (sample, qname, flag, chrom, start, stop, cigar); ``bps`` (chrom,
     bp_left, bp_right, cnv_name).  Rows (sample, qname, cnv_name), distinct.
     """
-    left, right = _sides(reads, bps, extend)
-    size = F.col("bp_right") - F.col("bp_left")
-    a = left.where(
-        (F.col("stop") <= F.col("bp_left"))
-        & (F.col("m_start") + 1 >= F.col("bp_right"))
-        & (size / (F.col("m_start") + 1 - F.col("stop")) >= min_rate)
-    )
-    b = right.where(
-        (F.col("start") + 1 >= F.col("bp_right"))
-        & (F.col("m_stop") <= F.col("bp_left"))
-        & (size / (F.col("start") + 1 - F.col("m_stop")) >= min_rate)
-    )
-    return a.select(*_KEY).unionByName(b.select(*_KEY)).distinct()
+    return _evidence(reads, bps, extend, min_rate).where("kind = 'pair'").select(*_KEY).distinct()
 
 
 def deletion_splits(reads: DataFrame, bps: DataFrame, extend: int = 350) -> DataFrame:
     """Templates with a clipped mate on one side and a clipped secondary or
     supplementary alignment over the opposite breakpoint."""
-    left, right = _sides(reads, bps, extend)
-    clipped_mate = F.col("m_cigar").contains("S")
-    from_left = left.where(
-        (F.col("m_stop") > F.col("stop")) & (F.col("m_stop") <= F.col("bp_left")) & clipped_mate
-    ).select(*_KEY)
-    from_right = right.where(
-        (F.col("m_start") < F.col("start")) & (F.col("m_start") + 1 >= F.col("bp_right")) & clipped_mate
-    ).select(*_KEY)
-    extra = reads.where(_has(SECONDARY | SUPPLEMENTARY) & F.col("cigar").rlike("[SH]")).select(
-        "sample", "qname", "chrom", "start", "stop"
-    )
-    over_left = _beside(extra, bps, F.col("bp_left") - 1, F.col("bp_left")).select(*_KEY)
-    over_right = _beside(extra, bps, F.col("bp_right") - 1, F.col("bp_right")).select(*_KEY)
-    a = from_left.join(over_right, list(_KEY), "left_semi")
-    b = from_right.join(over_left, list(_KEY), "left_semi")
-    return a.unionByName(b).distinct()
+    return _supported(reads, bps, extend).where("kind <> 'pair'").select(*_KEY).distinct()
 
 
 def breakpoint_call(
@@ -99,8 +99,8 @@ def breakpoint_call(
     Ratio = supporting templates over the mean depth of both flanks.
     """
     support = (
-        deletion_pairs(reads, bps, extend)
-        .unionByName(deletion_splits(reads, bps, extend))
+        _supported(reads, bps, extend)
+        .select(*_KEY)
         .distinct()
         .groupBy("sample", "cnv_name")
         .agg(F.count(F.lit(1)).alias("support_reads_count"))
