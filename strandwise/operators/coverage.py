@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strandwise.functions.columns import q, ratio, round_even
 from strandwise.functions.running import BLOCK, running, sweep
 from strandwise.functions.stages import cut
-from strandwise.operators.intervals import count_overlaps, flank_segments, merge_intervals, overlap_join
+from strandwise.operators.intervals import count_overlaps, count_overlaps_of, flank_segments, merge_intervals, overlap_join
 
 # Alignment flag bits and the insert size cap.
 UNMAPPED, MATE_UNMAPPED, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 4, 8, 256, 512, 1024, 2048
@@ -383,11 +383,10 @@ def contig_depth(depth: DataFrame) -> DataFrame:
 
 def classify_reads(reads: DataFrame, targets: DataFrame, flanks: DataFrame) -> DataFrame:
     """Add ``place``: target, flank or other; target wins.  All regions are looked at."""
-    hits = count_overlaps(reads, targets).withColumnRenamed("n_overlaps", "_t")
-    hits = count_overlaps(hits, flanks)
+    hits = count_overlaps_of(reads, {"_t": targets, "_f": flanks})
     return hits.select(
         *reads.columns,
-        F.when(F.col("_t") > 0, "target").when(F.col("n_overlaps") > 0, "flank").otherwise("other").alias("place"),
+        F.when(F.col("_t") > 0, "target").when(F.col("_f") > 0, "flank").otherwise("other").alias("place"),
     )
 
 

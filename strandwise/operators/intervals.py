@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -195,33 +195,38 @@ def overlap_join(
 
 
 def count_overlaps(a: DataFrame, b: DataFrame, on: Sequence[str] = ("chrom",)) -> DataFrame:
-    """``a`` plus ``n_overlaps``, the number of ``b`` intervals each row meets.
+    """``a`` plus ``n_overlaps``, the number of ``b`` intervals each row meets."""
+    return count_overlaps_of(a, {"n_overlaps": b}, on)
+
+
+def count_overlaps_of(a: DataFrame, layers: Mapping[str, DataFrame], on: Sequence[str] = ("chrom",)) -> DataFrame:
+    """``a`` plus a column for each of ``layers``, the number of its intervals each row meets.
 
     Counted as (starts before a.stop) - (stops up to a.start), so no pair is built
-    however deep the pile-up is.  A row without a key or an end meets none.
+    however deep the pile-up is.  All layers share one sweep, so ``a`` is joined twice
+    however many there are.  A row without a key or an end meets none.
     """
-    on = list(on)
-    marks = a.select(
-        *on, F.explode(F.array("start", "stop")).alias("pos"), F.lit(0).alias("s"), F.lit(0).alias("e")
-    )
-    ends = b.where("start < stop").select(
-        *on,
-        F.explode(
-            F.array(
-                F.struct(F.col("start").alias("pos"), F.lit(1).alias("s"), F.lit(0).alias("e")),
-                F.struct(F.col("stop").alias("pos"), F.lit(0).alias("s"), F.lit(1).alias("e")),
-            )
-        ).alias("x"),
-    ).select(*on, "x.pos", "x.s", "x.e")
-    at = marks.unionByName(ends).groupBy(*on, "pos").agg(F.sum("s").alias("s"), F.sum("e").alias("e"))
-    at = running(at, on, "pos", sums={"_s": F.col("s"), "_e": F.col("e")})
-    begun = at.select(*on, F.col("pos").alias("stop"), (F.col("_s") - F.col("s")).alias("_begun"))
-    ended = at.select(*on, F.col("pos").alias("start"), F.col("_e").alias("_ended"))
-    return (
-        a.join(begun, [*on, "stop"], "left")
-        .join(ended, [*on, "start"], "left")
-        .select(*a.columns, F.coalesce(F.col("_begun") - F.col("_ended"), F.lit(0)).alias("n_overlaps"))
-    )
+    on, names = list(on), list(layers)
+    ends = a.select(*on, F.explode(F.array("start", "stop")).alias("pos"))
+    for n in names:
+        ends = ends.withColumn(f"_s_{n}", F.lit(0)).withColumn(f"_e_{n}", F.lit(0))
+    for name, b in layers.items():
+        sides = F.array(
+            F.struct(F.col("start").alias("pos"), F.lit(1).alias("s"), F.lit(0).alias("e")),
+            F.struct(F.col("stop").alias("pos"), F.lit(0).alias("s"), F.lit(1).alias("e")),
+        )
+        here = b.where("start < stop").select(*on, F.explode(sides).alias("x"))
+        own = {f"_s_{name}": F.col("x.s"), f"_e_{name}": F.col("x.e")}
+        ends = ends.unionByName(
+            here.select(*on, "x.pos", *[own.get(c, F.lit(0)).alias(c) for n in names for c in (f"_s_{n}", f"_e_{n}")])
+        )
+    counted = [c for n in names for c in (f"_s_{n}", f"_e_{n}")]
+    at = ends.groupBy(*on, "pos").agg(*[F.sum(c).alias(c) for c in counted])
+    at = running(at, on, "pos", sums={f"_r{c}": F.col(c) for c in counted})
+    begun = at.select(*on, F.col("pos").alias("stop"), *[(F.col(f"_r_s_{n}") - F.col(f"_s_{n}")).alias(f"_b_{n}") for n in names])
+    ended = at.select(*on, F.col("pos").alias("start"), *[F.col(f"_r_e_{n}").alias(f"_d_{n}") for n in names])
+    met = a.join(begun, [*on, "stop"], "left").join(ended, [*on, "start"], "left")
+    return met.select(*a.columns, *[F.coalesce(F.col(f"_b_{n}") - F.col(f"_d_{n}"), F.lit(0)).alias(n) for n in names])
 
 
 def restrict_regions(sites: DataFrame, regions: DataFrame, merged: bool = False) -> DataFrame:

@@ -268,3 +268,17 @@ def test_files_round_trip(spark, tmp_path):
     vcf.write_vcf_info(sites, header, "S", F.lit("9"), str(tmp_path / "v"))
     text = sorted(r.value for r in spark.read.text(str(tmp_path / "v")).collect())
     assert text == ["#CHROM", "chr1\t7\t.\tA\tG\t.\tPASS\tQD=1;S=9"]
+
+
+def test_rows_without_a_key_stay_in_left_and_anti_joins(spark):
+    a = spark.createDataFrame([("c", 0, 9, 1), (None, 0, 9, 2), ("c", None, 5, 3), ("d", 3, 4, 4)], "chrom string, start long, stop long, k int")
+    b = spark.createDataFrame([("c", 5, 20), (None, 0, 9)], "chrom string, start long, stop long")
+    assert sorted(r.k for r in intervals.overlap_join(a, b, "left").collect()) == [1, 2, 3, 4]
+    assert sorted(r.k for r in intervals.overlap_join(a, b, "anti").collect()) == [2, 3, 4]
+
+
+def test_segments_split_until_none_is_open(spark):
+    steps = [float(i // 12) * 3 for i in range(12 * 40)]
+    rows = [("S", "c", i * 10, x + (i * 7919 % 101) / 5000) for i, x in enumerate(steps)]
+    got = copynumber.segment(spark.createDataFrame(rows, "sample string, chrom string, start long, x double"), "x").collect()
+    assert sorted(r.start for r in got) == [i * 120 for i in range(40)]
