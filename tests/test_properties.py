@@ -278,7 +278,7 @@ def test_rows_without_a_key_stay_in_left_and_anti_joins(spark):
 
 
 def test_segments_split_until_none_is_open(spark):
-    steps = [float(i // 12) * 3 for i in range(12 * 40)]
-    rows = [("S", "c", i * 10, x + (i * 7919 % 101) / 5000) for i, x in enumerate(steps)]
+    levels = [0, 7, 2, 11, 4, 15, 5, 19]
+    rows = [("S", "c", i * 10, levels[i // 30] + (i * 7919 % 101) / 5000) for i in range(30 * len(levels))]
     got = copynumber.segment(spark.createDataFrame(rows, "sample string, chrom string, start long, x double"), "x").collect()
-    assert sorted(r.start for r in got) == [i * 120 for i in range(40)]
+    assert sorted(r.start for r in got) == [i * 300 for i in range(len(levels))]
