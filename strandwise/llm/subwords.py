@@ -62,14 +62,20 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def word_ids(self, word: str) -> list[int]:
+        """The ids of a text without white space."""
+        if not (self.by_word and _LATIN.fullmatch(word)) or any(s in word for s in self.special):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        ids, tokenize, letters = [], self.tokenizer.model.tokenize, self.letters
+        word = word.lower()
+        # letters are one piece, and so is a sign after them
+        pieces = [word] if word.isalpha() else [word[:-1], word[-1]] if word[:-1].isalpha() and word[-1] in ".,!?;:" else self.pieces.findall(word)
+        for piece in pieces:
+            ids += [t.id for t in tokenize(piece if piece.isascii() else piece.encode().decode("latin-1").translate(letters))]
+        return ids
+
     def _new_word(self, word: str) -> bytes:
-        if _LATIN.fullmatch(word) and not any(s in word for s in self.special):
-            model, ids = self.tokenizer.model, []
-            for piece in self.pieces.findall(word.lower()):
-                ids += [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-            found = np.array(ids, np.uint32).tobytes()
-        else:
-            found = self.whole(word).tobytes()
+        found = np.array(self.word_ids(word), np.uint32).tobytes()
         if len(self.ids) < self.kept and len(word) <= 64:
             self.ids[word] = found
         return found
