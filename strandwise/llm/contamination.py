@@ -25,6 +25,8 @@ RATIO = 1.25
 #: Items searched for in one pass over the documents; their signatures go to every task.
 ITEM_BLOCK = 20_000
 SEED = 20_240
+#: Characters of text that a task searches at once.
+CHUNK = 1 << 21
 
 #: Bytes that belong to no word: everything of ASCII but letters and digits.
 _SEPARATOR = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -58,28 +60,31 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS, _INVERSES
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of each word: runs of non-ASCII characters, letters and digits, A-Z folded."""
-    raw = _FOLD[np.frombuffer((text or "").encode(), np.uint8)]
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of all texts, and the number of its text.
+
+    Words are runs of non-ASCII characters, letters and digits, with A-Z folded.
+    """
+    data = [(t or "").encode() for t in texts]
+    raw = _FOLD[np.frombuffer(b" ".join(data), np.uint8)]
     inside = np.concatenate(([False], ~_SEPARATOR[raw], [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64)
     powers, inverses = _powers(len(raw) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)])))
-    return _mixed((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+    hashes = _mixed((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+    lengths = np.array([len(d) + 1 for d in data], np.int64)
+    return hashes, np.searchsorted(np.cumsum(lengths), starts, "right")
 
 
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """A hash of every ``size`` words in a row; none for a shorter text."""
-    n = len(words) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
+def shingle_hashes(words: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every ``size`` words in a row of one text, and the number of the text."""
+    n = max(0, len(words) - size + 1)
     out = words[:n].copy()
     for i in range(1, size):
         out = out * _PRIME + words[i : n + i]
-    return _mixed(out)
+    whole = owner[:n] == owner[len(words) - n :]
+    return _mixed(out[whole]), owner[:n][whole]
 
 
 @dataclass
@@ -131,18 +136,25 @@ def window_minima(x: np.ndarray, largest: int) -> np.ndarray:
     return np.minimum(np.minimum(blocks[:-2], blocks[1:-1]), blocks[2:])
 
 
-def candidates(shingles: np.ndarray, partitions: list[Items], seeds: np.ndarray) -> set[int]:
-    """Items of which a MinHash value agrees with that of a window."""
-    found: set[int] = set()
+def candidates(shingles: np.ndarray, owner: np.ndarray, partitions: list[Items], seeds: np.ndarray) -> set[tuple[int, int]]:
+    """``(text, item)`` where a MinHash value of the item agrees with that of a window over the text.
+
+    Windows run over the shingles of all texts; one that spans several stands for each.
+    """
+    found: set[tuple[int, int]] = set()
     for k, seed in enumerate(seeds):
         x = permuted(shingles, seed)
         for p in partitions:
             minima = window_minima(x, p.largest)
             at = np.searchsorted(p.values[k], minima)
             at[at == len(p.values[k])] = 0
-            for v in np.unique(minima[p.values[k][at] == minima]):
-                low, high = np.searchsorted(p.values[k], v), np.searchsorted(p.values[k], v, "right")
-                found.update(p.owners[k][low:high].tolist())
+            step = max(1, -(-p.largest // 2))
+            for w in np.flatnonzero(p.values[k][at] == minima):
+                items = p.owners[k][at[w] : np.searchsorted(p.values[k], minima[w], "right")].tolist()
+                # an item's share of a value's shingle is in one text, that of the shingle itself
+                low, high = w * step, min((w + 3) * step, len(x))
+                for text in np.unique(owner[low:high][x[low:high] == minima[w]]).tolist():
+                    found.update((text, i) for i in items)
     return found
 
 
@@ -209,21 +221,38 @@ class Search:
 
     def begin(self) -> None:
         self.ids, texts = self.shared.value
-        self.sets = [np.unique(shingle_hashes(word_hashes(t), self.shingle)) for t in texts]
+        names, owner = shingle_hashes(*word_hashes(texts), self.shingle)
+        self.sets = [np.unique(names[owner == i]) for i in range(len(texts))]
         self.partitions = partition_items(self.sets, self.n_hashes, RATIO)
         self.seeds = hash_seeds(self.n_hashes)
 
-    def __call__(self, text: str | None) -> Iterator[tuple[int, int]]:
-        """Items in ``text`` and the number of shingles shared with each."""
-        shingles = shingle_hashes(word_hashes(text), self.shingle)
-        if not len(shingles):
-            return
-        own = None
-        for i in sorted(candidates(shingles, self.partitions, self.seeds)):
-            own = np.unique(shingles) if own is None else own
-            n_shared = len(np.intersect1d(own, self.sets[i], assume_unique=True))
+    def __call__(self, texts: list[str | None]) -> list[tuple[int, int, int]]:
+        """``(text, item, shingles shared)`` of every item that a text holds."""
+        names, owner = shingle_hashes(*word_hashes(texts), self.shingle)
+        if not len(names) or not self.partitions:
+            return []
+        ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+        out, own = [], {}
+        for text, i in sorted(candidates(names, owner, self.partitions, self.seeds)):
+            if text not in own:
+                own = {text: np.unique(names[ends[text] : ends[text + 1]])}
+            n_shared = len(np.intersect1d(own[text], self.sets[i], assume_unique=True))
             if n_shared >= self.containment * len(self.sets[i]):
-                yield i, n_shared
+                out.append((text, i, n_shared))
+        return out
+
+
+def _chunks(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list[str | None]]]:
+    """Rows of ``batch`` in groups of about ``CHUNK`` characters: the first row's number, and the texts."""
+    first, texts, size = 0, [], 0
+    for i, t in enumerate(batch.column(at)):
+        texts.append(t.as_py())
+        size += len(texts[-1] or "")
+        if size >= CHUNK:
+            yield first, texts
+            first, texts, size = i + 1, [], 0
+    if texts:
+        yield first, texts
 
 
 def _pairs(search: Search, schema: str):
@@ -233,10 +262,11 @@ def _pairs(search: Search, schema: str):
         search.begin()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                for i, n_shared in search(text.as_py()):
+            for first, texts in _chunks(batch, 1):
+                for text, i, n_shared in search(texts):
                     size = len(search.sets[i])
-                    rows.append((doc.as_py(), search.ids[i].as_py(), size, n_shared, n_shared / size))
+                    doc = batch.column(0)[first + text].as_py()
+                    rows.append((doc, search.ids[i].as_py(), size, n_shared, n_shared / size))
             if rows:
                 kinds = [batch.schema.field(0).type, search.ids.type, pa.int64(), pa.int64(), pa.float64()]
                 columns = zip(zip(*rows, strict=True), kinds, strict=True)
@@ -249,7 +279,9 @@ def _clean(search: Search, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search.begin()
         for batch in batches:
-            keep = [next(search(t.as_py()), None) is None for t in batch.column(at)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            keep = np.ones(batch.num_rows, bool)
+            for first, texts in _chunks(batch, at):
+                keep[[first + text for text, _, _ in search(texts)]] = False
+            yield batch.filter(pa.array(keep))
 
     return run

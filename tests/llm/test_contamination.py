@@ -31,11 +31,14 @@ def plain(docs, items, least=0.8):
 def test_word_hashes_tell_words_apart():
     text = "The cat's hat; été  THE the\tx1 été"
     words = [w.lower() if w.isascii() else w for w in plain_words(text)]
-    hashes = word_hashes(text)
+    hashes, owner = word_hashes(["", text, None, "the", " " * 999 + "THE.", "no"])
+    one = hashes[owner == 1]
+    assert one[0] == hashes[owner == 3] == hashes[owner == 4] and (owner != 0).all() and (owner != 2).all()
+    names, of = shingle_hashes(hashes, owner, 5)
+    assert len(names) == len(words) - 4 and set(of.tolist()) == {1}
+    hashes = one
     assert len(hashes) == len(words)
     assert len(set(hashes.tolist())) == len(set(words))
-    assert hashes[0] == word_hashes("the")[0] == word_hashes(" " * 999 + "THE.")[0]
-    assert len(shingle_hashes(hashes, 5)) == len(words) - 4
 
 
 def test_windows_hold_every_run_of_the_largest_size():
