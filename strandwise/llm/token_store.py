@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from strandwise.llm.common import scratch, written
 from strandwise.llm.store import opened, publish
-from strandwise.llm.subwords import Encoder
+from strandwise.llm.subwords import Encoder, task_encoder
 
 #: Documents in one index file.
 BUCKET = 1 << 18
@@ -160,7 +160,7 @@ def write_store(
     width = 2 if max(Encoder(tokenizer).tokenizer.get_vocab_size(), end_id) <= 1 << 16 else 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, encoder = TaskContext.get(), Encoder(tokenizer)
+        task, encoder = TaskContext.get(), task_encoder(tokenizer)
         shard = task.partitionId()
         fs, root = opened(folder)
         fs.create_dir(root, recursive=True)
