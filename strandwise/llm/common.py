@@ -13,6 +13,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Scratch folders named so far by this process.
+FOLDERS: list[str] = []
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
@@ -32,12 +36,34 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{root.rstrip('/')}/strandwise-{uuid.uuid4().hex}"
+    FOLDERS.append(f"{root.rstrip('/')}/strandwise-{uuid.uuid4().hex}")
+    return FOLDERS[-1]
+
+
+def discard(folders: list[str]) -> None:
+    """Delete scratch folders that nothing will read again."""
+    from strandwise.llm.store import opened
+
+    for folder in folders:
+        fs, path = opened(folder)
+        if fs.get_file_info(path).type.name == "Directory":
+            fs.delete_dir(path)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: a lost executor costs no recomputation."""
+#: Spark then drops a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: a lost executor costs no recomputation.
+
+    The shuffle files behind it go at once, as nothing reads them again.
+    """
     spark = df.sparkSession
-    path = scratch(spark)
-    df.write.parquet(path)
+    path, before = folder or scratch(spark), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

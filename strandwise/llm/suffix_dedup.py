@@ -18,125 +18,129 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandwise.llm.common import written
+from strandwise.llm.common import discard, scratch, written
 from strandwise.llm.suffixes import Runs, runs
 
-#: Text that a task turns into rows at once.
-CHUNK = 8 << 20
 #: Stands for a null document id: after all others.
 LAST = (1 << 63) - 1
+#: Rows of a batch that are worked on together.
+ROWS = 2048
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, bytes]]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[bytes]]]:
+    """Some rows at a time: the rows, their documents (first column) and their texts (second)."""
     for batch in batches:
-        for i, text in enumerate(batch.column(column)):
-            yield batch, i, (text.as_py() or "").encode()
+        for low in range(0, batch.num_rows, ROWS):
+            part = batch.slice(low, ROWS)
+            yield part, part.column(0).to_numpy(), [(t.as_py() or "").encode() for t in part.column(1)]
 
 
 def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x)
 
 
-def _anchors(depth: int):
-    """``(anchor, low, high)``: anchors with the least and the largest document of a chunk."""
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column, and the row of each."""
+    rows = np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy())
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), rows
+
+
+def _of(names: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Names told apart by the row they belong to."""
+    return names + row.astype(np.uint64) * _ODD
 
-    def flush(anchors: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
-        a, d = np.concatenate(anchors), np.concatenate(docs)
-        order = np.lexsort((d, a))
-        a, d = a[order], d[order]
-        first = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-        last = np.concatenate((first[1:], [len(a)])) - 1
-        return pa.record_batch([_longs(a[first]), _longs(d[first]), _longs(d[last])], ["anchor", "low", "high"])
+
+def _anchors(depth: int):
+    """``(anchor, low, high)``: anchors with the least and the largest document among some rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, docs, size = [], [], 0
-        for batch, i, text in _texts(batches, 1):
-            for r in runs(text, depth):
-                found = np.unique(r.anchor)
-                anchors.append(found)
-                docs.append(np.full(len(found), batch.column(0)[i].as_py(), np.int64))
-            size += len(text)
-            if size >= CHUNK and anchors:
-                yield flush(anchors, docs)
-                anchors, docs, size = [], [], 0
-        if anchors:
-            yield flush(anchors, docs)
+        for _, docs, texts in _groups(batches):
+            for r in runs(texts, depth):
+                order = np.argsort(r.anchor, kind="stable")
+                a, d = r.anchor[order], docs[r.text[order]]
+                first = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
+                yield pa.record_batch(
+                    [_longs(a[first]), _longs(np.minimum.reduceat(d, first)), _longs(np.maximum.reduceat(d, first))],
+                    ["anchor", "low", "high"],
+                )
 
     return run
 
 
 def _occurrences(depth: int):
-    """``(anchor, doc)``, each anchor once a document."""
+    """``(anchor, doc)`` of every run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, text in _texts(batches, 1):
-            found = [r.anchor for r in runs(text, depth)]
-            if found:
-                a = np.unique(np.concatenate(found))
-                yield pa.record_batch([_longs(a), _longs(np.full(len(a), batch.column(0)[i].as_py(), np.int64))], ["anchor", "doc"])
+        for _, docs, texts in _groups(batches):
+            for r in runs(texts, depth):
+                yield pa.record_batch([_longs(r.anchor), _longs(docs[r.text])], ["anchor", "doc"])
 
     return run
 
 
 def _contents(depth: int):
     """``(doc, anchor, content, right, left)`` of the runs whose anchors are listed; null where a half is empty."""
-    names = ["doc", "anchor", "content", "right", "left"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, text in _texts(batches, 1):
-            wanted = batch.column(2)[i].values.to_numpy().view(np.uint64)
-            for r in runs(text, depth):
+        for part, docs, texts in _groups(batches):
+            wanted = np.unique(_flat(part.column(2))[0])
+            for r in runs(texts, depth):
                 rows = np.flatnonzero(np.isin(r.anchor, wanted))
                 right, left, right_name, left_name = r.halves(rows)
                 yield pa.record_batch(
                     [
-                        _longs(np.full(len(rows), batch.column(0)[i].as_py(), np.int64)), _longs(r.anchor[rows]), _longs(r.names(rows)),
+                        _longs(docs[r.text[rows]]), _longs(r.anchor[rows]), _longs(r.names(rows)),
                         pa.array(right_name.view(np.int64), mask=~right), pa.array(left_name.view(np.int64), mask=~left),
                     ],
-                    names,
+                    ["doc", "anchor", "content", "right", "left"],
                 )
 
     return run
 
 
 def _windows(depth: int):
-    """``(anchor, window, doc)`` of the listed halves: content names, signed for the side by order."""
+    """``(anchor, window, doc)`` of the windows in the listed halves of runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, i, text in _texts(batches, 1):
-            rights, lefts = (batch.column(k)[i].values.to_numpy().view(np.uint64) for k in (2, 3))
-            for r in runs(text, depth):
-                content = r.names(np.arange(len(r.first)))
-                for listed, right in ((rights, True), (lefts, False)):
-                    rows = np.flatnonzero(np.isin(content, listed))
+        for part, docs, texts in _groups(batches):
+            listed = [np.unique(_of(*_flat(part.column(k)))) for k in (2, 3)]
+            for r in runs(texts, depth):
+                content = _of(r.names(np.arange(len(r.first))), r.text)
+                for names, right in zip(listed, (True, False), strict=True):
+                    rows = np.flatnonzero(np.isin(content, names))
                     start, owner = r.windows(rows, np.full(len(rows), right))
                     yield pa.record_batch(
-                        [_longs(r.anchor[owner]), _longs(r.window_names(start)), _longs(np.full(len(start), batch.column(0)[i].as_py(), np.int64))],
+                        [_longs(r.anchor[owner]), _longs(r.window_names(start)), _longs(docs[r.text[owner]])],
                         ["anchor", "window", "doc"],
                     )
 
     return run
 
 
-def removed_bytes(text: bytes, depth: int, contents: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """A mask of the bytes under a run named in ``contents`` or a window named in ``windows``."""
-    change = np.zeros(len(text) + 1, np.int32)
+def removed_bytes(texts: list[bytes], depth: int, contents: np.ndarray, windows: np.ndarray) -> list[np.ndarray]:
+    """A mask for each text of the bytes under a run of ``contents`` or a window of ``windows`` (names by text)."""
+    lengths = np.array([len(t) + 1 for t in texts], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    change = np.zeros(int(lengths.sum()) + 1, np.int32)
 
     def cover(start: np.ndarray, end: np.ndarray) -> None:
         np.add.at(change, start, 1)
         np.add.at(change, end, -1)
 
-    for r in runs(text, depth) if len(contents) or len(windows) else ():
-        rows = np.arange(len(r.first))
-        gone = np.isin(r.names(rows), contents)
-        cover(r.first[gone] + r.offset, r.last[gone] + r.offset + depth)
+    for r in runs(texts, depth) if len(contents) or len(windows) else ():
+        shift = begins[r.text] + r.shift
+        gone = np.isin(_of(r.names(np.arange(len(r.first))), r.text), contents)
+        cover((r.first + shift)[gone], (r.last + shift)[gone] + depth)
         if len(windows):
-            left = rows[~gone]
+            left = np.flatnonzero(~gone)
             for right in (True, False):
-                start, _ = r.windows(left, np.full(len(left), right))
-                start = start[np.isin(r.window_names(start), windows)]
-                cover(start + r.offset, start + r.offset + depth)
-    return np.cumsum(change[:-1]) > 0
+                start, owner = r.windows(left, np.full(len(left), right))
+                hit = np.isin(_of(r.window_names(start), r.text[owner]), windows)
+                place = start[hit] + shift[owner[hit]]
+                cover(place, place + depth)
+    covered = np.cumsum(change[:-1]) > 0
+    return [covered[b : b + n - 1] for b, n in zip(begins, lengths, strict=True)]
 
 
 def repeats(docs: DataFrame, depth: int = 50) -> DataFrame:
@@ -145,40 +149,53 @@ def repeats(docs: DataFrame, depth: int = 50) -> DataFrame:
     ``contents`` names whole runs and ``windows`` single windows that also start in a
     document with a smaller number.
     """
+    folders = {}
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        folders[name] = scratch(df.sparkSession)
+        return written(df, folders[name])
+
     first = docs.mapInArrow(_anchors(depth), "anchor long, low long, high long")
     shared = first.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    shared = written(shared.select("anchor"))
+    shared = kept("shared", shared.select("anchor"))
     seen = docs.mapInArrow(_occurrences(depth), "anchor long, doc long")
     # the anchors of a partition are distinct, so the hash table is bounded; hot ones are split on the other side
     listed = seen.join(shared.hint("shuffle_hash"), "anchor").groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))
-    listed = written(listed)
+    listed = kept("listed", listed)
     schema = "doc long, anchor long, content long, right long, left long"
     found = docs.join(listed.hint("shuffle_hash"), "doc").select("doc", "text", "anchors").mapInArrow(_contents(depth), schema)
-    found = written(found)
+    found = kept("found", found)
+    discard([folders["shared"], folders["listed"]])
     groups = found.groupBy("anchor", "content").agg(
         F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("right").alias("right"), F.first("left").alias("left"))
-    groups = written(groups)
+    groups = kept("groups", groups)
     # a run that starts in a smaller document goes as a whole
     again = groups.where("low < high").select("anchor", "content", "low")
     gone = found.select("doc", "anchor", "content").join(again.hint("shuffle_hash"), ["anchor", "content"]).where("low < doc")
-    gone = gone.groupBy("doc").agg(F.collect_set("content").alias("contents"))
-    # a run's first document has to ask window by window, where half a window is shared
+    gone = kept("gone", gone.groupBy("doc").agg(F.collect_set("content").alias("contents")))
+    # a run's first document has to ask window by window, where other runs share its anchor and then half a window
+    several = groups.groupBy("anchor").agg(F.min("low").alias("a"), F.max("low").alias("b")).where("a < b").select("anchor")
+    unsure = groups.join(several.hint("shuffle_hash"), "anchor", "left_semi").drop("high")
+    unsure = kept("unsure", unsure)
+    discard([folders["found"], folders["groups"]])
     sides = F.array(
         F.struct(F.lit(True).alias("is_right"), F.col("right").alias("half")), F.struct(F.lit(False).alias("is_right"), F.col("left").alias("half")))
-    halves = groups.select("anchor", "content", "low", F.explode(sides).alias("s")).select("anchor", "content", "low", "s.*").where("half is not null")
+    halves = unsure.select("anchor", "content", "low", F.explode(sides).alias("s")).select("anchor", "content", "low", "s.*").where("half is not null")
     met = halves.groupBy("anchor", "half").agg(F.min("low").alias("least"), F.max("low").alias("most")).where("least < most")
     asked = halves.join(met.select("anchor", "half").hint("shuffle_hash"), ["anchor", "half"])
     asked = asked.groupBy(F.col("low").alias("doc")).agg(
         F.collect_set(F.when(F.col("is_right"), F.col("content"))).alias("rights"),
         F.collect_set(F.when(~F.col("is_right"), F.col("content"))).alias("lefts"))
     windows = docs.join(asked.hint("shuffle_hash"), "doc").select("doc", "text", "rights", "lefts")
-    windows = written(windows.mapInArrow(_windows(depth), "anchor long, window long, doc long"))
+    windows = kept("windows", windows.mapInArrow(_windows(depth), "anchor long, window long, doc long"))
     least = windows.groupBy("anchor", "window").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
     single = windows.join(least.drop("high").hint("shuffle_hash"), ["anchor", "window"]).where("low < doc")
     single = single.groupBy("doc").agg(F.collect_set("window").alias("windows"))
     none = F.array().cast("array<long>")
-    return written(gone.join(single, "doc", "full").select(
+    told = written(gone.join(single, "doc", "full").select(
         "doc", F.coalesce("contents", none).alias("contents"), F.coalesce("windows", none).alias("windows")))
+    discard([folders[name] for name in ("gone", "unsure", "windows")])
+    return told
 
 
 def deduplicate(docs: DataFrame, depth: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,21 +213,16 @@ def deduplicate(docs: DataFrame, depth: int = 50, doc_id: str = "doc_id", text:
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part, _, texts in _groups(batches):
             out = []
-            for i, body in enumerate(batch.column(1)):
-                data = (body.as_py() or "").encode()
-                contents, windows = (
-                    batch.column(k)[i].values.to_numpy().view(np.uint64) if batch.column(k)[i].is_valid else np.zeros(0, np.uint64)
-                    for k in (2, 3)
-                )
-                mask = removed_bytes(data, depth, contents, windows)
+            names_of = [np.unique(_of(*_flat(part.column(k)))) for k in (2, 3)]
+            for data, mask in zip(texts, removed_bytes(texts, depth, *names_of), strict=True):
                 spans = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum())
                 kept = np.frombuffer(data, np.uint8)[~mask].tobytes() if spans else data
                 out.append((len(data), int(mask.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds, strict=True)]
-            yield pa.record_batch([batch.column(0), *columns], names)
+            yield pa.record_batch([part.column(0), *columns], names)
 
     joined = numbered.join(told.hint("shuffle_hash"), "doc", "left").select("doc", "text", "contents", "windows")
     done = joined.mapInArrow(run, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -14,8 +14,11 @@ import numpy as np
 
 #: Bytes of an anchor; windows of 50 bytes hold 35 of them.
 ANCHOR = 16
-#: Longer texts are cut into pieces that overlap by one byte less than a window.
-PIECE = 1 << 22
+#: Bytes that are worked on together; longer texts are cut into pieces that overlap by one byte less than a window.
+PIECE = 1 << 21
+
+#: Bits of a place in a chunk: a chunk is less than two pieces and a window. The same for all, as they order the anchors.
+POSITION_BITS = 23
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: Base of a polynomial hash and its inverse modulo 2^64, and a random value for each byte.
@@ -70,14 +73,15 @@ def anchor_hashes(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Runs:
-    """Runs of windows of one piece: windows ``first`` to ``last`` share the anchor at ``at``."""
+    """Runs of windows of several texts: windows ``first`` to ``last`` share the anchor at ``at``."""
 
-    offset: int  # of the piece in the text
     data: np.ndarray
     anchor: np.ndarray  # hash of the anchor
     at: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    text: np.ndarray  # the number of the run's text
+    shift: np.ndarray  # from a place in ``data`` to one in the text
     depth: int
 
     def names(self, rows: np.ndarray) -> np.ndarray:
@@ -120,22 +124,46 @@ class Runs:
         return self._prefixes
 
 
-def runs(text: bytes, depth: int) -> Iterator[Runs]:
-    """The runs of ``text``, piece by piece; none if it is shorter than a window."""
-    whole = np.frombuffer(text, np.uint8)
-    bits = np.uint64(PIECE.bit_length() + 1)
-    for offset in range(0, max(0, len(whole) - depth + 1), PIECE):
-        data = whole[offset : offset + PIECE + depth - 1]
-        hashes = anchor_hashes(data)
-        # high bits of the hash, then the position: the least is the leftmost of the least hashes
-        ranked = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
-        width, span = depth - ANCHOR + 1, 1
-        while span * 2 <= width:
-            ranked = np.minimum(ranked[:-span], ranked[span:])
-            span *= 2
-        if width > span:
-            ranked = np.minimum(ranked[: len(ranked) - (width - span)], ranked[width - span :])
-        at = (ranked & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        last = np.concatenate((first[1:], [len(at)])) - 1
-        yield Runs(offset, data, hashes[at[first]], at[first], first, last, depth)
+def runs(texts: list[bytes], depth: int) -> Iterator[Runs]:
+    """The runs of ``texts``, about ``PIECE`` bytes at a time; a text shorter than a window has none."""
+    held: list[tuple[int, int, bytes]] = []  # text, offset in it, bytes
+    size = 0
+    for number, text in enumerate(texts):
+        for offset in range(0, max(0, len(text) - depth + 1), PIECE):
+            part = text if len(text) <= PIECE else text[offset : offset + PIECE + depth - 1]
+            held.append((number, offset, part))
+            size += len(part)
+            if size >= PIECE:
+                yield _runs(held, depth)
+                held, size = [], 0
+    if held:
+        yield _runs(held, depth)
+
+
+def _runs(held: list[tuple[int, int, bytes]], depth: int) -> Runs:
+    data = np.frombuffer(b"".join(part for _, _, part in held), np.uint8)
+    lengths = np.array([len(part) for _, _, part in held])
+    begins = np.cumsum(lengths) - lengths
+    hashes = anchor_hashes(data)
+    bits = np.uint64(POSITION_BITS)
+    # high bits of the hash, then the position: the least is the leftmost of the least hashes
+    ranked = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
+    width, span = depth - ANCHOR + 1, 1
+    while span * 2 <= width:
+        ranked = np.minimum(ranked[:-span], ranked[span:])
+        span *= 2
+    if width > span:
+        ranked = np.minimum(ranked[: len(ranked) - (width - span)], ranked[width - span :])
+    at = (ranked & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    # a piece's last windows would reach into the next piece
+    new = np.concatenate(([True], at[1:] != at[:-1]))
+    new[begins] = True
+    after = begins + lengths - depth + 1
+    new[after[after < len(new)]] = True
+    first = np.flatnonzero(new)
+    last = np.concatenate((first[1:], [len(at)])) - 1
+    piece = np.searchsorted(begins, first, "right") - 1
+    whole = first < after[piece]
+    first, last, piece = first[whole], last[whole], piece[whole]
+    text, offset = (np.array([h[k] for h in held], np.int64) for k in (0, 1))
+    return Runs(data, hashes[at[first]], at[first], first, last, text[piece], (offset - begins)[piece], depth)

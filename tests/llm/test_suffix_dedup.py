@@ -37,18 +37,22 @@ def got(df, **kw):
     return sorted((tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in deduplicate(df, **kw).collect()), key=repr)
 
 
-def test_runs_hold_every_window_once():
+def test_runs_hold_every_window_once(monkeypatch):
     rng = random.Random(1)
-    for text in (bytes(rng.choices(b"ab", k=700)), b"a" * 300, bytes(rng.randbytes(500)), b"x" * 49, b"y" * 50, b""):
+    texts = [bytes(rng.choices(b"ab", k=700)), b"a" * 300, b"", bytes(rng.randbytes(500)), b"x" * 49, b"y" * 50, b"z" * 51]
+    for piece in (1 << 21, 256):
+        monkeypatch.setattr(suffixes, "PIECE", piece)
         seen = []
-        for r in runs(text, 50):
+        for r in runs(texts, 50):
             rows = np.arange(len(r.first))
             for right in (True, False):
                 start, owner = r.windows(rows, np.full(len(rows), right))
-                seen += start.tolist()
-                assert ((r.first[owner] <= start) & (start <= r.last[owner])).all()
+                place = start + r.shift[owner]
+                seen += zip(r.text[owner].tolist(), place.tolist())
+                for t, p, s in zip(r.text[owner].tolist(), place.tolist(), start.tolist()):
+                    assert r.data[s : s + 50].tobytes() == texts[t][p : p + 50]
             assert (r.at >= r.last).all() and (r.at <= r.first + 34).all()
-        assert sorted(seen) == list(range(max(0, len(text) - 49)))
+        assert sorted(seen) == [(t, i) for t, x in enumerate(texts) for i in range(max(0, len(x) - 49))]
 
 
 @pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
@@ -82,9 +86,9 @@ def test_pieces_of_very_long_texts(spark, monkeypatch):
     shared = "".join(rng.choices("abcdefgh", k=2000))
     rows = [(i, "".join(rng.choices("abcdefgh", k=300)) + shared) for i in range(3)]
     data = rows[2][1].encode()
-    whole = np.concatenate([r.names(np.arange(len(r.first))) for r in runs(data, 50)])
+    whole = np.concatenate([r.names(np.arange(len(r.first))) for r in runs([data], 50)])
     monkeypatch.setattr(suffixes, "PIECE", 256)
-    cut = [r for r in runs(data, 50)]
+    cut = [r for r in runs([data], 50)]
     assert len(cut) > 5 and sum(int((r.last - r.first + 1).sum()) for r in cut) == len(data) - 49
     assert len(np.intersect1d(whole, np.concatenate([r.names(np.arange(len(r.first))) for r in cut]))) > 0.7 * len(whole)
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == plain(rows)
