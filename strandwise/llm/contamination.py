@@ -36,7 +36,7 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX
     x = (x ^ (x >> np.uint64(27))) * _MIX2
     return x ^ (x >> np.uint64(31))
@@ -60,19 +60,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS, _INVERSES
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | None], separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word of all texts, and the number of its text.
 
-    Words are runs of non-ASCII characters, letters and digits, with A-Z folded.
+    Words are runs of the bytes that are no ``separator``, with A-Z folded; by default of
+    non-ASCII characters, letters and digits. A space always separates.
     """
     data = [(t or "").encode() for t in texts]
     raw = _FOLD[np.frombuffer(b" ".join(data), np.uint8)]
-    inside = np.concatenate(([False], ~_SEPARATOR[raw], [False]))
+    inside = np.concatenate(([False], ~separator[raw], [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edge[::2], edge[1::2]
     powers, inverses = _powers(len(raw) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)])))
-    hashes = _mixed((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+    hashes = mixed((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
     lengths = np.array([len(d) + 1 for d in data], np.int64)
     return hashes, np.searchsorted(np.cumsum(lengths), starts, "right")
 
@@ -84,7 +85,7 @@ def shingle_hashes(words: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.
     for i in range(1, size):
         out = out * _PRIME + words[i : n + i]
     whole = owner[:n] == owner[len(words) - n :]
-    return _mixed(out[whole]), owner[:n][whole]
+    return mixed(out[whole]), owner[:n][whole]
 
 
 @dataclass
