@@ -142,3 +142,14 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(fold("doc_id") == 1, F.lit(False))
     return score(docs, fit(docs.where(~held_out), tokenizer_file()), held_out)
+
+
+@query("op13_sentencepiece")
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.pieces import decode, encode
+
+    model = tokenizer_file("piece_bpe_32k.model")
+    ids = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text")
+    return decode(ids, model).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
