@@ -153,3 +153,31 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(ids, model).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query(
+    "op11_lexical_search",
+    r"""
+with d as (select row_number() over () as r, doc_id, text from documents),
+t as (select r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+i as (select row_number() over () as q, item_id, text from benchmark),
+asked as (select q, term, count(*) as c from (select q, unnest(regexp_extract_all(
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from i) group by q, term),
+lengths as (select r, count(*) as n from t group by r),
+total as (select count(*) as docs, cast(sum(n) as bigint) as terms from lengths),
+tf as (select r, term, count(*) as tf from t where term in (select term from asked) group by r, term),
+df as (select term, count(*) as df from tf group by term),
+weights as (select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w from df, total),
+scores as (select q, r, cast(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) as bigint) as score
+  from asked join tf using (term) join weights using (term) join lengths using (r), total group by q, r),
+ranked as (select *, row_number() over (partition by q order by score desc, doc_id nulls last) as rank
+  from scores join d using (r) where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked join i using (q) where rank <= 20
+""",
+)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.lexical import search
+
+    return search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
