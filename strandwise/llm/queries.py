@@ -181,3 +181,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strandwise.llm.lexical import search
 
     return search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strandwise.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
