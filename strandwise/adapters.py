@@ -82,8 +82,9 @@ wild, cast(sum(case when l_returnflag = 'N' and l_linestatus = 'F' then 1 else 0
 as mut_c, cast(sum(case when l_returnflag = 'N' and l_linestatus = 'O' then 1 else 0 end) as
 bigint) as wild_c from lineitem group by l_suppkey""",
     "signal": """
-select concat('S', cast(user_id % 12 as string)) as sample, cast(row_number() over (partition by
-user_id % 12 order by ts, event_id) as bigint) as pos, value as intensity from events""",
+select concat('S', cast(g as string), '.', cast(cast(floor((n - 1) / 1000.0) as bigint) as string)) as sample,
+cast((n - 1) % 1000 + 1 as bigint) as pos, value as intensity from (select cast(floor(user_id / 4.0) as bigint) as g,
+value, row_number() over (partition by floor(user_id / 4.0) order by ts, event_id) as n from events) t""",
     "heights": """
 select concat('S', cast(l_suppkey % 30 as string)) as sample, concat(case when l_partkey % 13 <
 9 then 'Ref_' else 'T_' end, cast(l_partkey % 13 as string)) as probe, sum(l_extendedprice) as
@@ -313,9 +314,11 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body)
     if not order:
         return body
-    own = body.lstrip()
+    own, head = body.lstrip(), "with "
+    if own.startswith("with recursive "):
+        own, head = "with " + own.removeprefix("with recursive "), "with recursive "
     rest = ", " + own[5:] if own[:5].lower() == "with " else own
-    return "with " + ",\n".join(f"{n} as ({known[n]})" for n in order) + "\n" + rest
+    return head + ",\n".join(f"{n} as ({known[n]})" for n in order) + "\n" + rest
 
 
 def _mentions(text: str, name: str) -> bool:

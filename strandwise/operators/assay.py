@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strandwise.functions.columns import col, ratio, round_even
 from strandwise.functions.running import running
 from strandwise.operators.intervals import intersect_intervals, merge_intervals, restrict_regions
+from strandwise.operators.peaks import peak_shape, thin
 from strandwise.functions.stages import cut
 
 # Dosage limits, copy classes and peak settings.
@@ -245,57 +246,47 @@ def _maxima(signal: DataFrame, keys: Sequence[str]) -> DataFrame:
     return top.select(*keys, F.floor((F.col("pos") + F.col("_end") - 1) / 2).alias("pos"), x.alias("height"))
 
 
-def _thin(peaks: DataFrame, keys: Sequence[str], distance: int) -> DataFrame:
-    """Drop peaks closer than ``distance`` to a higher kept one (equal: the later wins).
-
-    Only peaks in one chain of close neighbours depend on each other, so each chain
-    is its own group.
-    """
-    keys = list(keys)
-    near = running(peaks, keys, "pos", block=100_000, lags={"_prev": F.col("pos")})
-    opens = F.col("_prev").isNull() | (F.col("pos") - F.col("_prev") >= distance)
-    marked = near.withColumn("_new", opens.cast("int")).drop("_prev")
-    chains = running(marked, keys, "pos", block=100_000, sums={"_chain": F.col("_new")})
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in peaks.schema.fields)
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        pos, height = pdf["pos"].to_numpy(), pdf["height"].to_numpy()
-        kept = np.ones(len(pos), dtype=bool)
-        for i in np.argsort(height, kind="stable")[::-1]:
-            if kept[i]:
-                close = np.abs(pos - pos[i]) < distance
-                close[i] = False
-                kept &= ~close
-        return pdf[kept].drop(columns=["_new", "_chain"])
-
-    return chains.groupBy(*keys, "_chain").applyInPandas(keep, fields)
-
-
 def call_peaks(
     signal: DataFrame, height: float, distance: int, max_peaks: int | None = None,
     keys: Sequence[str] = ("sample",), max_height: float | None = None,
+    min_width: float | None = None, max_width: float | None = None, min_prominence_share: float | None = None, rel_height: float = 0.5,
 ) -> DataFrame:
     """Peaks of traces (keys, pos, intensity): (keys, pos, height).
 
-    With more than ``max_peaks`` the search is repeated over one more than the
-    height of the first peak too many.
+    After thinning, peaks narrower than ``min_width`` or wider than ``max_width`` at
+    ``rel_height`` of their prominence go, and those whose prominence is under
+    ``min_prominence_share`` of their height.  With more than ``max_peaks`` left the search
+    is repeated over one more than the height of the first peak too many.
     """
     keys = list(keys)
     tops = _maxima(signal, keys).where(F.col("height") >= height)
     if max_height is not None:
         tops = tops.where(F.col("height") <= max_height)
     tops = cut(tops)
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        rows = thin(rows, keys, distance)
+        if min_width is None and max_width is None and min_prominence_share is None:
+            return rows
+        shaped = peak_shape(rows, signal, keys, rel_height)
+        if min_width is not None:
+            shaped = shaped.where(F.col("width") >= min_width)
+        if max_width is not None:
+            shaped = shaped.where(F.col("width") <= max_width)
+        if min_prominence_share is not None:
+            shaped = shaped.where(F.col("prominence") / F.col("height") >= min_prominence_share)
+        return shaped.select(*rows.columns)
+
     if max_peaks is None:
-        return _thin(tops, keys, distance)
-    first = cut(_thin(tops, keys, distance))
+        return chosen(tops)
+    first = cut(chosen(tops))
     # the peaks of one trace: at most its length over the distance
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("height"), F.desc("pos")))
     limit = first.withColumn("_r", rank).where(F.col("_r") == max_peaks + 1).select(
         *keys, (F.col("height") + 1).alias("_limit")
     )
     again = tops.join(limit, keys).where(F.col("height") >= F.col("_limit")).drop("_limit")
-    return first.join(limit, keys, "left_anti").unionByName(_thin(again, keys, distance))
+    return first.join(limit, keys, "left_anti").unionByName(chosen(again))
 
 
 def drop_weak_ladder_peak(peaks: DataFrame, n: int, share: float = WEAK_PEAK) -> DataFrame:

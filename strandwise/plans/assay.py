@@ -169,9 +169,66 @@ def _(v):
     return _ladder(v)
 
 
-@query("J8_call_peaks_thinned")
+_TOPS = f"select sample, pos, height, row_number() over (partition by sample order by height desc, pos desc) as k from ({_PEAKS}) p"
+
+
+def _walk(name, source, distance):
+    """The sequential rule: from the highest down, a peak stays when none that stays is near."""
+    return f"""{name}o as (select *, row_number() over (partition by sample order by height desc, pos desc) as o from {source}),
+{name} as (
+  select sample, pos, height, o, [pos] as kept from {name}o where o = 1
+  union all
+  select n.sample, n.pos, n.height, n.o, case when len(list_filter(w.kept, lambda x: abs(x - n.pos) < {distance})) = 0
+    then list_append(w.kept, n.pos) else w.kept end from {name} w join {name}o n on n.sample = w.sample and n.o = w.o + 1)"""
+
+
+_THINNED = f"""
+with recursive tops as ({_TOPS}),
+{_walk("wa", "tops", 25)},
+firsts as (select sample, pos, height, row_number() over (partition by sample order by height desc, pos desc) as r from wa
+  where list_contains(kept, pos)),
+lim as (select sample, height + 1 as least from firsts where r = 9),
+again as (select t.sample, t.pos, t.height from tops t join lim on lim.sample = t.sample and t.height >= least),
+{_walk("wb", "again", 25)}
+select sample, pos, height from firsts where sample not in (select sample from lim)
+union all select sample, pos, height from wb where list_contains(kept, pos)"""
+
+
+@query("J8_call_peaks_thinned", _THINNED)
+def _(v):
+    return ay.call_peaks(v("signal"), 40, 25, max_peaks=8)
+
+
+_SIDE = """
+select p.sample, p.pos, p.height, coalesce(max(s.pos) filter (where s.pos < p.pos and s.intensity > p.height), -1) as l,
+  coalesce(min(s.pos) filter (where s.pos > p.pos and s.intensity > p.height), 1000000000000) as r
+from ({peaks}) p join signal s on s.sample = p.sample group by 1, 2, 3"""
+_SHAPE = f"""
+with b as ({_SIDE.format(peaks=_PEAKS)}),
+m as (select b.sample, b.pos, b.height, min({{'v': s.intensity, 'd': b.pos - s.pos}}) filter (where s.pos <= b.pos) as a, min({{'v': s.intensity, 'd': s.pos - b.pos}}) filter (where s.pos >= b.pos) as z
+  from b join signal s on s.sample = b.sample and s.pos > l and s.pos < r group by 1, 2, 3),
+e as (select sample, pos, height, height - greatest(a.v, z.v) as prominence, pos - a.d as left_base, pos + z.d as right_base from m),
+h as (select *, height - prominence * 0.5::double as level from e),
+c as (select h.*, (select max(pos) from signal s where s.sample = h.sample and s.pos < h.pos and s.intensity <= level) as i,
+    (select min(pos) from signal s where s.sample = h.sample and s.pos > h.pos and s.intensity <= level) as j from h),
+w as (select c.*, case when a.intensity < level then (level - a.intensity) / (a2.intensity - a.intensity) else 0 end + i as left_ip,
+    j - case when z.intensity < level then (level - z.intensity) / (z2.intensity - z.intensity) else 0 end as right_ip
+  from c join signal a on a.sample = c.sample and a.pos = i join signal a2 on a2.sample = c.sample and a2.pos = i + 1
+  join signal z on z.sample = c.sample and z.pos = j join signal z2 on z2.sample = c.sample and z2.pos = j - 1)"""
+
+
+@query("J8_peak_shape", _SHAPE + """
+select sample, pos, height, round(prominence, 6) as prominence, left_base, right_base, round(right_ip - left_ip, 6) as width,
+  round(left_ip, 6) as left_ip, round(right_ip, 6) as right_ip from w""")
+def _(v):
+    shaped = ay.peak_shape(_ladder(v), v("signal"))
+    return shaped.select("sample", "pos", "height", "left_base", "right_base", *[F.round(c, 6).alias(c) for c in ("prominence", "width", "left_ip", "right_ip")])
+
+
+@query("J8_call_peaks_by_shape", _SHAPE + """
+select sample, pos, height from w where right_ip - left_ip <= 3 and prominence / height >= 0.58""")
 def _(v):
-    return ay.call_peaks(v("signal"), 40, 25, max_peaks=20)
+    return ay.call_peaks(v("signal"), 40, 1, max_width=3, min_prominence_share=0.58)
 
 
 _DQ = """
@@ -220,7 +277,7 @@ def _(v):
 with f as ({_FOUND}),
 l as (select sample, round_even(regr_r2(size, probe_size), 4) as r_square_detect from f where size <> 0 group by sample),
 n as (select sample, count(*) filter (where size = 0 and probe like 'Ref%') as a, count(*) filter (where size = 0 and probe not like 'Ref%') as b from f group by sample),
-k as (select * from ({_FIT}) t where sample <> 'S5')
+k as (select * from ({_FIT}) t where sample <> 'S1.0')
 select s.sample, r_square_sizing, r_square_detect, case when q = '' then 'pass' else q end as "QC" from (
   select n.sample, r_square_sizing, r_square_detect, concat_ws(';', case when r_square_sizing is null then 'standard_detect_fail' end,
     case when r_square_sizing < 0.997 then 'standard_fit_sizing_fail' end,
@@ -229,7 +286,7 @@ select s.sample, r_square_sizing, r_square_detect, case when q = '' then 'pass'
   from n left join k on k.sample = n.sample left join l on l.sample = n.sample) s""",
 )
 def _(v):
-    sizing = ay.size_calibration(_ladder(v), _SIZES).where("sample <> 'S5'").select("sample", "r_square_sizing")
+    sizing = ay.size_calibration(_ladder(v), _SIZES).where("sample <> 'S1.0'").select("sample", "r_square_sizing")
     return ay.peak_qc(_assigned(v), sizing, v("signal"))
 
 
