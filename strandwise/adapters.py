@@ -31,12 +31,11 @@ then '+' else '-' end as strand from part""",
     "catalog": """
 select chrom, start, start + 40 as stop, region_id as name from regions where region_id % 25 = 0""",
     "bins": """
-select concat('S', cast(l_suppkey % 20 as string)) as sample, case l_partkey % 5 when 3 then
-'chrX' when 4 then 'chrY' else concat('chr', cast(l_partkey % 5 + 1 as string)) end as chrom,
-(l_partkey % 500) * 100 as start, (l_partkey % 500) * 100 + 100 as stop, cast(100 as bigint) as
-size, sum(l_quantity) * 20 as base, sum(l_quantity) / 5 as mean_depth, (20 + (l_partkey % 500) %
-61) / cast(100 as double) as gc, case when l_suppkey % 20 % 2 = 0 then 'M' else 'F' end as
-gender from lineitem group by l_suppkey % 20, l_partkey % 500, l_partkey % 5""",
+select concat('S', cast(s as string)) as sample, case c when 3 then 'chrX' when 4 then 'chrY' else concat('chr',
+cast(c + 1 as string)) end as chrom, b * 100 as start, b * 100 + 100 as stop, cast(100 as bigint) as size,
+sum(l_quantity) * 20 as base, sum(l_quantity) / 5 as mean_depth, (20 + b % 61) / cast(100 as double) as gc,
+case when s % 2 = 0 then 'M' else 'F' end as gender from (select l_suppkey % 20 as s, l_partkey % 5 as c,
+cast(floor(l_partkey / 4.0) as bigint) as b, l_quantity from lineitem) t group by s, c, b""",
     "sites": """
 select case o_orderkey % 5 when 3 then 'chrX' when 4 then 'chrY' else concat('chr',
 cast(o_orderkey % 5 + 1 as string)) end as chrom, o_orderkey * 7 as pos, substring('ACGT',
@@ -59,6 +58,9 @@ case sample when 'Father' then 1 when 'Mother' then 2 when 'Proband' then 3 when
 select chrom, pos, ref, alt, filter, var_type, site_id, sample, gt, case gt when '0/0' then 20 +
 r when '0/1' then 5 + r when '1/1' then r % 2 else 0 end as ad0, case gt when '0/0' then r % 2
 when '0/1' then 5 + (r * 5) % 13 when '1/1' then 20 + r else 0 end as ad1 from calls0""",
+    "sparse_calls": """
+select case when site_id % 997 = 0 then 'chrM' else chrom end as chrom, pos, ref, alt, filter, var_type,
+site_id, sample, gt, ad0, ad1 from calls""",
     "phased": """
 select chrom, pos, ref, alt, site_id, concat('P', cast(floor(pos / 5000.0) as bigint)) as ps,
 case when site_id % 3 = 0 then '0|1' when site_id % 3 = 1 then '1|0' else '1|1' end as gt, 5 +

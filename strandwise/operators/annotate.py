@@ -157,7 +157,7 @@ def splice_window(
     under the variant wins; else one ending within 6 or starting within 20 bases,
     in the order donor +, acceptor +, donor -, acceptor -.  Windows: donor = last 3
     exon + 6 intron bases, acceptor = 20 intron + 3 exon bases, on the gene strand;
-    the two splice bases and the mutated base are upper case.
+    the two splice bases and the mutated base are upper case.  What lies outside the contig reads N.
     """
     snv = variants.where(F.col("ref").isin(*"ACGTacgt") & F.col("alt").isin(*"ACGTacgt")).select(*SITE).distinct()
     offsets = (0, -6, 20, 6, -20)
@@ -207,10 +207,12 @@ def splice_window(
         .otherwise(F.col("edge") - 2)
     )
     width = F.when(k.startswith("donor"), 9).otherwise(23)
-    spans = df.where(k.isNotNull()).withColumn("start", low - 1).withColumn("stop", low - 1 + width)
+    outside = F.greatest(1 - low, F.lit(0))
+    spans = df.where(k.isNotNull()).withColumn("start", low - 1 + outside).withColumn("stop", low - 1 + width)
     text = sequence_at(spans, ref_chunks, chunk_size, "_seq")
     minus = k.endswith("-")
-    seq = F.when(minus, reverse_complement(F.col("_seq"))).otherwise(F.col("_seq"))
+    whole = F.rpad(F.concat(F.repeat(F.lit("N"), outside.cast("int")), "_seq"), width.cast("int"), F.lit("N"))
+    seq = F.when(minus, reverse_complement(whole)).otherwise(whole)
     skip = F.when(k.startswith("donor"), 3).otherwise(18)
     marked = F.concat(
         F.lower(F.substr(seq, F.lit(1), skip)),

@@ -126,7 +126,7 @@ def _(v):
 
 def _probe(off: int, name: str) -> str:
     return f"""(select min_by({{'a': g.start, 'z': g.stop, 's': g.strand, 'g': g.gene}}, g.region_id) from regions g
-    where g.chrom = v.chrom and g.start > 30 and v.pos + {off} between g.start and g.stop) as {name}"""
+    where g.chrom = v.chrom and v.pos + {off} between g.start and g.stop) as {name}"""
 
 
 _SPLICE = f"""
@@ -137,10 +137,10 @@ k as (select *, case when x0 is not null then x0.g when x1.s = '+' then x1.g whe
       else case when pos - 2 <= x0.a then 'd-' when pos + 2 >= x0.z then 'a-' end end
     when x1.s = '+' then 'd+' when x2.s = '+' then 'a+' when x3.s = '-' then 'd-' when x4.s = '-' then 'a-' end as kind,
   case when x0 is not null then x0 when x1.s = '+' then x1 when x2.s = '+' then x2 when x3.s = '-' then x3 when x4.s = '-' then x4 end as e from p),
-w as (select k.*, case kind when 'd+' then substr(txt, e.z - 2, 9) when 'a+' then substr(txt, e.a - 20, 23)
-    when 'd-' then reverse(translate(substr(txt, e.a - 6, 9), 'ACGT', 'TGCA')) when 'a-' then reverse(translate(substr(txt, e.z - 2, 23), 'ACGT', 'TGCA')) end as t,
+w as (select k.*, case kind when 'd+' then substr(txt, e.z + 48, 9) when 'a+' then substr(txt, e.a + 30, 23)
+    when 'd-' then reverse(translate(substr(txt, e.a + 44, 9), 'ACGT', 'TGCA')) when 'a-' then reverse(translate(substr(txt, e.z + 48, 23), 'ACGT', 'TGCA')) end as t,
   case kind when 'd+' then pos - e.z + 2 when 'a+' then pos - e.a + 20 when 'd-' then e.a - pos + 2 when 'a-' then e.z - pos + 20 end as i
-  from k join ref_text r on r.chrom = k.chrom),
+  from k join (select chrom, concat(repeat('N', 50), txt, repeat('N', 50)) as txt from ref_text) r on r.chrom = k.chrom),
 m as (select *, case when kind like 'd%' then concat(lower(left(t, 3)), substr(t, 4, 2), lower(substr(t, 6)))
     else concat(lower(left(t, 18)), substr(t, 19, 2), lower(substr(t, 21))) end as wild from w),
 f as (select chrom, pos, ref, alt, gene, case when kind like 'd%' then 'ss5' when kind like 'a%' then 'ss3' end as site, wild,
@@ -148,7 +148,7 @@ f as (select chrom, pos, ref, alt, gene, case when kind like 'd%' then 'ss5' whe
 
 
 def _windows(v):
-    exons = v("regions").where("start > 30").withColumnRenamed("region_id", "ordinal")
+    exons = v("regions").withColumnRenamed("region_id", "ordinal")
     return an.splice_window(v("snv"), exons, v("ref_chunks"), 12)
 
 

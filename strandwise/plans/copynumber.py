@@ -309,14 +309,13 @@ def _(v):
 @query(
     "E15_region_copy_ratio",
     f"""
-with p as (select x.sample, x.ratio from ({_PROFILE}) x join regions g on g.chrom = x.chrom and x.pos between g.start and g.stop
-  and g.start > 0),
+with p as (select x.sample, x.ratio from ({_PROFILE}) x join regions g on g.chrom = x.chrom and x.pos between g.start and g.stop),
 q as (select sample, median(ratio) as m, quantile_cont(ratio, 0.25) as a, quantile_cont(ratio, 0.75) as b from p group by sample)
 select q.sample, round_even(m, 3) as median, (select round_even(avg(ratio), 3) from p where p.sample = q.sample and ratio between a and b)
   as kmeans from q""",
 )
 def _(v):
-    return cn.region_copy_ratio(_profile(v), v("regions").where("start > 0"))
+    return cn.region_copy_ratio(_profile(v), v("regions"))
 
 
 @query(

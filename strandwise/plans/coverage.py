@@ -20,14 +20,15 @@ def _(v):
     "C1_base_depth_per_base",
     """
 select chrom, pos, count(*) as depth from (
-  select rname as chrom, pos - 1 + i as pos, substr(seq, cast(clip + i + 1 as bigint), 1) as base,
-    ord(substr(qual, cast(clip + i + 1 as bigint), 1)) - 33 as bq
-  from (select *, unnest(range(0, len)) as i from sam where flag & 1796 = 0 and not cigar like '%D%' and not cigar like '%I%') t
+  select rname as chrom, pos - 1 + i + gap as pos, substr(seq, cast(clip + i + more + 1 as bigint), 1) as base,
+    ord(substr(qual, cast(clip + i + more + 1 as bigint), 1)) - 33 as bq
+  from (select *, case when cigar like '%D%' and i >= len then 2 else 0 end as gap, case when cigar like '%I%' and i >= len then 1 else 0 end as more
+    from (select *, unnest(range(0, len + case when cigar like '%D%' then 4 when cigar like '%I%' then 5 else 0 end)) as i
+      from sam where flag & 1796 = 0) s) t
 ) u where bq >= 15 and base in ('A', 'C', 'G', 'T') group by chrom, pos""",
 )
 def _(v):
-    plain = v("sam").where("not cigar like '%D%' and not cigar like '%I%'")
-    return base_calls(plain, min_quality=15).groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("depth"))
+    return base_calls(v("sam"), min_quality=15).groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("depth"))
 
 
 @query(

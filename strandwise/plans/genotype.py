@@ -14,10 +14,10 @@ MEMBERS = ["Father", "Mother", "Proband"]
 EMBRYOS = ["Embryo1", "Embryo2", "Embryo3"]
 
 
-def calls(v):
+def calls(v, name="calls"):
     """The call view in reader shape: alt, filter and ad as arrays."""
     return (
-        v("calls")
+        v(name)
         .withColumn("alt", F.array("alt"))
         .withColumn("filter", F.array("filter"))
         .withColumn("ad", F.array("ad0", "ad1"))

@@ -120,11 +120,11 @@ def _(v):
     )
 
 
-# star alleles of the test data: each customer's sites (three at most) define one
+# star alleles of the test data: a few sites of a customer define one
 _MAP = """
-select concat('*', cast(cust as varchar)) as star, cust as ordinal, site_id as place, site_id as position,
+select concat('*', cast(cust as varchar), '.', cast(site_id % 7 as varchar)) as star, cust * 7 + site_id % 7 as ordinal, site_id as place, site_id as position,
   case when site_id % 4 = 0 then case ref when 'A' then 'R' when 'G' then 'R' else 'Y' end
-    when site_id % 4 = 1 then ref else left(alt, 1) end as allele from sites where site_id % 10 < 3"""
+    when site_id % 4 = 1 then ref else left(alt, 1) end as allele from sites"""
 
 
 def _star_map(v):
@@ -132,8 +132,9 @@ def _star_map(v):
     allele = F.when(F.col("site_id") % 4 == 0, code).when(F.col("site_id") % 4 == 1, F.col("ref")).otherwise(
         F.substring("alt", 1, 1)
     )
-    return v("sites").where("site_id % 10 < 3").select(
-        F.concat(F.lit("*"), "cust").alias("star"), F.col("cust").alias("ordinal"), F.col("site_id").alias("place"),
+    part = F.col("site_id") % 7
+    return v("sites").select(
+        F.concat(F.lit("*"), "cust", F.lit("."), part).alias("star"), (F.col("cust") * 7 + part).alias("ordinal"), F.col("site_id").alias("place"),
         F.col("site_id").alias("position"), allele.alias("allele"),
     )
 

@@ -66,11 +66,11 @@ def _(v):
 # peak fits of the test data come from a rule, so that the decision has an oracle
 _FITS = """
 select sample, chrom, case when chrom in ('chr1', 'chrX') then 0.9 else 0.5 end as ratio_r2_score,
-  case when chrom = 'chr1' then 0.35 else 0.1 end as ratio_separate from calls group by sample, chrom"""
+  case when chrom = 'chr1' then 0.35 else 0.1 end as ratio_separate from sparse_calls group by sample, chrom"""
 
 
 def _fits(v):
-    two = v("calls").select("sample", "chrom").distinct()
+    two = v("sparse_calls").select("sample", "chrom").distinct()
     return two.select(
         "sample", "chrom", F.when(F.col("chrom").isin("chr1", "chrX"), 0.9).otherwise(0.5).alias("ratio_r2_score"),
         F.when(F.col("chrom") == "chr1", 0.35).otherwise(0.1).alias("ratio_separate"),
@@ -81,18 +81,20 @@ _PLOIDY = f"""
 select n.sample, n.chrom, coalesce(p, cast(round_even(m / one, 0) as int)) as ploidy,
   case when few then variant_num when p > 0 then ratio_separate else m / one end as score,
   case when few then 'variant_num' when p > 0 then 'ratio_separate' else 'depth_ratio' end as func
-from (select sample, chrom, count(*) as variant_num, avg(ad0 + ad1) filter (where var_type = 'snp') as m, chrom = 'chrY' as few from calls
-    where chrom <> 'chrY' or site_id < 60 group by 1, 2) n
-join (select sample, chrom, ratio_separate, case when chrom = 'chrY' then 0 when chrom = 'chr1' then 3 when chrom = 'chrX' then 2 end as p
-  from ({_FITS}) f) f on f.sample = n.sample and f.chrom = n.chrom
-join (select sample, avg((ad0 + ad1) / case chrom when 'chr1' then 3.0::double else 2.0::double end) as one from calls
-  where var_type = 'snp' and chrom in ('chr1', 'chrX') group by sample) o on o.sample = n.sample"""
+from (select sample, chrom, count(*) as variant_num, avg(ad0 + ad1) filter (where var_type = 'snp') as m, count(*) < 100 as few from sparse_calls
+    group by 1, 2) n
+join (select f.sample, f.chrom, ratio_separate, case when few then 0 when f.chrom = 'chr1' then 3 when f.chrom = 'chrX' then 2 end as p
+  from ({_FITS}) f join (select sample, chrom, count(*) < 100 as few from sparse_calls group by 1, 2) c on c.sample = f.sample and c.chrom = f.chrom) f
+  on f.sample = n.sample and f.chrom = n.chrom
+join (select s.sample, avg((ad0 + ad1) / case s.chrom when 'chr1' then 3.0::double else 2.0::double end) as one from sparse_calls s
+  join (select sample, chrom from sparse_calls group by 1, 2 having count(*) >= 100) d on d.sample = s.sample and d.chrom = s.chrom
+  where var_type = 'snp' and s.chrom in ('chr1', 'chrX') group by s.sample) o on o.sample = n.sample"""
 
 
 def _ploidy(v):
-    # chrY keeps its first sites only, fewer than the smallest number of variants
-    some = calls(v).where("chrom <> 'chrY' or site_id < 60")
-    return pl.call_ploidy(_fits(v), pl.fit_depth(some), some, min_sites=20)
+    # the mitochondrial contig has few sites of its own
+    some = calls(v, "sparse_calls")
+    return pl.call_ploidy(_fits(v), pl.fit_depth(some), some, min_sites=100)
 
 
 @query("H5_call_ploidy", f"select * from ({_PLOIDY}) t")
@@ -105,11 +107,11 @@ def _(v):
     """
 select sample, concat(sum(p), ',', string_agg(case when chrom in ('chrX', 'chrY') then repeat(substr(chrom, 4), p::int) end, '' order by chrom),
   coalesce(string_agg(case when chrom not in ('chrX', 'chrY') then case p when 1 then concat('H', substr(chrom, 4)) when 3 then concat('T', substr(chrom, 4)) end end, '' order by chrom), '')) as karyotype
-from (select sample, chrom, count(*) % 4 as p from calls where site_id % 6 < 5 or (gt = '0/1' and sample <> 'Mother') group by 1, 2) t group by sample""",
+from (select sample, chrom, count(*) filter (where gt = '0/1') % 4 as p from calls group by 1, 2) t group by sample""",
 )
 def _(v):
-    rows = v("calls").where("site_id % 6 < 5 or (gt = '0/1' and sample <> 'Mother')").groupBy("sample", "chrom").agg(
-        (F.count(F.lit(1)) % 4).cast("int").alias("ploidy")
+    rows = v("calls").groupBy("sample", "chrom").agg(
+        (F.count_if(F.col("gt") == "0/1") % 4).cast("int").alias("ploidy")
     )
     return pl.karyotype(rows)
 

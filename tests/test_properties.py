@@ -264,10 +264,9 @@ def test_files_round_trip(spark, tmp_path):
     tables.write_ndjson(df, str(tmp_path / "nd"))
     assert spark.read.json(str(tmp_path / "nd")).count() == 2
     sites = spark.createDataFrame([("chr1", 7, None, "A", "G", None, "PASS", "QD=1")], "chrom string, pos long, id string, ref string, alt string, qual string, filter string, info string")
-    header = spark.createDataFrame([("#CHROM",)], "value string")
-    vcf.write_vcf_info(sites, header, "S", F.lit("9"), str(tmp_path / "v"))
+    vcf.write_vcf_info(sites, ["#CHROM"], "S", F.lit("9"), str(tmp_path / "v"))
     text = sorted(r.value for r in spark.read.text(str(tmp_path / "v")).collect())
-    assert text == ["#CHROM", "chr1\t7\t.\tA\tG\t.\tPASS\tQD=1;S=9"]
+    assert text == ['##INFO=<ID=S,Number=.,Type=String,Description="S">', "#CHROM", "chr1\t7\t.\tA\tG\t.\tPASS\tQD=1;S=9"]
 
 
 def test_rows_without_a_key_stay_in_left_and_anti_joins(spark):
