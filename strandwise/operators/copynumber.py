@@ -14,6 +14,7 @@ from strandwise.functions.columns import col, ratio, round_even
 from strandwise.functions.quantiles import exact_quantiles
 from strandwise.functions.running import running, sweep
 from strandwise.functions.stages import cut
+from strandwise.operators.arcs import PERMUTED, best_arcs, change_tail, student
 from strandwise.operators.intervals import overlap_join
 
 
@@ -204,14 +205,6 @@ def cv(bins: DataFrame, value: str = "ratio_batch_fix", variant: str = "windows"
     )
 
 
-def _bridge_tail(x: Column, terms: int = 6) -> Column:
-    """P(range of a Brownian bridge > x), the series for the rotation-free bridge range."""
-    total = F.lit(0.0)
-    for j in range(1, terms + 1):
-        total = total + 2 * (4 * j * j * x * x - 1) * F.exp(-2 * j * j * x * x)
-    return F.when(x < 0.4, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), total)))
-
-
 def smooth_outliers(
     bins: DataFrame,
     value: str = "log2ratio",
@@ -267,92 +260,72 @@ def segment(
     alpha: float = 0.01,
     min_width: int = 2,
     keys: Sequence[str] = ("sample", "chrom"),
+    permuted: int = PERMUTED,
 ) -> DataFrame:
-    """Circular change-point segmentation, all series and segments at once per round.
-
-    Each segment is tested for an arc whose mean differs: the cumulative sum of
-    deviations from the segment mean is a bridge, its highest and lowest points end
-    the best arc, and the range over noise x sqrt(n) has a known tail (Kuiper's
-    statistic).  Significant arcs split their segment into up to three.  Every step
-    is an aggregation with map-side combine or a join, so one long series spreads
-    over many tasks; a round's state is checkpointed.  Rounds go on until no segment
+    """Circular binary segmentation, all series and segments at once per round.
+
+    Each segment is searched for the arc whose mean differs most, by the statistic
+    normalised by arc length over all arcs (``operators/arcs.py``).  Up to ``permuted`` rows
+    its p-value comes from permutations of the segment, which stop early, beyond from the
+    tail of the maximum over noise.  An arc under ``alpha`` splits its segment into up to
+    three; a cut closer than ``min_width`` to an end moves there.  A round's state is
+    checkpointed, long segments are handled in blocks.  Rounds go on until no segment
     splits; a split makes its segment shorter, so they end.
+
+    Returns (keys, start, last_start, num_mark, seg_mean, bstat, pval): ``bstat`` is the
+    difference of means between a segment and the next one of its series over its standard
+    error, ``pval`` the chance of a single change as large in their rows, null at the end.
+    Rows without a value are left out.
     """
     keys = list(keys)
     base = bins.where(F.col(value).isNotNull()).select(*keys, "start", F.col(value).cast("double").alias("x"))
-    near = running(
-        base,
-        keys,
-        "start",
-        sums={"i": F.lit(1), "s": F.col("x")},
-        lags={"_prev": F.col("x")},
-    )
-    step = F.col("x") - F.col("_prev")
-    noise = near.groupBy(*keys).agg(F.sqrt(F.avg(step * step) / 2).alias("sd"))
-    rows = cut(
-        near.join(noise, keys).select(
-            *keys, "start", "x", "i", "s", "sd",
-            F.lit(1).cast("long").alias("seg"), F.lit(None).cast("double").alias("pval"), F.lit(True).alias("open"),
-        )
-    )
-    done = []
+    near = running(base, keys, "start", sums={"i": F.lit(1), "s": F.col("x")})
+    rows = cut(near.select(*keys, "start", "x", "i", "s", F.lit(1).cast("long").alias("seg"), F.lit(True).alias("open")))
+    seg, done = [*keys, "seg"], []
     while True:
         live = rows.where("open")
-        seg = [*keys, "seg"]
         stats = live.groupBy(*seg).agg(
-            F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.min_by(F.col("s") - F.col("x"), "i").alias("s0")
-        )
-        bridge = (F.col("s") - F.col("s0")) - (F.col("i") - F.col("seg") + 1) * F.col("mean")
-        placed = live.join(stats, seg).withColumn("b", bridge)
-        arcs = placed.groupBy(*seg).agg(
-            F.greatest(F.max("b"), F.lit(0.0)).alias("top"),
-            F.least(F.min("b"), F.lit(0.0)).alias("low"),
-            F.when(F.max("b") > 0, F.max_by("i", "b")).otherwise(F.col("seg") - 1).alias("i_top"),
-            F.when(F.min("b") < 0, F.min_by("i", "b")).otherwise(F.col("seg") - 1).alias("i_low"),
-            F.max("n").alias("n"),
-            F.max("sd").alias("sd"),
+            F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"), F.min_by(F.col("s") - F.col("x"), "i").alias("s0"),
+            F.var_pop("x").alias("var"),
         )
-        lam = (F.col("top") - F.col("low")) / F.nullif(F.col("sd") * F.sqrt("n"), F.lit(0.0))
+        j = F.col("i") - F.col("seg") + 1
+        placed = live.join(stats, seg).select(
+            *seg, "x", j.alias("j"), (F.col("s") - F.col("s0") - j * F.col("mean")).alias("b"), "n", (F.col("var") * F.col("n")).alias("tss"))
+        arcs = best_arcs(placed, seg, "x", "j", min_width, alpha, permuted)
         last = F.col("seg") + F.col("n") - 1
-        first_cut, second_cut = F.least("i_top", "i_low"), F.greatest("i_top", "i_low")
-        # a cut closer than min_width to an end or to the other cut moves to it
-        first_cut = F.when(first_cut - F.col("seg") + 1 < min_width, F.col("seg") - 1).otherwise(first_cut)
-        second_cut = F.when(last - second_cut < min_width, last).otherwise(second_cut)
-        arcs = arcs.select(
-            *seg,
-            _bridge_tail(lam).alias("p"),
-            first_cut.alias("c1"),
-            second_cut.alias("c2"),
-            last.alias("last"),
-        )
-        whole = (F.col("c1") < F.col("seg")) & (F.col("c2") >= F.col("last"))
-        split = F.coalesce((F.col("p") < alpha) & ~whole & (F.col("c2") - F.col("c1") >= min_width), F.lit(False))
-        arcs = arcs.withColumn("split", split)
+        first_cut = F.when(F.col("j1") < min_width, F.col("seg") - 1).otherwise(F.col("seg") + F.col("j1") - 1)
+        second_cut = F.when(F.col("n") - F.col("j2") < min_width, last).otherwise(F.col("seg") + F.col("j2") - 1)
+        arcs = arcs.where(F.col("p") < alpha).select(*seg, first_cut.alias("c1"), second_cut.alias("c2"), last.alias("last"))
+        arcs = arcs.where(~((F.col("c1") < F.col("seg")) & (F.col("c2") >= F.col("last"))))
         begin = (
             F.when(F.col("i") > F.col("c2"), F.col("c2") + 1)
             .when(F.col("i") > F.col("c1"), F.col("c1") + 1)
             .otherwise(F.col("seg"))
         )
-        moved = live.join(arcs, seg).select(
-            *keys, "start", "x", "i", "s", "sd",
-            F.when(F.col("split"), begin).otherwise(F.col("seg")).alias("seg"),
-            F.when(F.col("split") & (begin != F.col("seg")), F.col("p")).otherwise(F.col("pval")).alias("pval"),
-            F.col("split").alias("open"),
-        )
-        rows = cut(moved)
+        rows = cut(live.join(arcs, seg, "left").select(
+            *keys, "start", "x", "i", "s", F.coalesce(begin, "seg").alias("seg"), F.col("c1").isNotNull().alias("open")))
         done.append(rows.where(~F.col("open")))
         if rows.where("open").limit(1).count() == 0:
             break
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
-    return out.groupBy(*keys, "seg").agg(
-        F.min("start").alias("start"),
-        F.max("start").alias("last_start"),
-        F.count(F.lit(1)).alias("num_mark"),
-        F.avg("x").alias("seg_mean"),
-        F.max("pval").alias("pval"),
-    ).drop("seg")
+    out = out.groupBy(*seg).agg(
+        F.min("start").alias("start"), F.max("start").alias("last_start"), F.count(F.lit(1)).alias("num_mark"), F.avg("x").alias("seg_mean"),
+        F.var_pop("x").alias("_var"),
+    )
+    following = Window.partitionBy(*keys).orderBy("seg")  # a row for each segment of a series
+    n1, n2 = F.col("num_mark"), F.lead("num_mark").over(following)
+    square = F.pow(F.col("seg_mean") - F.lead("seg_mean").over(following), 2) * n1 * n2 / (n1 + n2)
+    within = n1 * F.col("_var") + n2 * F.lead("_var").over(following)
+    out = out.withColumns({"_n": n1 + n2, "_stat": square, "_tss": within + square})
+
+    @F.pandas_udf("double")
+    def tail(b: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(m) else change_tail(float(x), int(m), min_width) for x, m in zip(b, n)], dtype=float)
+
+    out = out.withColumn("bstat", F.when(F.col("_n").isNotNull(), student("_stat", "_tss", "_n")))
+    return out.withColumn("pval", tail("bstat", "_n")).select(*keys, "start", "last_start", "num_mark", "seg_mean", "bstat", "pval")
 
 
 def spread_segments(bins: DataFrame, segs: DataFrame, keys: Sequence[str] = ("sample", "chrom")) -> DataFrame:

@@ -165,6 +165,37 @@ def _(v):
     return found.select("sample", "chrom", "start", "last_start", "num_mark", F.round("seg_mean", 6).alias("seg_mean"))
 
 
+# depth with a small term that no two bins share, so that no two arcs are equal
+_ROUGH = """
+select sample, chrom, start, x, row_number() over (partition by sample, chrom order by start) as j from (
+  select sample, chrom, start, mean_depth + cast((start / 100 * 7919) % 1009 as double) / 10007 as x from bins) t"""
+
+
+@query(
+    "E6_best_arc",
+    f"""
+with r as ({_ROUGH}),
+m as (select sample, chrom, avg(x) as mean, count(*) as n from r group by 1, 2),
+b as (select r.sample, r.chrom, j, n, sum(x - mean) over (partition by r.sample, r.chrom order by j) as b from r
+    join m on m.sample = r.sample and m.chrom = r.chrom
+  union all select sample, chrom, 0, n, 0 from m),
+z as (select a.sample, a.chrom, a.n, a.j as j1, c.j as j2, pow(c.b - a.b, 2) * a.n / cast((c.j - a.j) * (a.n - (c.j - a.j)) as double) as stat
+  from b a join b c on c.sample = a.sample and c.chrom = a.chrom and c.j < c.n and c.j - a.j >= 2 and a.n - (c.j - a.j) >= 2)
+select sample, chrom, n, max(round(stat, 5)) as stat, arg_max(j1, stat) as j1, arg_max(j2, stat) as j2 from z group by 1, 2, 3""",
+)
+def _(v):
+    from strandwise.functions.running import running
+    from strandwise.operators.arcs import best_arcs
+
+    noise = ((F.col("start") / 100 * 7919) % 1009).cast("double") / 10007
+    rows = v("bins").select("sample", "chrom", "start", (F.col("mean_depth") + noise).alias("x"))
+    facts = rows.groupBy("sample", "chrom").agg(F.avg("x").alias("mean"), F.count(F.lit(1)).alias("n"), F.var_pop("x").alias("var"))
+    rows = running(rows.join(facts, ["sample", "chrom"]), ["sample", "chrom"], "start", sums={"j": F.lit(1), "b": F.col("x") - F.col("mean")})
+    placed = rows.select("sample", "chrom", "x", "j", "b", "n", (F.col("var") * F.col("n")).alias("tss"))
+    found = best_arcs(placed, ["sample", "chrom"], "x", "j", 2, 0.01, permuted=64, block=16)
+    return found.select("sample", "chrom", "n", F.round("stat", 5).alias("stat"), "j1", "j2")
+
+
 @query(
     "E6_smooth_outliers",
     f"""
