@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are runs of anything but ASCII white space.
@@ -26,6 +27,22 @@ def fold(doc_id: str, parts: int = 5) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``_key``, 128 bits of hashes of the whole row, and ``_in``, the row; equal rows share a key."""
+    cols = docs.columns
+    key = F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols, F.lit(2)).alias("b"))
+    return docs.select(key.alias("_key"), F.struct(*cols).alias("_in"))
+
+
+def once(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``_key, _in`` of the rows of ``docs`` whose key is in ``keys`` (distinct), equal rows one time.
+
+    The rows are shuffled by key a single time, and no copy of them is written.
+    """
+    number = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    return keyed(docs).join(keys.select("_key"), "_key").withColumn("_no", number).where("_no = 1").drop("_no")
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder name below ``spark.checkpoint.dir``.
 

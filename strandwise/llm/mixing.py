@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandwise.llm.common import WORD, written
+from strandwise.llm.common import WORD, keyed, once, written
 
 #: Tokens in one block.
 BLOCK = 16
 #: Tokens (each document counts as one more) in one shard: one task orders a shard's documents.
 SHARD = 1 << 20
+#: Bars that one pass over the parties tries, and quotients in a gap that need no narrower one.
+BARS, TIED = 32, 1 << 14
 #: Multiplies block numbers; a prime above any shard's block count, so that no two blocks meet.
 STEP = 2_654_435_761
 
@@ -56,28 +58,47 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
 
 
 def sainte_lague(parties: DataFrame, group: list[str], party: str, votes: str, seats: str) -> DataFrame:
-    """``parties`` with ``quota``: the ``seats`` of each group by highest quotients.
+    """``parties`` with ``quota``: the ``seats`` of each group by highest quotients ``votes / (2 s + 1)``.
 
-    The divisor rule gives every party its exact share to within a few seats, so only the
-    quotients near that share compete; ties go to the smaller party. No votes, no seats.
+    Every quotient competes. How many reach a bar is a sum over parties, so a pass looks at
+    ``BARS`` bars at once and keeps the gap between the two that enclose the right number,
+    until few quotients or none of any other value lie in it; only these are put in order.
+    Ties go to the smaller party. No votes, no seats.
     """
-    near = 4
-    exact = F.coalesce(F.col(seats) * F.col(votes) / F.sum(votes).over(Window.partitionBy(*group)), F.lit(0.0))
-    base = parties.withColumn("_sure", F.greatest(F.floor(exact) - near, F.lit(0)).cast("long"))
-    open_seats = F.col(seats) - F.sum("_sure").over(Window.partitionBy(*group))
-    base = base.withColumn("_open", open_seats)
-    tries = base.where(F.col(votes) > 0).select("*", F.explode(F.sequence(F.lit(0), F.lit(2 * near + 1))).alias("_s"))
-    quotient = F.col(votes) / (2 * (F.col("_sure") + F.col("_s")) + 1)
-    place = F.row_number().over(Window.partitionBy(*group).orderBy(quotient.desc(), F.col(party), F.col("_s")))
-    keys = [*group, party]
-    won = (
-        tries.withColumn("_place", place).where(F.col("_place") <= F.col("_open"))
-        .groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_won"))
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return base.join(won, same, "left").select(
-        *parties.columns, (F.col("_sure") + F.coalesce("_won", F.lit(0))).cast("long").alias("quota")
-    )
+    key = F.concat(F.lit("="), *[F.coalesce(F.concat(F.lit("_"), F.col(c).cast("string")), F.lit("")) for c in group])
+    rows = written(parties.select(key.alias("_g"), F.struct(*parties.columns).alias("_in"), F.col(party).alias("_p"),
+                                  F.coalesce(F.col(votes).cast("double"), F.lit(0.0)).alias("_v"), F.col(seats).alias("_s")))
+    some = rows.where(F.col("_v") > 0)
+
+    def reached(bar: Column) -> Column:
+        return F.floor((F.col("_v") / bar + 1) / 2)
+
+    total = some.groupBy("_g").agg(
+        F.sum("_v").alias("v"), F.max("_v").alias("most"), F.count(F.lit(1)).alias("n"), F.first("_s").cast("double").alias("s")).where("s > 0")
+    # a party's number of quotients over a bar is votes / bar / 2, give or take a half
+    high = F.when(2 * F.col("s") > F.col("n"), F.least(F.col("most"), F.col("v") / (2 * F.col("s") - F.col("n")))).otherwise(F.col("most"))
+    gaps = total.select("_g", "s", (F.col("v") / (2 * F.col("s") + F.col("n")) * (1 - 1e-9)).alias("low"), (high * (1 + 1e-9)).alias("high"))
+    gaps = written(gaps.withColumn("open", F.lit(True)))
+    while gaps.where("open").limit(1).count():
+        bars = [F.col("low") * F.pow(F.col("high") / F.col("low"), F.lit(k / BARS)) for k in range(BARS)] + [F.col("high")]
+        counts = some.join(gaps.where("open"), "_g").groupBy("_g", "s", "low", "high").agg(F.array(*[F.sum(reached(b)) for b in bars]).alias("c"))
+        step = F.least(F.size(F.filter("c", lambda c: c >= F.col("s"))) - 1, F.lit(BARS - 1))
+        counts = counts.withColumn("k", F.greatest(step, F.lit(0))).withColumn("bars", F.array(*bars))
+        low, up = F.get("bars", F.col("k")), F.get("bars", F.col("k") + 1)
+        many = F.get("c", F.col("k")) - F.get("c", F.col("k") + 1) > TIED
+        now = counts.select("_g", "s", low.alias("low"), up.alias("high"), (many & (up / low > 1 + 1e-9)).alias("open"))
+        gaps = written(now.unionByName(gaps.where("not open")))
+    near = some.join(gaps.drop("open"), "_g").withColumn("_sure", reached(F.col("high")).cast("long"))
+    near = near.withColumn("_more", F.greatest(reached(F.col("low")).cast("long") - F.col("_sure"), F.lit(0)))
+    sure = near.groupBy("_g").agg((F.max("s") - F.sum("_sure")).alias("_open"))
+    tries = near.where("_more > 0").withColumn("_k", F.explode(F.sequence(F.col("_sure"), F.col("_sure") + F.col("_more") - 1)))
+    place = F.row_number().over(Window.partitionBy("_g").orderBy(F.desc(F.col("_v") / (2 * F.col("_k") + 1)), "_p", "_k"))
+    won = tries.join(sure, "_g").withColumn("_place", place).where("_place <= _open")
+    won = won.groupBy(F.col("_g").alias("_w"), F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_won"))
+    bars = gaps.select(F.col("_g").alias("_h"), F.col("high").alias("_high"))
+    found = rows.join(won, (F.col("_g") == F.col("_w")) & F.col("_p").eqNullSafe(F.col("_q")), "left").join(bars, F.col("_g") == F.col("_h"), "left")
+    own = F.when((F.col("_v") > 0) & F.col("_high").isNotNull(), reached(F.col("_high"))).otherwise(F.lit(0))
+    return found.select("_in.*", (own + F.coalesce("_won", F.lit(0))).cast("long").alias("quota"))
 
 
 def mix(
@@ -104,7 +125,7 @@ def mix(
     ``carry`` come along.
     """
     sizes = docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), *carry)
+        "doc_id", F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("mark"), *carry)
     sizes = written(sizes)  # texts are counted once
     targets = source_targets(sizes, weights, share, cap)
     total = F.sum("target").over(Window.partitionBy())
@@ -115,14 +136,15 @@ def mix(
     )
     placed = sizes.join(written(plan), F.col("source").eqNullSafe(F.col("_source"))).select(
         *sizes.columns, "source_size", "target", "source_quota",
-        F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("n_shards")).alias("shard"),
+        # with the text's hash, so that rows that share an id, or have none, spread
+        F.pmod(F.xxhash64("doc_id", "mark", F.lit(seed)), F.col("n_shards")).alias("shard"),
     )
     loads = placed.groupBy("source", "shard").agg(
         F.sum("size").alias("tokens"), F.first("source_quota").alias("source_quota"))
     quotas = sainte_lague(loads, ["source"], "shard", "tokens", "source_quota").select(
         F.col("source").alias("_source"), F.col("shard").alias("_shard"), F.ceil(F.col("tokens") / block).alias("n"),
         F.least("quota", F.ceil(F.col("tokens") / block) * int(cap)).alias("quota"))
-    line = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size")
+    line = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", "mark", F.lit(seed + 1)), "doc_id", "mark", "size")
     laid = placed.withColumn("offset", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1)))
     laid = laid.withColumn("offset", F.coalesce("offset", F.lit(0)).cast("long"))
     laid = laid.join(quotas, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
@@ -160,21 +182,21 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame
     is the words of these, joined by blanks, and ``n_chars`` their length. What is not taken
     leaves no row.
     """
-    stamped = written(docs.select(F.monotonically_increasing_id().alias("_row"), *docs.columns))
-    plan = mix(stamped, block=block, carry=["_row"], **options)
-    plan = plan.where("taken > 0").select("_row", "blocks", "taken", F.col("size").alias("_size"))
-    rows = stamped.join(plan, "_row")
+    rows = keyed(docs).select("_key", "_in.doc_id", "_in.text", "_in.source")
+    plan = mix(rows, block=block, carry=["_key"], **options).where("taken > 0").select("_key", "blocks", "taken", "size")
+    plan = written(plan)
+    rows = once(docs, plan.select("_key").distinct()).join(plan, "_key")
     b = F.col("blocks")
     whole = F.floor(b["quota"] / b["n"]).cast("int")
-    extra = F.col("taken") - whole * F.col("_size")
+    extra = F.col("taken") - whole * F.col("size")
     rows = rows.withColumns({"_whole": whole, "_extra": extra})
     times = F.col("_whole") + (F.col("_extra") > 0).cast("int")
     rows = rows.withColumn("_pass", F.explode(F.sequence(F.lit(1), times)))
-    words = F.regexp_extract_all("text", F.lit(WORD), 0)
+    words = F.regexp_extract_all("_in.text", F.lit(WORD), 0)
     some = F.filter(words, lambda w, i: chosen(b, F.floor((b["offset"] + i) / block)))
-    part = (F.col("_pass") > F.col("_whole")) & (F.col("_extra") < F.col("_size"))
-    rows = rows.withColumn("text", F.when(part, F.array_join(some, " ")).otherwise(F.col("text")))
+    part = (F.col("_pass") > F.col("_whole")) & (F.col("_extra") < F.col("size"))
+    rows = rows.withColumn("_text", F.when(part, F.array_join(some, " ")).otherwise(F.col("_in.text")))
+    out = {c: F.col("_in").getField(c) for c in docs.columns} | {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        rows = rows.withColumn("n_chars", F.when(part, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        out["n_chars"] = F.when(part, F.length("_text").cast(dict(docs.dtypes)["n_chars"])).otherwise(out["n_chars"])
+    return rows.select(*[value.alias(name) for name, value in out.items()])

@@ -1,11 +1,12 @@
 """Mixing against a plain loop over the contract's rules."""
 
+import heapq
 import re
 from collections import Counter, defaultdict
 
 import pytest
 
-from strandwise.llm.mixing import mix, sainte_lague, source_targets
+from strandwise.llm.mixing import mix, mixed_documents, sainte_lague, source_targets
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -75,6 +76,27 @@ def test_highest_quotients(spark):
         assert {r.p: r.quota for r in sainte_lague(df, ["g"], "p", "v", "n").collect()} == quotas
 
 
+def test_one_large_and_thousands_of_tiny_parties(spark):
+    for large, tiny, n, seats in ((100_000, 4, 20_000, 1000), (7, 7, 18_000, 777)):
+        votes = {0: large} | {i: tiny for i in range(1, n + 1)}
+        heap = [(-v, p) for p, v in votes.items()]
+        heapq.heapify(heap)
+        quotas = dict.fromkeys(votes, 0)
+        for _ in range(seats):
+            p = heap[0][1]
+            quotas[p] += 1
+            heapq.heapreplace(heap, (-votes[p] / (2 * quotas[p] + 1), p))
+        df = spark.createDataFrame([(p, v, seats) for p, v in votes.items()], "p long, v long, n long")
+        got = {r.p: r.quota for r in sainte_lague(df, [], "p", "v", "n").collect()}
+        assert got == quotas
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "w x y z " * 9, "s", 1, 2, 3, 4) for i in range(20)], "doc_id long, text string, source string, taken int, blocks int, size int, _row int")
+    mixed = mixed_documents(docs.union(docs.limit(2)))
+    assert mixed.columns == docs.columns and {tuple(r)[3:] for r in mixed.collect()} == {(1, 2, 3, 4)}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, "a", 9), (2, "", None, 9), (None, "one two", None, 9), (3, "x " * 3000, "a", 9), (3, "x " * 3000, "a", 9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
