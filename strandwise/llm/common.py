@@ -7,7 +7,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are runs of anything but ASCII white space.
@@ -34,13 +33,16 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(key.alias("_key"), F.struct(*cols).alias("_in"))
 
 
-def once(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``_key, _in`` of the rows of ``docs`` whose key is in ``keys`` (distinct), equal rows one time.
+def once(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows of ``docs`` beside the rows of ``plan`` with their ``_key``: ``_in`` and the plan's columns.
 
-    The rows are shuffled by key a single time, and no copy of them is written.
+    ``plan`` has ``_key`` and ``_n``, the number of rows of ``docs`` with that key; equal rows
+    stand there one time for the join. The rows are shuffled once, unsorted, and never written.
     """
-    number = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
-    return keyed(docs).join(keys.select("_key"), "_key").withColumn("_no", number).where("_no = 1").drop("_no")
+    single, equal = written(plan.where("_n = 1")), written(plan.where("_n > 1"))
+    rows = keyed(docs).join(single.hint("shuffle_hash"), "_key")
+    first = keyed(docs).join(equal.select("_key").distinct(), "_key").dropDuplicates(["_key"])
+    return rows.unionByName(first.join(equal, "_key")).drop("_key", "_n")
 
 
 def scratch(spark: SparkSession) -> str:

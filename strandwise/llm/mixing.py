@@ -183,9 +183,9 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame
     leaves no row.
     """
     rows = keyed(docs).select("_key", "_in.doc_id", "_in.text", "_in.source")
-    plan = mix(rows, block=block, carry=["_key"], **options).where("taken > 0").select("_key", "blocks", "taken", "size")
-    plan = written(plan)
-    rows = once(docs, plan.select("_key").distinct()).join(plan, "_key")
+    plan = mix(rows, block=block, carry=["_key"], **options).select("_key", "blocks", "taken", "size")
+    plan = written(plan.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_key"))).where("taken > 0"))
+    rows = once(docs, plan)
     b = F.col("blocks")
     whole = F.floor(b["quota"] / b["n"]).cast("int")
     extra = F.col("taken") - whole * F.col("size")
