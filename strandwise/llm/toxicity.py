@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Labelled rows the classifier is fitted on at most, those with the smallest hashes.
 FIT_ROWS = 200_000
+#: Tokens that a task counts before it hands their counts on.
+COUNTED = 200_000
 #: Tokens the classifier holds at most, those with the surest log-odds.
 MODEL_TOKENS = 1 << 17
 #: Prior weight of a token, as a share of its own documents.
@@ -181,19 +183,25 @@ def fit(
     rows = _labelled(docs.where(train).select(doc_id, F.col(text).alias("text")), labels, doc_id, fit_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = Counter(), Counter()
-            sizes = [0, 0]
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[y].update(set(tokens(t)))
-                sizes[y] += 1
-            seen[0][None], seen[1][None] = sizes  # the documents themselves
+        def pack() -> pa.RecordBatch:
             keys = list(seen[0].keys() | seen[1].keys())
-            yield pa.record_batch(
+            return pa.record_batch(
                 [pa.array(keys, pa.string()), *(pa.array([seen[y][k] for k in keys], pa.int64()) for y in (1, 0))],
                 ["token", "toxic", "clean"],
             )
 
+        for batch in batches:
+            seen, size = (Counter(), Counter()), 0
+            for t, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                found = set(tokens(t.as_py()))
+                seen[y].update(found)
+                seen[y][None] += 1  # the document itself
+                size += len(found)
+                if size > COUNTED:
+                    yield pack()
+                    seen, size = (Counter(), Counter()), 0
+            yield pack()
+
     counts = rows.mapInArrow(count, "token string, toxic long, clean long")
     counts = counts.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).cache()
     total = counts.where("token is null").first()
