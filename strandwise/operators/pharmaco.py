@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.functions.columns import ratio
 from strandwise.operators.annotate import variant_type
+from strandwise.operators.boosting import BoostedStumps, boosted_stumps
 from strandwise.operators.intervals import overlap_join
 
 # Two-base ambiguity codes.
@@ -332,26 +328,19 @@ def star_map_long(wide: DataFrame, star: str, positions: Sequence[str]) -> DataF
 
 
 def indel_classifier_fit(
-    train: DataFrame, label: str = "known", folds: int = 10, trees: int = 50, seed: int = 100
-) -> tuple[PipelineModel, float]:
-    """Random forest on the three indel features and its cross-validated accuracy.
+    train: DataFrame, label: str = "known", folds: int = 10, rounds: int = 50, fold: Column | None = None
+) -> tuple[BoostedStumps, float]:
+    """Boosted stumps on the three indel features and the least accuracy over the folds.
 
-    The model family differs from a boosted-stump classifier by design.
+    NaN without a fold that holds rows; see ``boosted_stumps`` for nulls and ties.
     """
-    labels = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
-    forest = RandomForestClassifier(numTrees=trees, seed=seed, featuresCol="features", labelCol="label")
-    steps = Pipeline(stages=[VectorAssembler(inputCols=list(ACE_FEATURES), outputCol="features"), forest])
-    score = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    tuned: CrossValidatorModel = CrossValidator(
-        estimator=steps, evaluator=score, estimatorParamMaps=ParamGridBuilder().build(), numFolds=folds, seed=seed
-    ).fit(labels.transform(train))
-    back = IndexToString(inputCol="prediction", outputCol="genotype", labels=labels.labels)
-    return PipelineModel(stages=[*tuned.bestModel.stages, back]), float(tuned.avgMetrics[0])
-
-
-def indel_classifier_predict(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """I/I, I/D or D/D per row of the three features."""
-    return model.transform(features).select(*features.columns, "genotype")
+    model = boosted_stumps(train, ACE_FEATURES, label, rounds, folds=folds, fold=fold)
+    return model, min(model.accuracy.values(), default=float("nan"))
+
+
+def indel_classifier_predict(model: BoostedStumps, features: DataFrame) -> DataFrame:
+    """I/I, I/D or D/D per row of the three features; null where one is missing."""
+    return model.predict(features, "genotype")
 
 
 def known_long(known: DataFrame, ids: Sequence[str], sample: str = "sample") -> DataFrame:

@@ -214,10 +214,126 @@ def _(v):
         (0.9 - level + noise).alias("split_reads_ratio"),
         F.when(kind == 0, "D/D").when(kind == 1, "I/D").otherwise("I/I").alias("known"),
     )
-    model, _accuracy = px.indel_classifier_fit(rows)
+    model, _accuracy = px.indel_classifier_fit(rows, rounds=_STUMP_ROUNDS)
     return px.indel_classifier_predict(model, rows).select("site_id", "sample", "known", "genotype")
 
 
+_NOISY = """
+select site_id % 10 as fold, round(ad1 / cast(ad0 + ad1 as double), 3) as snp_ratio, ((site_id * 37 + ad0 * 11) % 97) / cast(97 as double)
++ case gt when '0/0' then 0.3 when '0/1' then 0.1 else 0.0 end as depth_ratio, ((site_id * 53 + ad1) % 89) / cast(89 as double) as split_reads_ratio,
+case when (site_id * 13 + pos) % 11 = 0 then 'I/D' when gt = '0/0' then 'D/D' when gt = '0/1' then 'I/D' else 'I/I' end as known
+from calls where gt <> './.'"""
+_STUMP_ROUNDS = 3
+
+
+def _boosted_sql() -> str:
+    """The rounds one by one for the model of all rows (m = 0) and the ten without a fold each."""
+
+    def logs(side: str) -> list[str]:
+        return [f"ln(greatest({side}{k} / cast({side} as double), 2.220446049250313e-16))" for k in range(3)]
+
+    def gain(side: str, k: int) -> str:
+        x = logs(side)
+        others = " + ".join(x[j] for j in range(3) if j != k)
+        return f"(-2.0 / 3 * ({x[k]} - ({others}) / 2))"
+
+    def vote(side: str, k: int) -> str:
+        x = logs(side)
+        return f"(2 * ({x[k]} - ({x[0]} + {x[1]} + {x[2]}) / 3))"
+
+    one = "4503599627370496.0::double"
+    steps = [
+        f"t as ({_NOISY})",
+        """g as (select m, fold, snp_ratio as x0, depth_ratio as x1, split_reads_ratio as x2,
+  case known when 'D/D' then 0 when 'I/D' then 1 else 2 end as y, count(*) as n from t, range(0, 11) r(m) group by all)""",
+        "w0 as (select *, 0.0::double as lw, 0.0::double as v0, 0.0::double as v1, 0.0::double as v2 from g)",
+        f"z0 as (select m, ln(sum(n) filter (where fold <> m - 1) / {one}) as shift from g group by m)",
+    ]
+    squares = [" + ".join(f"pow({s}{k} / {one}, 2)" for k in range(3)) for s in "lr"]
+    for i in range(_STUMP_ROUNDS):
+        o = i + 1
+        steps += [
+            f"""q{o} as (select w.*, case when fold = w.m - 1 then 0 else round_even(n * exp(lw - shift), 0)::bigint end as w
+  from w{i} w join z{i} z on z.m = w.m)""",
+            f"h{o} as ("
+            + " union all ".join(
+                f"select m, {f} as f, x{f} as v, " + ", ".join(f"coalesce(sum(w) filter (where y = {k}), 0) as c{k}" for k in range(3))
+                + f" from q{o} group by m, x{f}"
+                for f in range(3)
+            )
+            + ")",
+            f"a{o} as (select m, f, v, lead(v) over (partition by m, f order by v) as nx, "
+            + ", ".join(f"sum(c{k}) over (partition by m, f order by v) as l{k}, sum(c{k}) over (partition by m, f) as t{k}" for k in range(3))
+            + f" from h{o})",
+            f"""d{o} as (select m, f, coalesce(v + (nx - v) / 2, 'infinity'::double) as t, l0, l1, l2, t0 - l0 as r0, t1 - l1 as r1, t2 - l2 as r2,
+  l0 + l1 + l2 as l, t0 + t1 + t2 - l0 - l1 - l2 as r from a{o})""",
+            f"""b{o} as (select * from (select *, row_number() over (partition by m order by score desc, f, t) as k from (
+  select *, round(case when l > 0 then ({squares[0]}) / (l / {one}) else 0 end + case when r > 0 then ({squares[1]}) / (r / {one}) else 0 end, 10) as score
+  from d{o}) s) k where k = 1)""",
+        ]
+        side = "case b.f when 0 then x0 when 1 then x1 else x2 end <= b.t"
+
+        def pick(what) -> str:
+            both = [" ".join(f"when {k} then {what(s, k)}" for k in range(3)) for s in "lr"]
+            return f"case when {side} then case y {both[0]} end else case y {both[1]} end end"
+
+        votes = ", ".join(f"v{k} + case when {side} then {vote('l', k)} else {vote('r', k)} end as v{k}" for k in range(3))
+        moved = " + ".join(f"{s}{k} * exp({gain(s, k)})" for s in "lr" for k in range(3))
+        steps += [
+            f"w{o} as (select w.m, fold, x0, x1, x2, y, n, lw + {pick(gain)} as lw, {votes} from w{i} w join b{o} b on b.m = w.m)",
+            f"z{o} as (select z.m, shift + ln(({moved}) / {one}) as shift from z{i} z join b{o} b on b.m = z.m)",
+        ]
+    return "with " + ",\n".join(steps)
+
+
+_STUMP_SQL = _boosted_sql()
+
+
+def _noisy(v):
+    gt, known = F.col("gt"), F.col("site_id")
+    share = F.col("ad1") / (F.col("ad0") + F.col("ad1")).cast("double")
+    shift = F.when(gt == "0/0", 0.3).when(gt == "0/1", 0.1).otherwise(0.0)
+    flipped = (known * 13 + F.col("pos")) % 11 == 0
+    return v("calls").where("gt <> './.'").select(
+        (known % 10).alias("fold"),
+        F.round(share, 3).alias("snp_ratio"),
+        (((known * 37 + F.col("ad0") * 11) % 97) / F.lit(97.0) + shift).alias("depth_ratio"),
+        (((known * 53 + F.col("ad1")) % 89) / F.lit(89.0)).alias("split_reads_ratio"),
+        F.when(flipped, "I/D").when(gt == "0/0", "D/D").when(gt == "0/1", "I/D").otherwise("I/I").alias("known"),
+    )
+
+
+@query(
+    "G26_boosted_stumps",
+    _STUMP_SQL + "".join(
+        f"""{" union all" if i else ""}
+select {i + 1}::bigint as round, f::bigint as feature, t as threshold, {", ".join(f"round({s}{k} / {s}, 6) as {n}_{k}" for s, n in (("l", "left"), ("r", "right")) for k in range(3))}
+from b{i + 1} where m = 0"""
+        for i in range(_STUMP_ROUNDS)
+    ),
+)
+def _(v):
+    rows = _noisy(v)
+    model, _least = px.indel_classifier_fit(rows, folds=0, rounds=_STUMP_ROUNDS)
+    shown = [
+        (i + 1, s.feature, s.threshold, *[round(p, 6) for p in [*s.left, *s.right]]) for i, s in enumerate(model.stumps)
+    ]
+    names = ", ".join(f"{n}_{k} double" for n in ("left", "right") for k in range(3))
+    return rows.sparkSession.createDataFrame(shown, f"round bigint, feature bigint, threshold double, {names}")
+
+
+@query(
+    "G26_fold_accuracy",
+    _STUMP_SQL + f"""
+select fold, sum(n) filter (where y = case when round(v0, 9) >= round(v1, 9) and round(v0, 9) >= round(v2, 9) then 0 when round(v1, 9) >= round(v2, 9) then 1 else 2 end)
+  / cast(sum(n) as double) as accuracy from w{_STUMP_ROUNDS} where fold = m - 1 group by fold""",
+)
+def _(v):
+    rows = _noisy(v)
+    model, _least = px.indel_classifier_fit(rows, folds=10, rounds=_STUMP_ROUNDS, fold=F.col("fold"))
+    return rows.sparkSession.createDataFrame(list(model.accuracy.items()), "fold bigint, accuracy double")
+
+
 _CALLED = """
 select sample, site_id as id, ref, alt, case gt when '0/0' then concat(ref, '/', ref) when '0/1' then concat(ref, '/', alt)
   else concat(alt, '/', alt) end as genotype from calls where gt <> './.'"""
