@@ -8,6 +8,7 @@ over unknown names.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.functions.columns import col, q, ratio, round_even
+from strandwise.functions.stages import cut
 from strandwise.operators.intervals import assign_location, overlap_join
 
 SITE = ("chrom", "pos", "ref", "alt")
@@ -383,54 +385,103 @@ def relatedness_matrix(pairs: DataFrame, value: str, samples: Sequence[str] | No
     return pairs.groupBy("IID1").pivot("IID2", list(samples) if samples else None).agg(F.first(value))
 
 
+_TILE = 64  # samples whose bit planes travel together
+_SITES = 4096  # sites of a block
+_HELD = 512  # tile pairs a task adds up before it hands them on: 50 MB
 _IBS_SCHEMA = "chrom string, a int, b int, ibs0 long, ibs1 long, ibs2 long"
 
 
+def _count_shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of shared alleles per sample pair from pairs of tiles of packed genotypes."""
+    held: dict[tuple, np.ndarray] = {}
+
+    def planes(words: list) -> np.ndarray:
+        packed = np.zeros((3, _TILE, _SITES // 64), np.int64)
+        if len(words):
+            w = np.array([(r["a"] % _TILE, r["word"], r["p0"], r["p1"], r["p2"]) for r in words], np.int64).T
+            packed[:, w[0], w[1]] = w[2:]
+        return np.unpackbits(packed.view(np.uint8), axis=-1).astype(np.float32)
+
+    def flush() -> Iterator[pd.DataFrame]:
+        for (chrom, low, high), n in held.items():
+            a, b = np.triu_indices(_TILE, 1) if low == high else (i.ravel() for i in np.indices((_TILE, _TILE)))
+            yield pd.DataFrame(
+                {"chrom": chrom, "a": a + low * _TILE, "b": b + high * _TILE, **{f"ibs{i}": n[i, a, b] for i in range(3)}}
+            )
+        held.clear()
+
+    for pdf in batches:
+        for chrom, low, high, left, right in zip(pdf["chrom"], pdf["low"], pdf["high"], pdf["left"], pdf["right"]):
+            x, y = planes(left), planes(right)
+            two = sum(x[g] @ y[g].T for g in range(3))
+            none = x[0] @ y[2].T + x[2] @ y[0].T
+            one = x.sum(axis=0) @ y.sum(axis=0).T - two - none
+            if (chrom, low, high) not in held:
+                if len(held) == _HELD:
+                    yield from flush()
+                held[chrom, low, high] = np.zeros((3, _TILE, _TILE), np.int64)
+            held[chrom, low, high] += np.stack([none, one, two]).astype(np.int64)
+    yield from flush()
+
+
 def pairwise_ibs(calls: DataFrame, samples: Sequence[str], per_contig: bool = False) -> DataFrame:
     """Identity by state of all sample pairs and the method-of-moments PI_HAT.
 
-    Each partition multiplies 0/1/2 indicator matrices of its sites (numpy) and
-    hands on one row per pair and contig, so the shuffle grows with pairs, not with
-    pairs x sites.  Expected counts given identity by descent use the allele
-    frequency of each site.
+    Genotypes become three bit planes, a word for 64 sites of a sample, in blocks of
+    4,096 sites and tiles of 64 samples.  Each pair of tiles of a block is multiplied
+    once and summed in the task, so that neither the plan nor a row grows with the number of
+    samples.  Expected counts given identity by descent use the allele frequency of each
+    site.  A pair without a common site has counts of zero; a site called twice for
+    a sample counts with the higher dosage.
     """
     samples = list(samples)
-    rows = calls.withColumn("d", _dosage(F.translate("gt", "|", "/"))).where("d is not null")
-    sites = rows.where(F.col("sample").isin(*samples)).groupBy(*SITE).agg(
-        *[F.max(F.when(F.col("sample") == s, F.col("d"))).alias(f"d{i}") for i, s in enumerate(samples)]
+    if len(set(samples)) < len(samples):
+        raise ValueError("a sample is named twice")
+    spark = calls.sparkSession
+    index = spark.createDataFrame(list(enumerate(samples)), "a int, sample string")
+    dose = (
+        calls.select(*SITE, "sample", _dosage(F.translate("gt", "|", "/")).alias("d"))
+        .where("d is not null")
+        .join(index, "sample")
+        .groupBy(*SITE, "a")
+        .agg(F.max("d").alias("d"))
     )
-    dose = F.array(*[F.coalesce(F.col(f"d{i}"), F.lit(-1)) for i in range(len(samples))]).alias("dose")
-    sites = sites.select("chrom", dose)
-
-    def gram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict[str, list[np.ndarray]] = {}
-        for pdf in batches:
-            for chrom, part in pdf.groupby("chrom"):
-                x = np.vstack(part["dose"].to_numpy())
-                ind = [(x == g).astype(np.int64) for g in range(3)]
-                seen = (x >= 0).astype(np.int64)
-                two = sum(i.T @ i for i in ind)
-                none = ind[0].T @ ind[2] + ind[2].T @ ind[0]
-                one = seen.T @ seen - two - none
-                old = acc.get(chrom)
-                acc[chrom] = [none, one, two] if old is None else [o + n for o, n in zip(old, (none, one, two))]
-        a, b = np.triu_indices(len(samples), 1)
-        for chrom, (none, one, two) in acc.items():
-            yield pd.DataFrame(
-                {"chrom": chrom, "a": a, "b": b, "ibs0": none[a, b], "ibs1": one[a, b], "ibs2": two[a, b]}
-            )
+    # written before the sites are numbered, so that a repeated task numbers them alike
+    sites = cut(
+        dose.groupBy(*SITE)
+        .agg(F.sum("d").alias("alts"), F.count(F.lit(1)).alias("n"))
+        .repartitionByRange(*SITE)
+        .sortWithinPartitions(*SITE)
+    ).withColumn("_id", F.monotonically_increasing_id())
+    number = sites.select(*SITE, F.floor(F.col("_id") / _SITES).alias("block"), (F.col("_id") % _SITES).cast("int").alias("at"))
+    bit = F.expr("shiftleft(1L, at % 64)")
+    words = (
+        dose.join(number, list(SITE))
+        .groupBy("chrom", "block", "a", F.floor(F.col("at") / 64).cast("int").alias("word"))
+        .agg(*[F.bit_or(F.when(F.col("d") == g, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{g}") for g in range(3)])
+    )
+    tiles = -(-len(samples) // _TILE)
+    packed = words.select(
+        "chrom", "block", F.floor(F.col("a") / _TILE).cast("int").alias("tile"), F.struct("a", "word", "p0", "p1", "p2").alias("w")
+    )
+    # every tile stands once in each contig, so that pairs without a common site are counted too
+    every = number.groupBy("chrom").agg(F.min("block").alias("block")).select(
+        "chrom", "block", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile")
+    )
+    packed = packed.unionByName(every, allowMissingColumns=True).groupBy("chrom", "block", "tile").agg(F.collect_list("w").alias("w"))
+    left = packed.select("chrom", "block", F.col("tile").alias("low"), F.col("w").alias("left"))
+    right = packed.select("chrom", "block", F.col("tile").alias("high"), F.col("w").alias("right"))
+    met = left.join(right, ["chrom", "block"]).where("low <= high").select("chrom", "low", "high", "left", "right")
 
     group = ["chrom"] if per_contig else []
-    names = F.array(*[F.lit(s) for s in samples])
+    names = F.from_json(F.lit(json.dumps(samples)), "array<string>")
     pairs = (
-        sites.mapInPandas(gram, _IBS_SCHEMA)
+        met.mapInPandas(_count_shared, _IBS_SCHEMA)
+        .where(F.col("b") < len(samples))
         .groupBy(*group, "a", "b")
         .agg(*[F.sum(f"ibs{i}").alias(f"IBS{i}") for i in range(3)])
     )
-    known = F.filter(F.col("dose"), lambda x: x >= 0)
-    n = F.size(known)
-    p = F.aggregate(known, F.lit(0), lambda acc, x: acc + x) / (2 * n)
-    expect = sites.withColumn("_p", p).withColumn("_q", 1 - F.col("_p"))
+    expect = sites.withColumn("_p", F.col("alts") / (2 * F.col("n"))).withColumn("_q", 1 - F.col("_p"))
     pp, qq = F.col("_p"), F.col("_q")
     means = expect.groupBy(*group).agg(
         F.avg(2 * pp * pp * qq * qq).alias("e00"),
