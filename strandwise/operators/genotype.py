@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandwise.functions.columns import col, q, ratio, round_even
-from strandwise.functions.stages import cut
 from strandwise.operators.intervals import assign_location, overlap_join
 
 SITE = ("chrom", "pos", "ref", "alt")
@@ -385,103 +384,107 @@ def relatedness_matrix(pairs: DataFrame, value: str, samples: Sequence[str] | No
     return pairs.groupBy("IID1").pivot("IID2", list(samples) if samples else None).agg(F.first(value))
 
 
-_TILE = 64  # samples whose bit planes travel together
-_SITES = 4096  # sites of a block
-_HELD = 512  # tile pairs a task adds up before it hands them on: 50 MB
+_WORD = 64  # samples of a site whose genotypes share a word of each plane
+_TILE = 1024  # samples multiplied together
 _IBS_SCHEMA = "chrom string, a int, b int, ibs0 long, ibs1 long, ibs2 long"
 
 
-def _count_shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of shared alleles per sample pair from pairs of tiles of packed genotypes."""
-    held: dict[tuple, np.ndarray] = {}
+def _counter(tile: int, width: int, slice_rows: int = 1000):
+    """mapInPandas function: shared alleles of all pairs of two tiles, ``width`` samples each, summed over sites."""
 
-    def planes(words: list) -> np.ndarray:
-        packed = np.zeros((3, _TILE, _SITES // 64), np.int64)
-        if len(words):
-            w = np.array([(r["a"] % _TILE, r["word"], r["p0"], r["p1"], r["p2"]) for r in words], np.int64).T
-            packed[:, w[0], w[1]] = w[2:]
-        return np.unpackbits(packed.view(np.uint8), axis=-1).astype(np.float32)
+    def planes(rows: pd.Series) -> np.ndarray:
+        site = np.repeat(np.arange(len(rows)), [len(r) // 4 for r in rows])
+        words = np.concatenate(rows.to_list()).reshape(-1, 4)
+        packed = np.zeros((3, len(rows), width // _WORD), np.int64)
+        packed[:, site, words[:, 0]] = words[:, 1:].T
+        return np.unpackbits(packed.view(np.uint8), axis=-1, bitorder="little").astype(np.float32)
 
-    def flush() -> Iterator[pd.DataFrame]:
-        for (chrom, low, high), n in held.items():
-            a, b = np.triu_indices(_TILE, 1) if low == high else (i.ravel() for i in np.indices((_TILE, _TILE)))
-            yield pd.DataFrame(
-                {"chrom": chrom, "a": a + low * _TILE, "b": b + high * _TILE, **{f"ibs{i}": n[i, a, b] for i in range(3)}}
-            )
-        held.clear()
-
-    for pdf in batches:
-        for chrom, low, high, left, right in zip(pdf["chrom"], pdf["low"], pdf["high"], pdf["left"], pdf["right"]):
-            x, y = planes(left), planes(right)
-            two = sum(x[g] @ y[g].T for g in range(3))
-            none = x[0] @ y[2].T + x[2] @ y[0].T
-            one = x.sum(axis=0) @ y.sum(axis=0).T - two - none
-            if (chrom, low, high) not in held:
-                if len(held) == _HELD:
-                    yield from flush()
-                held[chrom, low, high] = np.zeros((3, _TILE, _TILE), np.int64)
-            held[chrom, low, high] += np.stack([none, one, two]).astype(np.int64)
-    yield from flush()
-
-
-def pairwise_ibs(calls: DataFrame, samples: Sequence[str], per_contig: bool = False) -> DataFrame:
+    def table(chrom: str, low: int, high: int, n: np.ndarray) -> pd.DataFrame:
+        a, b = np.triu_indices(width, 1) if low == high else (i.ravel() for i in np.indices((width, width)))
+        return pd.DataFrame(
+            {"chrom": chrom, "a": a + low * tile, "b": b + high * tile, **{f"ibs{i}": n[i, a, b] for i in range(3)}}
+        )
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, np.ndarray] = {}
+        for pdf in batches:
+            for key, part in pdf.groupby(["chrom", "low", "high"], sort=False):
+                if key not in held and (len(held) + 1) * 3 * width * width > 2**23:  # 64 MB
+                    yield from (table(*k, n) for k, n in held.items())
+                    held = {}
+                total = held.setdefault(key, np.zeros((3, width, width), np.int64))
+                for at in range(0, len(part), slice_rows):
+                    x = planes(part["left"].iloc[at : at + slice_rows])
+                    y = x if key[1] == key[2] else planes(part["right"].iloc[at : at + slice_rows])
+                    two = sum(x[g].T @ y[g] for g in range(3))
+                    none = x[0].T @ y[2] + x[2].T @ y[0]
+                    one = x.sum(axis=0).T @ y.sum(axis=0) - two - none
+                    total += np.stack([none, one, two]).astype(np.int64)
+        yield from (table(*k, n) for k, n in held.items())
+
+    return count
+
+
+def pairwise_ibs(calls: DataFrame, samples: Sequence[str], per_contig: bool = False, tile: int = _TILE) -> DataFrame:
     """Identity by state of all sample pairs and the method-of-moments PI_HAT.
 
-    Genotypes become three bit planes, a word for 64 sites of a sample, in blocks of
-    4,096 sites and tiles of 64 samples.  Each pair of tiles of a block is multiplied
-    once and summed in the task, so that neither the plan nor a row grows with the number of
-    samples.  Expected counts given identity by descent use the allele frequency of each
-    site.  A pair without a common site has counts of zero; a site called twice for
-    a sample counts with the higher dosage.
+    The genotypes of a site are packed to three bit planes, a word for 64 samples, by
+    aggregates that combine on the map side.  Tiles of ``tile`` samples (a multiple of 64)
+    are paired per site and multiplied over many sites at once; a task holds at most 64 MB of
+    sums.  Neither the plan nor a row grows with the number of samples beyond a tile.
+    Expected counts given identity by descent use the allele frequency of each site.  A
+    pair without a common site has counts of zero; a site called twice for a sample
+    counts with the higher dosage.
     """
     samples = list(samples)
     if len(set(samples)) < len(samples):
         raise ValueError("a sample is named twice")
-    spark = calls.sparkSession
-    index = spark.createDataFrame(list(enumerate(samples)), "a int, sample string")
-    dose = (
-        calls.select(*SITE, "sample", _dosage(F.translate("gt", "|", "/")).alias("d"))
-        .where("d is not null")
-        .join(index, "sample")
-        .groupBy(*SITE, "a")
-        .agg(F.max("d").alias("d"))
-    )
-    # written before the sites are numbered, so that a repeated task numbers them alike
-    sites = cut(
-        dose.groupBy(*SITE)
-        .agg(F.sum("d").alias("alts"), F.count(F.lit(1)).alias("n"))
-        .repartitionByRange(*SITE)
-        .sortWithinPartitions(*SITE)
-    ).withColumn("_id", F.monotonically_increasing_id())
-    number = sites.select(*SITE, F.floor(F.col("_id") / _SITES).alias("block"), (F.col("_id") % _SITES).cast("int").alias("at"))
-    bit = F.expr("shiftleft(1L, at % 64)")
-    words = (
-        dose.join(number, list(SITE))
-        .groupBy("chrom", "block", "a", F.floor(F.col("at") / 64).cast("int").alias("word"))
-        .agg(*[F.bit_or(F.when(F.col("d") == g, bit).otherwise(F.lit(0).cast("long"))).alias(f"p{g}") for g in range(3)])
-    )
-    tiles = -(-len(samples) // _TILE)
-    packed = words.select(
-        "chrom", "block", F.floor(F.col("a") / _TILE).cast("int").alias("tile"), F.struct("a", "word", "p0", "p1", "p2").alias("w")
-    )
-    # every tile stands once in each contig, so that pairs without a common site are counted too
-    every = number.groupBy("chrom").agg(F.min("block").alias("block")).select(
-        "chrom", "block", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("tile")
+    names = F.from_json(F.lit(json.dumps(samples)), "array<string>")
+    # a range, unlike a list of rows, has a size that Spark knows: the names are looked up without a shuffle
+    index = calls.sparkSession.range(1).select(F.posexplode(names).alias("a", "sample"))
+    dosage = _dosage(F.translate("gt", "|", "/"))
+    rows = calls.select(*SITE, "sample", dosage.alias("d")).where("d is not null").join(index, "sample")
+    bit = F.expr(f"shiftleft(1L, a % {_WORD})")
+    found = rows.groupBy(*SITE, F.floor(F.col("a") / _WORD).cast("int").alias("word")).agg(
+        *[F.bit_or(F.when(F.col("d") == g, bit).otherwise(F.lit(0).cast("long"))).alias(f"q{g}") for g in range(3)]
     )
-    packed = packed.unionByName(every, allowMissingColumns=True).groupBy("chrom", "block", "tile").agg(F.collect_list("w").alias("w"))
-    left = packed.select("chrom", "block", F.col("tile").alias("low"), F.col("w").alias("left"))
-    right = packed.select("chrom", "block", F.col("tile").alias("high"), F.col("w").alias("right"))
-    met = left.join(right, ["chrom", "block"]).where("low <= high").select("chrom", "low", "high", "left", "right")
+    packed = found.selectExpr(*SITE, "word", "q0 & ~(q1 | q2) as p0", "q1 & ~q2 as p1", "q2 as p2")
+    words, tiles = -(-len(samples) // _WORD), -(-len(samples) // tile)
+    per_tile = tile // _WORD
+    sided = packed
+    if tiles > 1:
+        # every tile stands once in each contig, so that pairs without a common site are counted too
+        one_site = packed.groupBy("chrom").agg(F.min(F.struct(*SITE)).alias("s")).select("s.*")
+        every = one_site.select(*SITE, F.explode(F.sequence(F.lit(0), F.lit(words - 1), F.lit(per_tile))).alias("word"))
+        sided = packed.unionByName(every.select("*", *[F.lit(0).cast("long").alias(f"p{g}") for g in range(3)]))
+        sided = sided.groupBy(*SITE, "word").agg(*[F.bit_or(f"p{g}").alias(f"p{g}") for g in range(3)])
+    entry = F.array((F.col("word") % per_tile).cast("long"), "p0", "p1", "p2")
+    if words == 1:  # a row per site already
+        sites = packed.select(*SITE, F.lit(0).alias("low"), entry.alias("left"))
+    else:
+        low = F.floor(F.col("word") / per_tile).cast("int").alias("low")
+        sites = sided.groupBy(*SITE, low).agg(F.flatten(F.collect_list(entry)).alias("left"))
+    if tiles > 1:
+        other = sites.select(*SITE, F.col("low").alias("high"), F.col("left").alias("right"))
+        met = sites.join(other, list(SITE)).where("low <= high").select("chrom", "low", "high", "left", "right")
+    else:
+        met = sites.select("chrom", "low", F.col("low").alias("high"), "left")
 
     group = ["chrom"] if per_contig else []
-    names = F.from_json(F.lit(json.dumps(samples)), "array<string>")
     pairs = (
-        met.mapInPandas(_count_shared, _IBS_SCHEMA)
+        met.mapInPandas(_counter(tile, min(per_tile, words) * _WORD), _IBS_SCHEMA)
         .where(F.col("b") < len(samples))
         .groupBy(*group, "a", "b")
         .agg(*[F.sum(f"ibs{i}").alias(f"IBS{i}") for i in range(3)])
     )
-    expect = sites.withColumn("_p", F.col("alts") / (2 * F.col("n"))).withColumn("_q", 1 - F.col("_p"))
+    seen = packed.select(
+        *SITE,
+        (F.bit_count("p1") + 2 * F.bit_count("p2")).alias("alts"),
+        F.bit_count(F.expr("p0 | p1 | p2")).alias("known"),
+    )
+    if words > 1:
+        seen = seen.groupBy(*SITE).agg(F.sum("alts").alias("alts"), F.sum("known").alias("known"))
+    expect = seen.withColumn("_p", F.col("alts") / (2 * F.col("known"))).withColumn("_q", 1 - F.col("_p"))
     pp, qq = F.col("_p"), F.col("_q")
     means = expect.groupBy(*group).agg(
         F.avg(2 * pp * pp * qq * qq).alias("e00"),

@@ -36,19 +36,22 @@ def test_many_tiles(spark):
     d, calls = cohort(spark, samples, 70, 3)
     want = plain(d, samples, [("chr1", p) for p in range(70)])
     assert counts(gt.pairwise_ibs(calls, samples)) == want
+    assert counts(gt.pairwise_ibs(calls, samples, tile=64)) == want
     assert counts(gt.pairwise_ibs(calls.union(calls.limit(500)), samples)) == want  # repeated rows
 
 
 def test_contigs_blocks_and_sample_without_calls(spark):
     samples = ["b", "a", "none"]
     d, calls = cohort(spark, samples[:2], 5000, 4, ("chr1", "chrX"))
+    more = [*samples, *(f"N{i}" for i in range(70))]  # the last tile has no call at all
+    assert len(counts(gt.pairwise_ibs(calls, more, tile=64))) == 73 * 72 // 2
     got = gt.pairwise_ibs(calls, samples, per_contig=True)
     for chrom in ("chr1", "chrX"):
         assert counts(got.where(f"chrom = '{chrom}'")) == plain(d, samples, [(chrom, p) for p in range(5000)])
 
 
 def test_plan_does_not_grow_with_samples(spark):
-    few, many = [f"N{i}" for i in range(3)], [f"N{i}" for i in range(2000)]
+    few, many = [f"N{i}" for i in range(1100)], [f"N{i}" for i in range(2000)]
     rng = random.Random(6)
     rows = [("chr1", p, "A", "C", s, TEXT[rng.randrange(3)]) for s in many for p in range(3)]
     calls = spark.createDataFrame(rows, "chrom string, pos long, ref string, alt string, sample string, gt string")
