@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandwise.operators import assay as ay
+from strandwise.operators.smoothing import local_fit, smoothing_r2
 from strandwise.plans.registry import query
 
 _CALLED = "select chrom, pos, ref, alt, var_type from sites where site_id % 7 <> 1"
@@ -314,3 +315,47 @@ def _(v):
     number = F.row_number().over(Window.partitionBy("sample").orderBy(F.desc("pos")))
     ladder = _ladder(v).withColumn("k", number).where("k <= 8").select("sample", "pos", ((9 - F.col("k")) * 25).cast("double").alias("size"))
     return ay.interpolate_size(v("signal").select("sample", "pos"), ladder)
+
+
+def _local(rows: str, passes: int) -> str:
+    """Robust local regression in SQL over rows (g, x, y) without ties in x, a tenth of the rows each."""
+    steps = [
+        f"""r as ({rows}),
+n as (select *, row_number() over (partition by g order by x) as i, count(*) over (partition by g) as n from r),
+m as (select *, cast(greatest(floor(n * 0.1::double + 1e-10), 1) as bigint) as k from n),
+s as (select b.g, b.i, b.x as lo, c.x as hi from m b join m c on c.g = b.g and c.i = b.i + b.k - 1),
+h as (select a.g, a.i, a.x, a.k, min(greatest(a.x - s.lo, s.hi - a.x)) as h from m a join s on s.g = a.g and s.i between a.i - a.k + 1 and a.i group by 1, 2, 3, 4),
+t as (select a.g, a.i, b.i as j, b.x - a.x as u, b.y, h, case when h > 0 then pow(1 - pow(abs(b.x - a.x) / h, 3), 3) else 1.0 end as t
+  from h a join m b on b.g = a.g and b.i between a.i - a.k and a.i + a.k and (b.i = a.i or abs(b.x - a.x) < h)),
+w0 as (select g, i, 1.0::double as w from m)"""
+    ]
+    for p in range(passes + 1):
+        steps.append(f"""z{p} as (select t.g, t.i, max(h) as h, sum(t * w) as sw, sum(t * w * u) as sx, sum(t * w * u * u) as sxx, sum(t * w * y) as sy, sum(t * w * y * u) as sxy
+  from t join w{p} w on w.g = t.g and w.i = t.j group by 1, 2),
+f{p} as (select g, i, case when sw > 0 then sy / sw - case when sxx - sx * sx / sw > 1e-12 * h * h * sw then (sxy - sy * sx / sw) / (sxx - sx * sx / sw) else 0 end * sx / sw end as fit from z{p})""")
+        if p < passes:
+            steps.append(f"""a{p} as (select m.g, m.i, abs(y - fit) as a from m join f{p} f on f.g = m.g and f.i = m.i),
+d{p} as (select g, median(a) as mad from a{p} group by g),
+w{p + 1} as (select a.g, i, case when mad = 0 then case when a = 0 then 1.0 else 0.0 end when a < 6 * mad then pow(1 - pow(a / (6 * mad), 2), 2) else 0.0 end as w
+  from a{p} a join d{p} d on d.g = a.g)""")
+    return "with " + ",\n".join(steps) + f",\nlocal as (select m.g, m.x, m.y, f.fit from m join f{passes} f on f.g = m.g and f.i = m.i)"
+
+
+@query(
+    "J13_smoothing_r2",
+    _local("select sample as g, pos::double as x, intensity as y from signal", 3) + """
+select g as sample, case when var_pop(y) > 0 then round_even(1 - sum(pow(y - fit, 2)) / (var_pop(y) * count(*)), 4) end as r_square
+from local where fit is not null group by g""",
+)
+def _(v):
+    return smoothing_r2(v("signal"), ["sample"], "pos", "intensity", fraction=0.1)
+
+
+@query(
+    "J13_local_fit",
+    _local("select chrom as g, pos::double as x, dp::double as y from phased", 1) + """
+select g as chrom, cast(x as bigint) as pos, round(fit, 6) as fit from local""",
+)
+def _(v):
+    fitted = local_fit(v("phased"), ["chrom"], "pos", "dp", fraction=0.1, passes=1)
+    return fitted.select("chrom", "pos", F.round("fit", 6).alias("fit"))
