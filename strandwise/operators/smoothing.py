@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from strandwise.functions.columns import round_even
 from strandwise.functions.quantiles import exact_quantiles
+from strandwise.functions.ranks import parted, ranked
 from strandwise.functions.running import running
 from strandwise.functions.stages import cut
 
@@ -32,28 +33,6 @@ LEAF, FAN, DEGREE = 256, 16, 11
 _PARTS = ("s0", "s1", "s2", "t0", "t1")
 
 
-def _parted(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """``df`` cut into ranges of (keys, order), numbered ``_part``, written so that the numbers stay."""
-    return cut(df.repartitionByRange(*keys, order).withColumn("_part", F.spark_partition_id()))
-
-
-def _ranked(values: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``d``, the number of distinct values before, ``c``, that of rows before, and the key's ``rows``."""
-    parts = _parted(values, keys, "x")
-    over = Window.partitionBy(*keys)
-    before = over.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = parts.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_d"), F.sum("n").alias("_n"))
-    starts = totals.select(
-        *keys, "_part", F.sum("_n").over(over).alias("rows"),
-        F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_d"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"),
-    )
-    inner = Window.partitionBy(*keys, "_part").orderBy("x")
-    return parts.join(starts, [*keys, "_part"]).select(
-        *keys, "x", "n", "rows", (F.col("_d") + F.row_number().over(inner) - 1).alias("d"),
-        (F.col("_n") + F.sum("n").over(inner) - F.col("n")).alias("c"),
-    )
-
-
 def nearest_radius(values: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame:
     """Distance of the k-th nearest row for every distinct x, itself counted; k = int(fraction * rows), at least 1.
 
@@ -62,7 +41,7 @@ def nearest_radius(values: DataFrame, keys: Sequence[str], fraction: float) -> D
     """
     keys = list(keys)
     k = F.greatest(F.least(F.floor(F.col("rows") * fraction + 1e-10), F.col("rows")), F.lit(1)).cast("long")
-    ranks = cut(_ranked(values, keys).withColumn("k", k))
+    ranks = cut(ranked(values, keys).withColumn("k", k))
 
     def shifted(name: str, by: Column) -> DataFrame:
         p = F.col("c") - by
@@ -80,7 +59,7 @@ def nearest_radius(values: DataFrame, keys: Sequence[str], fraction: float) -> D
     merged = pieces.select(
         *keys, ((F.col("lo") + F.col("hi")) / 2).alias("x"), "p", F.struct("lo", "far").alias("_e"), F.lit(None).cast("long").alias("d")
     ).unionByName(ranks.select(*keys, "x", "d"), allowMissingColumns=True)
-    merged = _parted(merged.groupBy(*keys, "x").agg(F.max("d").alias("d"), F.min_by("_e", "p").alias("_e")), keys, "x")
+    merged = parted(merged.groupBy(*keys, "x").agg(F.max("d").alias("d"), F.min_by("_e", "p").alias("_e")), keys, "x")
     later = Window.partitionBy(*keys).orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
     carry = merged.groupBy(*keys, "_part").agg(F.min_by("_e", F.when(F.col("_e").isNotNull(), F.col("x"))).alias("_e")).select(
         *keys, "_part", F.first("_e", ignorenulls=True).over(later).alias("_next")

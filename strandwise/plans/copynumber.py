@@ -114,6 +114,20 @@ def _(v):
     return rows.join(line, ["chrom", "start"]).select("sample", "chrom", "start", fixed.alias("ratio_batch_fix"))
 
 
+@query("E3_cohort_state", f"select sample, chrom, start, ratio_control, ratio_batch_fix from ({_BATCH}) t")
+def _(v):
+    """Two batches of samples merge into a stored state; the medians are read from it."""
+    from strandwise.functions.stages import new_folder
+    from strandwise.operators.cohort import add_batch, correct_by_cohort
+
+    rows = _as_fixed(v)
+    path = new_folder(rows.sparkSession)
+    first = F.col("sample") < "S15"
+    add_batch(rows.where(~first), path, "later")
+    add_batch(rows.where(first), path, "earlier")
+    return correct_by_cohort(rows, path).select("sample", "chrom", "start", "ratio_control", "ratio_batch_fix")
+
+
 @query("E4_clamp_log2", f"select sample, chrom, start, log2(greatest(0.0625, least(16, ratio_batch_fix))) as log2ratio from ({_BATCH}) t")
 def _(v):
     rows = cn.batch_correct(_as_fixed(v))

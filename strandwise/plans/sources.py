@@ -11,6 +11,7 @@ from strandwise.plans.genotype import EMBRYOS, MEMBERS
 from strandwise.plans.registry import query
 from strandwise.sources import sequence, tables, vcf
 from strandwise.sources.alignments import SAM_COLUMNS, read_sam
+from strandwise.sources.layout import fetch_regions, write_by_position
 
 _PEOPLE = [*MEMBERS, *EMBRYOS]
 
@@ -99,6 +100,19 @@ def _(v):
     return restrict_regions(v("sites"), spans).select("site_id")
 
 
+@query(
+    "A4_fetch_regions",
+    """
+select site_id from sites s where exists (select 1 from targets t where t.chrom = s.chrom and s.pos > t.start_extend + 9000 and s.pos <= t.end_extend)""",
+)
+def _(v):
+    sites = v("sites")
+    spans = v("targets").select("chrom", (F.col("start_extend") + 9000).alias("start"), F.col("end_extend").alias("stop"))
+    path = new_folder(sites.sparkSession)
+    write_by_position(sites, path)
+    return fetch_regions(sites.sparkSession, path, sites.schema, spans).select("site_id")
+
+
 @query(
     "A5_read_sam",
     "select qname, flag, rname, pos, cigar, seq, tlen, md from sam where flag & 2304 = 0",
