@@ -24,6 +24,8 @@ N_HASHES = 32
 RATIO = 1.25
 #: Items searched for in one pass over the documents; their signatures go to every task.
 ITEM_BLOCK = 20_000
+#: Bytes of their texts, about; a longer item is a block of its own.
+BLOCK_BYTES = 64 << 20
 SEED = 20_240
 #: Characters of text that a task searches at once.
 CHUNK = 1 << 21
@@ -180,7 +182,8 @@ def contained(
     hold nothing. Repeated documents each get their rows, repeated items one each; further
     columns are ignored; empty tables give no rows.
 
-    Items come to the driver about ``item_block`` at a time, picked by hash, and each block is one pass over the documents.
+    Items come to the driver about ``item_block`` or ``BLOCK_BYTES`` at a time, picked by hash, and each block is one
+    pass over the documents.
     """
     spark = docs.sparkSession
     kinds = dict(docs.dtypes)[doc_id], dict(items.dtypes)[item_id]
@@ -203,10 +206,13 @@ def drop_contaminated(
     return docs
 
 
-def _searches(spark, items, item_id, item_text, shingle, containment, item_block, n_hashes) -> Iterator[Search]:
-    """A search for each block of items."""
+def _searches(
+    spark, items, item_id, item_text, shingle, containment, item_block, n_hashes, block_bytes: int = BLOCK_BYTES
+) -> Iterator[Search]:
+    """A search for each block of items: about ``item_block`` of them and ``block_bytes`` of text at most."""
     wanted = items.select(F.col(item_id).alias("item"), F.col(item_text).alias("text")).where("text is not null")
-    n_blocks = -(-wanted.count() // item_block)
+    rows, size = wanted.agg(F.count("text"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n_blocks = max(-(-rows // item_block), -(-size // block_bytes))
     for k in range(n_blocks):
         block = wanted.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k).toArrow()
         if block.num_rows:
@@ -223,7 +229,8 @@ class Search:
     def begin(self) -> None:
         self.ids, texts = self.shared.value
         names, owner = shingle_hashes(*word_hashes(texts), self.shingle)
-        self.sets = [np.unique(names[owner == i]) for i in range(len(texts))]
+        ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+        self.sets = [np.unique(names[i:j]) for i, j in zip(ends[:-1], ends[1:])]
         self.partitions = partition_items(self.sets, self.n_hashes, RATIO)
         self.seeds = hash_seeds(self.n_hashes)
 

@@ -116,15 +116,17 @@ def judge_urls(
     The longest fitting host rule decides (ties: the longer host, then the rule's text);
     without one a fitting pattern blocks, and anything else gets ``default``. Repeated
     rows are all judged; a null or malformed URL has an empty host and path and gets
-    ``default``; columns of these names in ``pages`` are replaced. The work is done once
-    per distinct URL.
+    ``default``; columns of these names in ``pages`` are replaced, others may have any name.
+    An empty table gives no rows, and without rules every URL gets ``default``. The work is
+    done once per distinct URL.
     """
     rules, patterns = list(rules), list(patterns)
-    clash = [c for c in ("host", "path", "rule", "verdict") if c in pages.columns and c != url]
-    pages = pages.drop(*clash)
+    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    pages = pages.select(F.struct("*").alias("page"))
+    address = F.col("page").getField(url)
     host, path = url_parts(F.col("_url"))
     urls = (
-        pages.select(F.col(url).alias("_url")).where(F.col("_url").isNotNull()).distinct()
+        pages.select(address.alias("_url")).where(F.col("_url").isNotNull()).distinct()
         .withColumns({"host": host, "path": path})
         .withColumn("tokens", _tokens(F.concat_ws("/", "host", "path")))
     )
@@ -145,10 +147,10 @@ def judge_urls(
         F.max(F.when(F.col("kind") == "host", best)).alias("best"),
         F.max(F.col("kind") == "pattern").alias("spam"),
     )
-    host, path = url_parts(F.col(url))
-    judged = pages.join(decided, F.col(url) == F.col("_url"), "left")
+    host, path = url_parts(address)
+    judged = pages.join(decided, address == F.col("_url"), "left")
     return judged.select(
-        *[judged[c] for c in pages.columns],
+        *[F.col("page").getField(c).alias(c) for c in kept],
         F.coalesce(host, F.lit("")).alias("host"),
         F.coalesce(path, F.lit("")).alias("path"),
         F.col("best.rule").alias("rule"),

@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 
-from strandwise.llm.contamination import contained, shingle_hashes, window_minima, word_hashes
+from strandwise.llm.contamination import _searches, contained, shingle_hashes, window_minima, word_hashes
 
 
 def plain_words(text):
@@ -82,3 +82,18 @@ def test_edited_copies_and_odd_rows(spark):
     want = plain(docs, items)
     assert got == want and len(want) > 40
     assert contained(d, b.limit(0)).count() == contained(d.limit(0), b).count() == 0
+
+
+def test_blocks_by_bytes(spark):
+    """Few items of much text are several searches with the same result; set-up cuts each item's shingles."""
+    items = spark.createDataFrame([(i, " ".join(f"i{i}w{k}" for k in range(40))) for i in range(12)] + [(50, None), (51, "")], "item_id int, text string")
+    docs = spark.createDataFrame([(i, f"before it {' '.join(f'i{i}w{k}' for k in range(40))} after") for i in range(12)], "doc_id int, text string")
+    size = sum(len(r.text or "") for r in items.collect())
+    searches = list(_searches(spark, items, "item_id", "text", 5, 0.8, 1000, 32, size // 4))
+    assert len(searches) > 1
+    found = []
+    for s in searches:
+        s.begin()
+        assert [len(x) for x in s.sets] == [max(0, len((t or "").split()) - 4) for t in s.shared.value[1]]
+        found += [s.ids[i].as_py() for _, i, _ in s([r.text for r in docs.collect()])]
+    assert sorted(found) == list(range(12)) == sorted(r.item_id for r in contained(docs, items).collect())
