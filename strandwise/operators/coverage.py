@@ -111,7 +111,8 @@ def region_coverage(
     }
     at = points.select(*keys, "pos", *[c.alias(n) for n, c in cum.items()])
     # Each distinct span looks its two ends up in one join and is put together by a
-    # small aggregation, so that the sweep is planned once.
+    # small aggregation, so that the sweep is planned once.  Spark's size estimate leaves
+    # out what an explode adds (samples, ends), so the joins are told not to broadcast.
     spans = regions.select(*keys, "start", "stop").distinct()
     ends = spans.withColumn(
         "_end",
@@ -123,12 +124,12 @@ def region_coverage(
         ),
     ).select(*keys, "start", "stop", "_end.pos", "_end.sign")
     upper, lower = F.col("sign") > 0, F.col("sign") < 0
-    looked = ends.join(at, [*keys, "pos"]).groupBy(*keys, "start", "stop").agg(
+    looked = ends.hint("merge").join(at, [*keys, "pos"]).groupBy(*keys, "start", "stop").agg(
         F.sum(F.when(upper, F.col("b_uni")).when(lower, -F.col("f_uni"))).alias("r_uni"),
         F.sum(F.when(upper, F.col("b_dup")).when(lower, -F.col("f_dup"))).alias("r_dup"),
         *[F.sum(F.col("sign") * F.col(n)).alias(n) for n in sums],
     )
-    both = regions.join(looked, [*keys, "start", "stop"])
+    both = regions.hint("merge").join(looked, [*keys, "start", "stop"])
 
     def gain(n: str) -> Column:
         return F.col(n).cast("long")
