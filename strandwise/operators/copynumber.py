@@ -409,8 +409,10 @@ def recall_near_threshold(exons: DataFrame, value: str = "ratio_batch_fix", conf
     )
     df = exons.withColumn("_elig", F.coalesce(eligible, F.lit(False)))
     outside = F.when(~F.col("_elig"), F.col("type"))
-    left = F.last(outside, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    right = F.first(outside, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    before = Window.unboundedPreceding, -1
+    left = F.last(outside, ignorenulls=True).over(w.rowsBetween(*before))
+    # from the end backwards: a frame to the end would be gone through again for every row
+    right = F.last(outside, ignorenulls=True).over(Window.partitionBy(*_GENE).orderBy(F.desc("number")).rowsBetween(*before))
     df = df.withColumn("_left", left).withColumn("_right", right)
     recalled = F.col("_elig") & (
         F.coalesce(F.col("_left") == "DUP", F.lit(False)) | F.coalesce(F.col("_right") == "DUP", F.lit(False))

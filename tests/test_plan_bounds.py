@@ -1,5 +1,6 @@
 """Plans whose cost may not jump with the data: no broadcast of exploded rows, no frame to the end of a group."""
 
+from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
 
 
@@ -25,3 +26,15 @@ def test_region_depth_broadcasts_no_regions(spark, tmp_path):
     # one file of regions is under the broadcast limit, its regions times samples times ends need not be
     joins = [line for line in _plan(cv.region_depth(reads, regions, sample="sample", samples=["S0", "S1"])).split("\n") if "Join [" in line]
     assert "SortMergeJoin" in joins[0] and "SortMergeJoin" in joins[1]
+
+
+def test_recall_looks_right_without_a_frame_to_the_end(spark):
+    # a DUP every 50 exons, exons under the limit in between up to 30 to its left; the middle of the series has none
+    kinds = ["DUP" if i % 50 == 0 else "NEAR" if i % 50 >= 20 else "NORMAL" for i in range(400)]
+    rows = [("S1", "G", i, 1.5 if k == "DUP" else 1.29 if k == "NEAR" else 1.0, "F", 0.05, "DUP" if k == "DUP" else "NORMAL", "No") for i, k in enumerate(kinds)]
+    df = spark.createDataFrame(rows, "sample string, gene string, number long, ratio_batch_fix double, gender string, cv double, type string, continuously string")
+    out = cn.recall_near_threshold(df)
+    got = {r["number"]: r["type"] for r in out.collect()}
+    # the run 20 .. 49 ends at the next DUP, that of 370 .. 399 at the end of the gene
+    assert got == {i: "DUP" if k == "DUP" or (k == "NEAR" and i < 350) else "NORMAL" for i, k in enumerate(kinds)}
+    assert "unboundedfollowing" not in _plan(out).lower()
