@@ -16,7 +16,7 @@ a window's end cuts are read value by value.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import comb
+from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -30,6 +30,9 @@ from strandwise.functions.running import running
 from strandwise.functions.stages import cut
 
 LEAF, FAN, DEGREE = 256, 16, 11
+#: Blocks of values that one task takes through a level; few bytes, so that Spark would give a task many times as many.
+BLOCKS_A_TASK, MOST_TASKS = 16, 2000
+_FACTORIALS = np.array([float(factorial(i)) for i in range(DEGREE + 1)])
 _PARTS = ("s0", "s1", "s2", "t0", "t1")
 
 
@@ -60,13 +63,14 @@ def nearest_radius(values: DataFrame, keys: Sequence[str], fraction: float) -> D
         *keys, ((F.col("lo") + F.col("hi")) / 2).alias("x"), "p", F.struct("lo", "far").alias("_e"), F.lit(None).cast("long").alias("d")
     ).unionByName(ranks.select(*keys, "x", "d"), allowMissingColumns=True)
     merged = parted(merged.groupBy(*keys, "x").agg(F.max("d").alias("d"), F.min_by("_e", "p").alias("_e")), keys, "x")
-    later = Window.partitionBy(*keys).orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    # backwards: a frame to the end would be gone through again for every row
+    later = Window.partitionBy(*keys).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
     carry = merged.groupBy(*keys, "_part").agg(F.min_by("_e", F.when(F.col("_e").isNotNull(), F.col("x"))).alias("_e")).select(
-        *keys, "_part", F.first("_e", ignorenulls=True).over(later).alias("_next")
+        *keys, "_part", F.last("_e", ignorenulls=True).over(later).alias("_next")
     )
-    ahead = Window.partitionBy(*keys, "_part").orderBy("x").rowsBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*keys, "_part").orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, 0)
     found = merged.join(carry, [*keys, "_part"]).withColumn(
-        "_e", F.coalesce(F.first("_e", ignorenulls=True).over(ahead), F.col("_next"))
+        "_e", F.coalesce(F.last("_e", ignorenulls=True).over(ahead), F.col("_next"))
     )
     return found.where(F.col("d").isNotNull()).select(
         *keys, "x", "d", F.greatest(F.col("x") - F.col("_e.lo"), F.col("_e.far") - F.col("x")).alias("radius")
@@ -86,12 +90,13 @@ def _leaf_moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _shift(m: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Moments of a + b * u from those of u, for arrays of a and b."""
-    steps = np.arange(DEGREE + 1)
-    pa, pb = np.power.outer(a, steps), np.power.outer(b, steps) * m
-    out = np.empty_like(pa)
-    for p in steps:
-        out[:, p] = sum(comb(p, q) * pa[:, p - q] * pb[:, q] for q in range(p + 1))
-    return out
+    # over factorials a shift is a convolution
+    pa = np.vander(a, DEGREE + 1, increasing=True) / _FACTORIALS
+    pb = np.vander(b, DEGREE + 1, increasing=True) * (m / _FACTORIALS)
+    out = np.zeros_like(pa)
+    for q in range(DEGREE + 1):
+        out[:, q:] += pa[:, : DEGREE + 1 - q] * pb[:, q : q + 1]
+    return out * _FACTORIALS
 
 
 def _joined(keys: list[str]):
@@ -130,9 +135,10 @@ def _by_moments(x, r, lo, hi, mw, my) -> np.ndarray:
 
 def _by_values(x, r, xs, ws, wys) -> np.ndarray:
     u = (xs[None, :] - x[:, None]) / r[:, None]
-    t = np.clip(1 - np.abs(u) ** 3, 0, None) ** 3
-    w, y = t * ws, t * wys
-    return np.stack([w.sum(1), (w * u).sum(1), (w * u * u).sum(1), y.sum(1), (y * u).sum(1)], axis=1)
+    t = np.maximum(1 - np.abs(u) * u * u, 0.0)  # products: a power of an array is slow
+    t = t * t * t
+    tu = t * u
+    return np.stack([t @ ws, tu @ ws, (tu * u) @ ws, t @ wys, tu @ wys], axis=1)
 
 
 def _sums(keys: list[str], leaf: bool):
@@ -140,8 +146,8 @@ def _sums(keys: list[str], leaf: bool):
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for row in pdf.to_dict("records"):
+            at, places, values = [], [], []
+            for i, row in enumerate(pdf.to_dict("records")):
                 x, r = np.asarray(row["tx"]), np.asarray(row["tr"])
                 lo, hi, up_lo, up_hi = row["lo"], row["hi"], row["up_lo"], row["up_hi"]
                 open_ = (r > 0) & (lo < x + r) & (hi > x - r)
@@ -156,13 +162,14 @@ def _sums(keys: list[str], leaf: bool):
                     sums[part] = _by_values(x[part], r[part], *(np.asarray(row[c]) for c in ("xs", "ws", "wys")))
                 hit = np.flatnonzero(open_ if leaf else whole)
                 if len(hit):
-                    frame = pd.DataFrame(sums[hit], columns=list(_PARTS))
-                    frame.insert(0, "d", row["block"] * LEAF + hit)
-                    for c in reversed(keys):
-                        frame.insert(0, c, row[c])
-                    out.append(frame)
-            if out:
-                yield pd.concat(out).groupby([*keys, "d"], as_index=False, sort=False).sum()
+                    at.append(np.full(len(hit), i))
+                    places.append(row["block"] * LEAF + hit)
+                    values.append(sums[hit])
+            if at:
+                frame = pdf[keys].iloc[np.concatenate(at)].reset_index(drop=True)
+                frame["d"] = np.concatenate(places)
+                frame[list(_PARTS)] = np.concatenate(values)
+                yield frame.groupby([*keys, "d"], as_index=False, sort=False).sum()
 
     return add
 
@@ -195,15 +202,16 @@ def _lines(points: DataFrame, sums: DataFrame, keys: list[str], depth: int) -> D
         _leaf_moments, f"{head}, node long, xs array<double>, ws array<double>, wys array<double>, {moments}"
     ))
     levels = [leaves]
+    tasks = min(MOST_TASKS, leaves.count() // BLOCKS_A_TASK + 1)
     for _ in range(depth):
-        below = levels[-1].select(*keys, "node", "lo", "hi", "mw", "my")
-        up = below.groupBy(*keys, F.floor(F.col("node") / FAN).alias("_up")).applyInPandas(
+        below = levels[-1].select(*keys, "node", "lo", "hi", "mw", "my", F.floor(F.col("node") / FAN).alias("_up"))
+        up = below.repartition(tasks, *keys, "_up").groupBy(*keys, "_up").applyInPandas(
             _joined(keys), f"{head}, node long, {moments}"
         )
         levels.append(cut(up))
     blocks = _arrays(points, keys, "block", x="tx", radius="tr")
     no_range = F.lit(float("nan"))
-    pairs = blocks.join(levels[-1], keys).withColumn("up_lo", no_range).withColumn("up_hi", no_range)
+    pairs = blocks.join(levels[-1], keys).withColumn("up_lo", no_range).withColumn("up_hi", no_range).repartition(tasks, *keys, "block", "node")
     out = None
     for level in range(depth, -1, -1):
         part = pairs.mapInPandas(_sums(keys, level == 0), f"{head}, d long, " + ", ".join(f"{c} double" for c in _PARTS))
@@ -213,8 +221,8 @@ def _lines(points: DataFrame, sums: DataFrame, keys: list[str], depth: int) -> D
             going = going.mapInPandas(_cut_by(keys), going.schema).select(
                 *keys, "block", "tx", "tr", F.col("node").alias("_up"), F.col("lo").alias("up_lo"), F.col("hi").alias("up_hi")
             )
-            children = levels[level - 1].withColumn("_up", F.floor(F.col("node") / FAN))
-            pairs = going.join(children, [*keys, "_up"]).drop("_up")
+            children = levels[level - 1].withColumn("_up", F.floor(F.col("node") / FAN)).repartition(tasks, *keys, "_up")
+            pairs = going.repartition(tasks, *keys, "_up").join(children.hint("merge"), [*keys, "_up"]).drop("_up")
     total = out.groupBy(*keys, "d").agg(*[F.sum(c).alias(c) for c in _PARTS])
     s0, s1, s2, t0, t1 = (F.col(c) for c in _PARTS)
     spread = s2 - s1 * s1 / s0

@@ -2,6 +2,7 @@
 
 from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
+from strandwise.operators.smoothing import nearest_radius
 
 
 def _plan(df) -> str:
@@ -38,3 +39,13 @@ def test_recall_looks_right_without_a_frame_to_the_end(spark):
     # the run 20 .. 49 ends at the next DUP, that of 370 .. 399 at the end of the gene
     assert got == {i: "DUP" if k == "DUP" or (k == "NEAR" and i < 350) else "NORMAL" for i, k in enumerate(kinds)}
     assert "unboundedfollowing" not in _plan(out).lower()
+
+
+def test_radius_has_no_frame_to_the_end(spark):
+    values = spark.createDataFrame([("A", float(x * x), 1 + x % 3) for x in range(60)], "k string, x double, n long")
+    found = nearest_radius(values, ["k"], 0.3)
+    xs = [float(x * x) for x in range(60) for _ in range(1 + x % 3)]
+    near = int(0.3 * len(xs) + 1e-10)
+    want = {x: sorted(abs(x - y) for y in xs)[near - 1] for x in xs}
+    assert {r["x"]: r["radius"] for r in found.collect()} == want
+    assert "unboundedfollowing" not in _plan(found).lower()
