@@ -14,6 +14,8 @@ from strandwise.functions.sequence_text import reverse_complement
 
 READ_LENGTH = 100  # bases before the barcode on the second read
 _LETTERS = "ACGTN"
+#: Texts near a barcode that one task makes and sorts.
+TEXTS_A_TASK = 2_000_000
 # Relation words of the sample sheet.
 WIFE, HUSBAND, EMBRYO = "女方", "男方", "胚胎"
 CHILD = ("儿子", "女儿", "孩子")
@@ -30,6 +32,11 @@ def barcode_table(barcodes: DataFrame, max_mismatch: int, length: int = 10) -> D
     """
     masks = [places for k in range(max_mismatch + 1) for places in combinations(range(length), k)]
     rows = barcodes.select("ord", "barcode", reverse_complement("seq").alias("_s"))
+    # a sheet is one small file whatever becomes of it, and one task would make all of its texts
+    texts = sum(len(_LETTERS) ** len(m) for m in masks)
+    tasks = barcodes.count() * texts // TEXTS_A_TASK + 1
+    if tasks > 1:
+        rows = rows.repartition(tasks, "ord", "barcode", "_s")
     near = None
     for k in range(max_mismatch + 1):
         places = F.explode(F.array(*[F.array(*[F.lit(p) for p in m]) for m in masks if len(m) == k])) if k else None
@@ -58,7 +65,8 @@ def demultiplex(
     tag = F.regexp_replace(F.substring("seq2", read_length + 1, length), "[^ACGTN]", "N")
     table = barcode_table(barcodes, max_mismatch, length)
     whole = pairs.where(F.length("seq2") == read_length + length)
-    out = whole.withColumn("tag", tag).join(table, "tag").drop("tag")
+    # Spark's size estimate of the table is that of the sheet: it is not to be broadcast
+    out = whole.withColumn("tag", tag).join(table.hint("merge"), "tag").drop("tag")
     out = out.withColumn("seq2", F.substring("seq2", 1, read_length))
     if "qual2" in pairs.columns:
         out = out.withColumn("qual2", F.substring("qual2", 1, read_length))

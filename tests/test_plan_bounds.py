@@ -2,6 +2,7 @@
 
 from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
+from strandwise.operators import samples as sm
 from strandwise.operators.smoothing import nearest_radius
 
 
@@ -57,3 +58,11 @@ def test_segment_means_round_alike_in_any_order(spark):
     got = QUERIES["E6_segment"](spark, "/root/testdata/sf0.01").where("sample = 'S9' and chrom = 'chr2' and start = 0").first()
     # the marks are thousandths; their mean is 0.0486875
     assert (got["num_mark"], got["seg_mean"]) == (32, 0.048688)
+
+
+def test_barcode_texts_are_not_broadcast(spark, tmp_path):
+    sheet = spark.createDataFrame([(1, "b1", "AAAA"), (2, "b2", "ACCA")], "ord long, barcode string, seq string")
+    pairs = spark.createDataFrame([(1, "TTTT"), (2, "TGGT"), (3, "TTGT"), (4, "TNGG"), (5, "CCCC")], "rec long, seq2 string")
+    out = sm.demultiplex(pairs, _stored(sheet, tmp_path / "sheet"), 2, length=4, read_length=0)
+    assert {r["rec"]: r["barcode"] for r in out.collect()} == {1: "b1", 2: "b1", 3: "b1", 4: "b2"}
+    assert "BroadcastHashJoin" not in _plan(out)
