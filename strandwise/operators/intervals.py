@@ -225,7 +225,8 @@ def count_overlaps_of(a: DataFrame, layers: Mapping[str, DataFrame], on: Sequenc
     at = running(at, on, "pos", sums={f"_r{c}": F.col(c) for c in counted})
     begun = at.select(*on, F.col("pos").alias("stop"), *[(F.col(f"_r_s_{n}") - F.col(f"_s_{n}")).alias(f"_b_{n}") for n in names])
     ended = at.select(*on, F.col("pos").alias("start"), *[F.col(f"_r_e_{n}").alias(f"_d_{n}") for n in names])
-    met = a.join(begun, [*on, "stop"], "left").join(ended, [*on, "start"], "left")
+    # a row for every end of either side: more than Spark's size estimate says, not to be broadcast
+    met = a.join(begun.hint("merge"), [*on, "stop"], "left").join(ended.hint("merge"), [*on, "start"], "left")
     return met.select(*a.columns, *[F.coalesce(F.col(f"_b_{n}") - F.col(f"_d_{n}"), F.lit(0)).alias(n) for n in names])
 
 

@@ -2,6 +2,7 @@
 
 from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
+from strandwise.operators import intervals as iv
 from strandwise.operators import samples as sm
 from strandwise.operators.smoothing import nearest_radius
 
@@ -66,3 +67,13 @@ def test_barcode_texts_are_not_broadcast(spark, tmp_path):
     out = sm.demultiplex(pairs, _stored(sheet, tmp_path / "sheet"), 2, length=4, read_length=0)
     assert {r["rec"]: r["barcode"] for r in out.collect()} == {1: "b1", 2: "b1", 3: "b1", 4: "b2"}
     assert "BroadcastHashJoin" not in _plan(out)
+
+
+def test_counts_per_end_are_not_broadcast(spark, tmp_path):
+    a = spark.createDataFrame([("chr1", 0, 10), ("chr1", 10, 20), ("chr2", 0, 10), (None, 0, 10)], "chrom string, start long, stop long")
+    b = spark.createDataFrame([("chr1", 5, 12), ("chr1", 9, 10)], "chrom string, start long, stop long")
+    a, b = _stored(a, tmp_path / "a"), _stored(b, tmp_path / "b")
+    out = iv.count_overlaps(a, b)
+    assert sorted((r["chrom"] or "", r["start"], r["n_overlaps"]) for r in out.collect()) == [("", 0, 0), ("chr1", 0, 2), ("chr1", 10, 1), ("chr2", 0, 0)]
+    joins = [line for line in _plan(iv.count_overlaps(a, b)).split("\n") if "Join [" in line]
+    assert "SortMergeJoin" in joins[0] and "SortMergeJoin" in joins[1]
