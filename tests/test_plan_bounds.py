@@ -1,5 +1,6 @@
 """Plans whose cost may not jump with the data: no broadcast of exploded rows, no frame to the end of a group."""
 
+import __spark_entry__ as contract
 from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
 from strandwise.operators import intervals as iv
@@ -54,9 +55,7 @@ def test_radius_has_no_frame_to_the_end(spark):
 
 
 def test_segment_means_round_alike_in_any_order(spark):
-    from strandwise.plans.registry import QUERIES
-
-    got = QUERIES["E6_segment"](spark, "/root/testdata/sf0.01").where("sample = 'S9' and chrom = 'chr2' and start = 0").first()
+    got = contract.queries()["E6_segment"](spark, "/root/testdata/sf0.01").where("sample = 'S9' and chrom = 'chr2' and start = 0").first()
     # the marks are thousandths; their mean is 0.0486875
     assert (got["num_mark"], got["seg_mean"]) == (32, 0.048688)
 
