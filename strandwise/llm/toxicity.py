@@ -190,8 +190,8 @@ def fit(
                 ["token", "toxic", "clean"],
             )
 
+        seen, size = (Counter(), Counter()), 0
         for batch in batches:
-            seen, size = (Counter(), Counter()), 0
             for t, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 found = set(tokens(t.as_py()))
                 seen[y].update(found)
@@ -200,7 +200,7 @@ def fit(
                 if size > COUNTED:
                     yield pack()
                     seen, size = (Counter(), Counter()), 0
-            yield pack()
+        yield pack()
 
     counts = rows.mapInArrow(count, "token string, toxic long, clean long")
     counts = counts.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).cache()

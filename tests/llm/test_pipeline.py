@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
-from strandwise.llm.common import fold, written
+from strandwise.llm.common import BATCH, fold, written
 from strandwise.llm.queries import table
 from strandwise.llm.toxicity import fit, score
 from tests.llm.test_contamination import plain as contaminated
@@ -89,3 +89,14 @@ def test_odd_rows(spark, tmp_path):
             if name == "near_duplicates" and frame.count():
                 assert sorted(r.doc_id for r in frame.collect() if r.doc_id) == [1, 2, 4]
         assert frame.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_python_workers_get_few_texts_at_once(spark):
+    docs = table(spark, SF, "documents")
+    spark.conf.unset(BATCH)
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        docs = stage(spark, docs, SF)
+        assert int(spark.conf.get(BATCH)) <= 1000
+    rows = docs.sparkSession.range(2500, numPartitions=1).mapInArrow(lambda batches: (b.slice(0, 1) for b in batches), "id long")
+    assert rows.count() == 3
+    spark.conf.unset(BATCH)
