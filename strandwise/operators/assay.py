@@ -105,7 +105,8 @@ def bayes_factor(df: DataFrame, x: str, n: str, grid: int = 1_000_000, alpha: fl
     """Add ``bf``: homozygous against wild-type or heterozygous, Beta prior on the imbalance.
 
     The binomial coefficient and the power of two cancel.  Each distinct (x, n) is
-    integrated once on the grid, in log space.
+    integrated once on the grid, in log space.  The pairs are few bytes and much work,
+    so they are dealt to as many tasks as a shuffle has, which no size merges.
     """
     @F.pandas_udf("double")
     def integrate(hit: pd.Series, total: pd.Series) -> pd.Series:
@@ -113,17 +114,24 @@ def bayes_factor(df: DataFrame, x: str, n: str, grid: int = 1_000_000, alpha: fl
         up, down = np.log1p(p), np.log1p(-p)
         const = math.lgamma(alpha + beta) - math.lgamma(alpha) - math.lgamma(beta)
         prior = const + (alpha - 1) * np.log(p) + (beta - 1) * down
-        out = []
+        out, a, b, rest = [], *(np.empty_like(p) for _ in range(3))
+
+        def density(of: np.ndarray, x: np.ndarray, k: float, y: np.ndarray, m: float) -> None:
+            np.add(prior, np.multiply(x, k, out=of), out=of)
+            np.add(of, np.multiply(y, m, out=rest), out=of)
+
+        def area(of: np.ndarray, top: float) -> float:
+            return np.exp(np.subtract(of, top, out=of), out=of).sum() / grid
+
         for k, m in zip(hit, total):
-            a = prior + k * up + (m - k) * down
-            b = prior + k * down + (m - k) * up
+            density(a, up, k, down, m - k)
+            density(b, down, k, up, m - k)
             top = max(a.max(), b.max(), 0.0)
-            num = np.exp(a - top).sum() / grid
-            den = np.exp(b - top).sum() / grid + 2 * math.exp(-top)
-            out.append(num / den)
+            out.append(area(a, top) / (area(b, top) + 2 * math.exp(-top)))
         return pd.Series(out, dtype="float64")
 
-    pairs = df.select(x, n).where(F.col(x).isNotNull() & F.col(n).isNotNull()).distinct()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = df.select(x, n).where(F.col(x).isNotNull() & F.col(n).isNotNull()).distinct().repartition(parts, F.xxhash64(x, n))
     scored = pairs.withColumn("bf", round_even(integrate(F.col(x), F.col(n)), 3))
     return df.join(scored, [x, n], "left").select(*df.columns, "bf")
 

@@ -1,6 +1,7 @@
 """Plans whose cost may not jump with the data: no broadcast of exploded rows, no frame to the end of a group."""
 
 import __spark_entry__ as contract
+from strandwise.operators import assay as ay
 from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
 from strandwise.operators import intervals as iv
@@ -76,3 +77,12 @@ def test_counts_per_end_are_not_broadcast(spark, tmp_path):
     assert sorted((r["chrom"] or "", r["start"], r["n_overlaps"]) for r in out.collect()) == [("", 0, 0), ("chr1", 0, 2), ("chr1", 10, 1), ("chr2", 0, 0)]
     joins = [line for line in _plan(iv.count_overlaps(a, b)).split("\n") if "Join [" in line]
     assert "SortMergeJoin" in joins[0] and "SortMergeJoin" in joins[1]
+
+
+def test_bayes_factors_are_integrated_by_many_tasks(spark):
+    rows = spark.createDataFrame([(1, 3, 10), (2, 3, 10), (3, 700, 1000), (4, None, 5)], "row_id long, mut long, total long")
+    out = ay.bayes_factor(rows, "mut", "total", grid=1000)
+    got = {r["row_id"]: r["bf"] for r in out.collect()}
+    assert got[1] == got[2] < 1 < got[3] and got[4] is None
+    # the pairs weigh next to nothing, so a shuffle by size would leave them to one task
+    assert "REPARTITION_BY_NUM" in _plan(out)
