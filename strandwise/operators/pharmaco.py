@@ -375,10 +375,10 @@ def genotype_consistency(calls: DataFrame, known: DataFrame, genotype: str = "ge
 
 
 def indel_consistency(calls: DataFrame, known: DataFrame, genotype: str = "genotype") -> DataFrame:
-    """Genotype text as D/D, I/D or I/I beside the known one."""
+    """Genotype text as D/D, I/D or I/I beside the known one (``known``: a row per sample, broadcast)."""
     g = F.replace(F.col(genotype), F.lit("/"), F.lit(""))
     ace = F.when(g == F.concat("ref", "ref"), "D/D").when(g == F.concat("ref", "alt"), "I/D").otherwise("I/I")
-    return calls.join(known, "sample", "left").select(
+    return calls.join(F.broadcast(known), "sample", "left").select(
         *calls.columns, ace.alias("ace"), F.coalesce("known", F.lit("-")).alias("known")
     )
 

@@ -1,10 +1,12 @@
 """Plans whose cost may not jump with the data: no broadcast of exploded rows, no frame to the end of a group."""
 
 import __spark_entry__ as contract
+import pytest
 from strandwise.operators import assay as ay
 from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
 from strandwise.operators import intervals as iv
+from strandwise.operators import pharmaco as px
 from strandwise.operators import samples as sm
 from strandwise.operators.smoothing import nearest_radius
 
@@ -86,3 +88,21 @@ def test_bayes_factors_are_integrated_by_many_tasks(spark):
     assert got[1] == got[2] < 1 < got[3] and got[4] is None
     # the pairs weigh next to nothing, so a shuffle by size would leave them to one task
     assert "REPARTITION_BY_NUM" in _plan(out)
+
+
+@pytest.fixture
+def never_small(spark):
+    """Tables are as large for the planner as they are at size: none is broadcast unasked."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_known_genotypes_do_not_shuffle_calls_by_sample(spark, never_small):
+    calls = spark.createDataFrame([("Father", 1, "A", "AT", "A/AT"), ("Embryo1", 2, "A", "AT", "AT/AT")], "sample string, id long, ref string, alt string, genotype string")
+    known = spark.createDataFrame([("Father", "I/D"), ("Mother", "D/D")], "sample string, known string")
+    out = px.indel_consistency(calls, known)
+    assert sorted((r["id"], r["ace"], r["known"]) for r in out.collect()) == [(1, "I/D", "I/D"), (2, "I/I", "-")]
+    assert "hashpartitioning(sample" not in _plan(out)
