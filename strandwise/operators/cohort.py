@@ -67,7 +67,8 @@ def cohort_median(spark: SparkSession, path: str, keys: Sequence[str], name: str
     wanted = cut(placed.join(total, keys).where(holds[0] | holds[1]).select(
         *keys, "range", before.alias("before"), lo.alias("lo"), hi.alias("hi")
     ))
-    batches = known.select("batch").distinct()
+    # a row per batch: a shuffle by batch would have one task for each
+    batches = F.broadcast(known.select("batch").distinct())
     values = _state(spark, path, "values").join(batches, "batch", "left_semi").join(
         wanted.select(*keys, "range"), [*keys, "range"], "left_semi"
     )
@@ -94,10 +95,11 @@ def correct_by_cohort(
     spark, keys = bins.sparkSession, list(keys)
     out = bins.join(cohort_median(spark, path, keys), keys, "left")
     if sex_matched:
-        people = _state(spark, path, "people").join(_state(spark, path, "ranges").select("batch").distinct(), "batch", "left_semi")
+        batches = F.broadcast(_state(spark, path, "ranges").select("batch").distinct())
+        people = _state(spark, path, "people").join(batches, "batch", "left_semi")
         people = people.select("sample", "gender").distinct().groupBy("gender").agg(F.count(F.lit(1)).alias("_n"))
         own = cohort_median(spark, path, [*keys, "gender"], "_own")
-        out = out.join(own, [*keys, "gender"], "left").join(people, "gender", "left").withColumn(
+        out = out.join(own, [*keys, "gender"], "left").join(F.broadcast(people), "gender", "left").withColumn(
             "ratio_control", F.when(F.col("_n") >= min_same_sex, F.col("_own")).otherwise(F.col("ratio_control"))
         )
     control = F.when(F.col("ratio_control") == 0, 1.0).otherwise(F.col("ratio_control"))

@@ -43,10 +43,14 @@ def _male_x() -> Column:
 
 
 def normalize_depth(bins: DataFrame) -> DataFrame:
-    """Add ``ratio`` = mean depth over the sample's base/size; doubled on a male X."""
+    """Add ``ratio`` = mean depth over the sample's base/size; doubled on a male X.
+
+    The totals are a row per sample and broadcast: a shuffle by sample would have as many
+    parts as there are samples, each as large as a sample's bins.
+    """
     total = bins.groupBy("sample").agg((F.sum("base") / F.sum("size")).alias("_mean"))
     share = ratio(F.col("mean_depth"), F.col("_mean"))
-    return bins.join(total, "sample").select(
+    return bins.join(F.broadcast(total), "sample").select(
         *bins.columns, F.when(_male_x(), share * 2).otherwise(share).alias("ratio")
     )
 
@@ -163,7 +167,8 @@ def batch_correct(
     if sex_matched:
         own = exact_quantiles(pool, [*keys, "gender"], "ratio_gc_fix", {"_own": 0.5})
         people = pool.select("sample", "gender").distinct().groupBy("gender").agg(F.count(F.lit(1)).alias("_n"))
-        out = out.join(own, [*keys, "gender"], "left").join(people, "gender", "left")
+        # a row per sex: a shuffle by sex would have one task for each
+        out = out.join(own, [*keys, "gender"], "left").join(F.broadcast(people), "gender", "left")
         out = out.withColumn(
             "ratio_control", F.when(F.col("_n") >= min_same_sex, F.col("_own")).otherwise(F.col("ratio_control"))
         ).drop("_own", "_n")

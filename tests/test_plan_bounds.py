@@ -3,6 +3,7 @@
 import __spark_entry__ as contract
 import pytest
 from strandwise.operators import assay as ay
+from strandwise.operators import cohort as ch
 from strandwise.operators import copynumber as cn
 from strandwise.operators import coverage as cv
 from strandwise.operators import intervals as iv
@@ -106,3 +107,27 @@ def test_known_genotypes_do_not_shuffle_calls_by_sample(spark, never_small):
     out = px.indel_consistency(calls, known)
     assert sorted((r["id"], r["ace"], r["known"]) for r in out.collect()) == [(1, "I/D", "I/D"), (2, "I/I", "-")]
     assert "hashpartitioning(sample" not in _plan(out)
+
+
+def test_cohort_state_is_not_shuffled_by_batch(spark, tmp_path, never_small, monkeypatch):
+    plans, ranked = [], ch.ranked  # the values of the wanted ranges are written down before they are ranked
+    monkeypatch.setattr(ch, "ranked", lambda values, keys: plans.append(_plan(values)) or ranked(values, keys))
+    rows = [(f"S{s}", "F" if s % 2 else "M", "chr1", b, b + 100, s * 0.25 + b) for s in range(5) for b in (0, 100)]
+    bins = spark.createDataFrame(rows, "sample string, gender string, chrom string, start long, stop long, ratio_gc_fix double")
+    for name, some in (("early", "sample < 'S2'"), ("late", "sample >= 'S2'")):
+        ch.add_batch(bins.where(some), str(tmp_path), name)
+    out = ch.correct_by_cohort(bins, str(tmp_path), sex_matched=True, min_same_sex=3)
+    got = {(r["sample"], r["start"]): r["ratio_control"] for r in out.collect()}
+    assert got == {(f"S{s}", b): 0.5 + b for s in range(5) for b in (0, 100)}
+    assert len(plans) == 2 and all("SortMergeJoin [chrom" in p and "SortMergeJoin [batch" not in p for p in plans)
+
+
+def test_bins_are_not_shuffled_by_sample_or_sex(spark, never_small):
+    rows = [(f"S{s}", "F" if s % 2 else "M", "chr1", b, b + 100, 100, 10 + s, 1.0 + s * b) for s in range(4) for b in (0, 100)]
+    bins = spark.createDataFrame(rows, "sample string, gender string, chrom string, start long, stop long, size long, base long, mean_depth double")
+    scaled = cn.normalize_depth(bins)
+    assert {r["ratio"] for r in scaled.where("sample = 'S1'").collect()} == {1 / 0.11, 101 / 0.11}
+    out = cn.batch_correct(scaled.withColumnRenamed("ratio", "ratio_gc_fix"), sex_matched=True, min_same_sex=2)
+    assert out.count() == 8
+    joins = [line for line in _plan(out).split("\n") if "SortMergeJoin" in line]
+    assert joins and not [line for line in joins if "SortMergeJoin [sample" in line or "SortMergeJoin [gender" in line]
