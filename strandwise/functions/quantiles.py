@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _SPLITS = 31
+#: Rows of a group that one task sorts; the values of larger groups are cut into buckets.
+SMALL = 10_000
 
 
 def exact_quantiles(
@@ -17,13 +19,30 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles of ``value`` per ``keys`` (nulls skipped), for groups of any size.
 
+    The rows are counted per key first.  Groups of up to ``SMALL`` rows are sorted as they
+    are, in one shuffle; larger ones take the way of ``_bucketed``.
+    """
+    keys = list(keys)
+    rows = df.where(reduce(and_, [F.col(c).isNotNull() for c in [*keys, value]])).select(
+        *keys, (F.col(value).cast("double") + 0.0).alias("_v")
+    )
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+    order = Window.partitionBy(*keys).orderBy("_v")
+    # not broadcast: there may be as many groups as a fraction of all rows
+    few = rows.join(sizes.where(F.col("_total") <= SMALL).hint("merge"), keys).withColumn("_cum", F.row_number().over(order))
+    many = rows.join(sizes.where(F.col("_total") > SMALL).select(*keys).hint("merge"), keys, "left_semi")
+    return _at(few, keys, quantiles).unionByName(_bucketed(many, keys, "_v", quantiles))
+
+
+def _bucketed(df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """Quantiles of groups of any size.
+
     Equal values are first counted on the map side.  A bounded sketch picks
     splitters per key; the counted values fall into buckets between them, so that
     a group with a third of all rows spreads over many tasks.  The rank of every
     distinct value is its bucket's offset plus its place inside the bucket; the
     sketch only balances the work, the result is exact.
     """
-    keys = list(keys)
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
@@ -53,6 +72,11 @@ def exact_quantiles(
         F.col("_offset")
         + F.sum("_n").over(inner.rowsBetween(Window.unboundedPreceding, 0)),
     )
+    return _at(ranked, keys, quantiles)
+
+
+def _at(ranked: DataFrame, keys: list[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """The quantiles from rows with ``_v``, ``_cum``, the rows up to it in its group, and ``_total``."""
     aggs = []
     for name, q in quantiles.items():
         rank = F.lit(float(q)) * (F.col("_total") - 1)

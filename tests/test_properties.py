@@ -281,3 +281,22 @@ def test_segments_split_until_none_is_open(spark):
     rows = [("S", "c", i * 10, levels[i // 30] + (i * 7919 % 101) / 5000) for i in range(30 * len(levels))]
     got = copynumber.segment(spark.createDataFrame(rows, "sample string, chrom string, start long, x double"), "x").collect()
     assert sorted(r.start for r in got) == [i * 300 for i in range(len(levels))]
+
+
+def test_quantiles_of_small_groups_take_one_sort(spark, monkeypatch):
+    from strandwise.functions import quantiles as qt
+
+    monkeypatch.setattr(qt, "SMALL", 50)
+    rng = np.random.default_rng(3)
+    groups = {"one": [2.5], "few": [-0.0, 0.0, 4.0, 4.0], "edge": rng.normal(size=50).tolist(), "many": rng.normal(size=400).round(1).tolist()}
+    rows = [(g, v) for g, xs in groups.items() for v in xs] + [(None, 1.0), ("none", None), ("few", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    out = qt.exact_quantiles(df, ["g"], "v", {"m": 0.5, "up": 0.9})
+    got = {r["g"]: (r["m"], r["up"]) for r in out.collect()}
+    assert set(got) == set(groups)
+    for g, xs in groups.items():
+        assert np.allclose(got[g], np.quantile(xs, [0.5, 0.9]))
+    sketched = []
+    monkeypatch.setattr(qt, "_bucketed", lambda df, *rest, way=qt._bucketed: sketched.extend(r["g"] for r in df.collect()) or way(df, *rest))
+    qt.exact_quantiles(df, ["g"], "v", {"m": 0.5})
+    assert set(sketched) == {"many"}
