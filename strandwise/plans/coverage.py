@@ -8,7 +8,7 @@ from strandwise.functions.columns import q
 from strandwise.operators import coverage as cv
 from strandwise.operators import intervals as iv
 from strandwise.plans.registry import query
-from strandwise.sources.alignments import base_calls, read_blocks
+from strandwise.sources.alignments import base_depth_of_calls, read_blocks
 
 
 @query("C1_base_depth", "select chrom, start, stop, depth from depth_run where stop is not null")
@@ -28,7 +28,7 @@ select chrom, pos, count(*) as depth from (
 ) u where bq >= 15 and base in ('A', 'C', 'G', 'T') group by chrom, pos""",
 )
 def _(v):
-    return base_calls(v("sam"), min_quality=15).groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("depth"))
+    return base_depth_of_calls(v("sam"), min_quality=15)
 
 
 @query(

@@ -86,7 +86,8 @@ def read_blocks(reads: DataFrame, *, skip_flags: int = NOT_PILED, count_deletion
 def base_calls(reads: DataFrame, *, skip_flags: int = NOT_PILED, min_quality: int = 15) -> DataFrame:
     """One row per aligned A/C/G/T base of sufficient quality (chrom, pos 0-based, base).
 
-    For base-quality filters and base composition only; depth uses blocks.
+    For base-quality filters and base composition only; depth uses blocks. Sequence and
+    quality are ASCII, so a base is a byte: taking one as a character counts all those before it.
     """
     steps = F.filter(_steps(F.col("cigar")), lambda s: s["op"].isin("M", "=", "X"))
     spots = (
@@ -95,14 +96,24 @@ def base_calls(reads: DataFrame, *, skip_flags: int = NOT_PILED, min_quality: in
         .withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s.n") - 1)))
     )
     at = (F.col("_s.read") + F.col("_i") + 1).cast("int")
-    return (
-        spots.select(
-            F.col("rname").alias("chrom"),
-            (F.col("pos") - 1 + F.col("_s.ref") + F.col("_i")).alias("pos"),
-            F.upper(F.substring("seq", at, F.lit(1))).alias("base"),
-            (F.ascii(F.substring("qual", at, F.lit(1))) - 33).alias("base_quality"),
-            "qname",
-            "flag",
-        )
-        .where(F.col("base").isin("A", "C", "G", "T") & (F.col("base_quality") >= min_quality))
+    base, quality = (F.substring(F.col(c).cast("binary"), at, F.lit(1)) for c in ("seq", "qual"))
+    good = base.isin(*[F.lit(b.encode()) for b in "ACGTacgt"]) & (quality >= F.lit(bytes([33 + min_quality])))
+    return spots.where(good).select(
+        F.col("rname").alias("chrom"),
+        (F.col("pos") - 1 + F.col("_s.ref") + F.col("_i")).alias("pos"),
+        F.upper(base.cast("string")).alias("base"),
+        (F.ascii(quality.cast("string")) - 33).alias("base_quality"),
+        "qname",
+        "flag",
     )
+
+
+def base_depth_of_calls(reads: DataFrame, *, skip_flags: int = NOT_PILED, min_quality: int = 15) -> DataFrame:
+    """Good bases per position (chrom, pos, depth); positions without any are left out.
+
+    Reads are ranged by position first, so that a task meets all bases of most of its
+    positions and about one row per position is shuffled; a pile-up is cut by read name.
+    """
+    near = reads.select("rname", "pos", "flag", "cigar", "seq", "qual", "qname").repartitionByRange("rname", "pos", "qname")
+    calls = base_calls(near, skip_flags=skip_flags, min_quality=min_quality)
+    return calls.groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("depth"))

@@ -10,6 +10,7 @@ from strandwise.operators import intervals as iv
 from strandwise.operators import pharmaco as px
 from strandwise.operators import samples as sm
 from strandwise.operators.smoothing import nearest_radius
+from strandwise.sources.alignments import base_depth_of_calls
 
 
 def _plan(df) -> str:
@@ -131,3 +132,13 @@ def test_bins_are_not_shuffled_by_sample_or_sex(spark, never_small):
     assert out.count() == 8
     joins = [line for line in _plan(out).split("\n") if "SortMergeJoin" in line]
     assert joins and not [line for line in joins if "SortMergeJoin [sample" in line or "SortMergeJoin [gender" in line]
+
+
+def test_bases_meet_their_position_before_they_are_shuffled(spark):
+    rows = [("r1", 0, "chr1", 11, "2M1I2M", "ACGTN", "IIIII"), ("r2", 0, "chr1", 12, "3M", "acg", "I%I"), ("r3", 1024, "chr1", 11, "1M", "A", "I"), ("r4", 0, "chr2", 1, "2M", "*", "*")]
+    reads = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, cigar string, seq string, qual string")
+    out = base_depth_of_calls(reads)
+    # r1 has A C, an inserted G, T and an N; the second base of r2 is of low quality
+    assert {(r["chrom"], r["pos"]): r["depth"] for r in out.collect()} == {("chr1", 10): 1, ("chr1", 11): 2, ("chr1", 12): 1, ("chr1", 13): 1}
+    plan = _plan(contract.queries()["C1_base_depth_per_base"](spark, "/root/testdata/sf0.001"))
+    assert "rangepartitioning(rname" in plan
