@@ -320,7 +320,8 @@ def best_overlap(
     ``ties``: first or last in ``order``, which must tell candidates of one target
     apart.  With ``fallback`` a target without candidate gets its own span.
     """
-    hits = overlap_join(targets, candidates)
+    # a wide target has many cells and hits, of which Spark's size check knows nothing
+    hits = overlap_join(targets.hint("merge"), candidates)
     rate = (F.least("stop", "b_stop") - F.greatest("start", "b_start")) / (
         F.col("stop") - F.col("start")
     )

@@ -142,3 +142,12 @@ def test_bases_meet_their_position_before_they_are_shuffled(spark):
     assert {(r["chrom"], r["pos"]): r["depth"] for r in out.collect()} == {("chr1", 10): 1, ("chr1", 11): 2, ("chr1", 12): 1, ("chr1", 13): 1}
     plan = _plan(contract.queries()["C1_base_depth_per_base"](spark, "/root/testdata/sf0.001"))
     assert "rangepartitioning(rname" in plan
+
+
+def test_targets_are_not_broadcast_to_one_task(spark, tmp_path):
+    targets = spark.createDataFrame([(1, "chr1", 0, 100000), (2, "chr2", 0, 10)], "name long, chrom string, start long, stop long")
+    calls = spark.createDataFrame([("chr1", 10, 30, "a"), ("chr1", 90000, 95000, "b"), ("chr2", 10, 20, "c")], "chrom string, start long, stop long, ps string")
+    targets, calls = _stored(targets, tmp_path / "targets"), _stored(calls, tmp_path / "calls")
+    out = iv.best_overlap(targets, calls, key=["name"], order=["start", "stop", "ps"])
+    assert {r["name"]: r["ps"] for r in out.collect()} == {1: "b", 2: None}
+    assert "BroadcastHashJoin [chrom" not in _plan(iv.best_overlap(targets, calls, key=["name"], order=["start", "stop", "ps"]))
