@@ -118,8 +118,15 @@ def _windows(depth: int):
     return run
 
 
-def removed_bytes(texts: list[bytes], depth: int, contents: np.ndarray, windows: np.ndarray) -> list[np.ndarray]:
-    """A mask for each text of the bytes under a run of ``contents`` or a window of ``windows`` (names by text)."""
+def removed_bytes(texts: list[bytes], depth: int, contents: tuple[np.ndarray, np.ndarray], windows: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """A mask for each text of the bytes under one of its runs ``contents`` or of its ``windows`` (names, and the text of each).
+
+    Texts without names are not cut into runs, and those without windows not into windows.
+    """
+    asks = np.zeros((2, len(texts)), bool)
+    for mine, (_, row) in zip(asks, (contents, windows), strict=True):
+        mine[row] = True
+    contents, windows = (np.unique(_of(*told)) for told in (contents, windows))
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
     begins = np.cumsum(lengths) - lengths
     change = np.zeros(int(lengths.sum()) + 1, np.int32)
@@ -128,12 +135,13 @@ def removed_bytes(texts: list[bytes], depth: int, contents: np.ndarray, windows:
         np.add.at(change, start, 1)
         np.add.at(change, end, -1)
 
-    for r in runs(texts, depth) if len(contents) or len(windows) else ():
+    told = asks.any(axis=0)
+    for r in runs([t if some else b"" for t, some in zip(texts, told, strict=True)], depth):
         shift = begins[r.text] + r.shift
         gone = np.isin(_of(r.names(np.arange(len(r.first))), r.text), contents)
         cover((r.first + shift)[gone], (r.last + shift)[gone] + depth)
         if len(windows):
-            left = np.flatnonzero(~gone)
+            left = np.flatnonzero(~gone & asks[1][r.text])
             for right in (True, False):
                 start, owner = r.windows(left, np.full(len(left), right))
                 hit = np.isin(_of(r.window_names(start), r.text[owner]), windows)
@@ -215,7 +223,7 @@ def deduplicate(docs: DataFrame, depth: int = 50, doc_id: str = "doc_id", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, texts in _groups(batches):
             out = []
-            names_of = [np.unique(_of(*_flat(part.column(k)))) for k in (2, 3)]
+            names_of = [_flat(part.column(k)) for k in (2, 3)]
             for data, mask in zip(texts, removed_bytes(texts, depth, *names_of), strict=True):
                 spans = int(mask[:1].sum() + (mask[1:] & ~mask[:-1]).sum())
                 kept = np.frombuffer(data, np.uint8)[~mask].tobytes() if spans else data

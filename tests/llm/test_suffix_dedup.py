@@ -6,8 +6,8 @@ import random
 import numpy as np
 import pytest
 
-from strandwise.llm import suffixes
-from strandwise.llm.suffix_dedup import deduplicate
+from strandwise.llm import suffix_dedup, suffixes
+from strandwise.llm.suffix_dedup import deduplicate, removed_bytes
 from strandwise.llm.suffixes import runs
 
 
@@ -96,3 +96,25 @@ def test_pieces_of_very_long_texts(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert deduplicate(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_only_texts_with_names_are_cut(monkeypatch):
+    rng = random.Random(2)
+    texts = [bytes(rng.randbytes(200)) for _ in range(4)]
+    (whole,) = runs(texts, 50)
+    ask, cut, asked = np.flatnonzero(whole.text == 1)[:1], [], []
+    start, owner = whole.windows(np.flatnonzero(whole.text == 3)[:1], np.array([True]))
+    names = whole.names(ask), whole.window_names(start)[-1:]
+
+    def seen(some, depth):
+        cut.append([len(t) for t in some])
+        for r in runs(some, depth):
+            plainly = r.windows
+            r.windows = lambda rows, right: asked.extend(r.text[rows].tolist()) or plainly(rows, right)
+            yield r
+
+    monkeypatch.setattr(suffix_dedup, "runs", seen)
+    masks = removed_bytes(texts, 50, (names[0], np.array([1])), (names[1], np.array([3])))
+    length = int(whole.last[ask[0]] - whole.first[ask[0]]) + 50
+    assert [int(m.sum()) for m in masks] == [0, length, 0, 50]
+    assert cut == [[0, 200, 0, 200]] and set(asked) == {3}
