@@ -26,6 +26,7 @@ LAST = (1 << 63) - 1
 #: Rows of a batch that are worked on together.
 ROWS = 2048
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[bytes]]]:
@@ -51,6 +52,21 @@ def _of(names: np.ndarray, row: np.ndarray) -> np.ndarray:
     return names + row.astype(np.uint64) * _ODD
 
 
+def _among(values: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Which ``values`` are among ``names`` (sorted, distinct): a table of hashed bits leaves few to be looked up."""
+    if not len(names):
+        return np.zeros(len(values), bool)
+    bits = min(max(10, (8 * len(names)).bit_length()), 24)
+    shift = np.uint64(64 - bits)
+    table = np.zeros(1 << bits, bool)
+    table[(names * _MIX) >> shift] = True
+    found = table[(values * _MIX) >> shift]
+    likely = np.flatnonzero(found)
+    at = np.minimum(np.searchsorted(names, values[likely]), len(names) - 1)
+    found[likely] = names[at] == values[likely]
+    return found
+
+
 def _anchors(depth: int):
     """``(anchor, low, high)``: anchors with the least and the largest document among some rows."""
 
@@ -86,7 +102,7 @@ def _contents(depth: int):
         for part, docs, texts in _groups(batches):
             wanted = np.unique(_flat(part.column(2))[0])
             for r in runs(texts, depth):
-                rows = np.flatnonzero(np.isin(r.anchor, wanted))
+                rows = np.flatnonzero(_among(r.anchor, wanted))
                 right, left, right_name, left_name = r.halves(rows)
                 yield pa.record_batch(
                     [
@@ -108,7 +124,7 @@ def _windows(depth: int):
             for r in runs(texts, depth):
                 content = _of(r.names(np.arange(len(r.first))), r.text)
                 for names, right in zip(listed, (True, False), strict=True):
-                    rows = np.flatnonzero(np.isin(content, names))
+                    rows = np.flatnonzero(_among(content, names))
                     start, owner = r.windows(rows, np.full(len(rows), right))
                     yield pa.record_batch(
                         [_longs(r.anchor[owner]), _longs(r.window_names(start)), _longs(docs[r.text[owner]])],
@@ -138,13 +154,13 @@ def removed_bytes(texts: list[bytes], depth: int, contents: tuple[np.ndarray, np
     told = asks.any(axis=0)
     for r in runs([t if some else b"" for t, some in zip(texts, told, strict=True)], depth):
         shift = begins[r.text] + r.shift
-        gone = np.isin(_of(r.names(np.arange(len(r.first))), r.text), contents)
+        gone = _among(_of(r.names(np.arange(len(r.first))), r.text), contents)
         cover((r.first + shift)[gone], (r.last + shift)[gone] + depth)
         if len(windows):
             left = np.flatnonzero(~gone & asks[1][r.text])
             for right in (True, False):
                 start, owner = r.windows(left, np.full(len(left), right))
-                hit = np.isin(_of(r.window_names(start), r.text[owner]), windows)
+                hit = _among(_of(r.window_names(start), r.text[owner]), windows)
                 place = start[hit] + shift[owner[hit]]
                 cover(place, place + depth)
     covered = np.cumsum(change[:-1]) > 0

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from strandwise.llm import suffix_dedup, suffixes
-from strandwise.llm.suffix_dedup import deduplicate, removed_bytes
+from strandwise.llm.suffix_dedup import _among, deduplicate, removed_bytes
 from strandwise.llm.suffixes import runs
 
 
@@ -118,3 +118,12 @@ def test_only_texts_with_names_are_cut(monkeypatch):
     length = int(whole.last[ask[0]] - whole.first[ask[0]]) + 50
     assert [int(m.sum()) for m in masks] == [0, length, 0, 50]
     assert cut == [[0, 200, 0, 200]] and set(asked) == {3}
+
+
+@pytest.mark.parametrize("count", [0, 1, 5000])
+def test_names_are_found_among_others(count):
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 64, 20000, dtype=np.uint64)
+    values[:4] = [0, (1 << 64) - 1, 7, 7]
+    names = np.unique(values[: 2 * count : 2]) if count else values[:0]
+    assert (_among(values, names) == np.isin(values, names)).all()
