@@ -121,25 +121,30 @@ def sweep(
     Returns runs ``(keys, start, stop, <layer>…)`` with one cover column per
     layer (the number of intervals, or the summed weight).  ``marks`` holds extra
     positions ``(keys, pos)`` at which a run must begin.  Each interval becomes
-    two events that are summed per position on the map side, so a pile-up at one
+    two events, which layers of the same DataFrame share, that are summed per position on the map side, so a pile-up at one
     locus shrinks to one row before it is shuffled.
     """
     keys, weights = list(keys), dict(weights or {})
     names = list(layers)
-    events = None
+    sources: list[tuple[DataFrame, list[str]]] = []
     for name, df in layers.items():
-        w = weights.get(name, F.lit(1).cast("long"))
+        same = [mine for other, mine in sources if other is df]
+        if same:
+            same[0].append(name)
+        else:
+            sources.append((df, [name]))
+    events = None
+    for df, mine in sources:
+        w = {n: weights.get(n, F.lit(1).cast("long")) for n in mine}
+
+        def end(side: str, change: dict[str, Column]) -> Column:
+            return F.struct(F.col(side).cast("long").alias("pos"), *[c.alias(n) for n, c in change.items()])
+
         here = df.where(F.col("start") < F.col("stop")).select(
-            *keys,
-            F.explode(
-                F.array(
-                    F.struct(F.col("start").cast("long").alias("pos"), w.alias("d")),
-                    F.struct(F.col("stop").cast("long").alias("pos"), (-w).alias("d")),
-                )
-            ).alias("e"),
+            *keys, F.explode(F.array(end("start", w), end("stop", {n: -c for n, c in w.items()}))).alias("e")
         )
         part = here.select(
-            *keys, "e.pos", *[(F.col("e.d") if n == name else F.lit(0)).alias(n) for n in names]
+            *keys, "e.pos", *[(F.col(f"e.{n}") if n in mine else F.lit(0)).alias(n) for n in names]
         )
         events = part if events is None else events.unionByName(part)
     if marks is not None:

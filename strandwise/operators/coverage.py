@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from strandwise.functions.columns import q, ratio, round_even
 from strandwise.functions.running import BLOCK, running, sweep
 from strandwise.functions.stages import cut
-from strandwise.operators.intervals import count_overlaps, count_overlaps_of, flank_segments, merge_intervals, overlap_join
+from strandwise.operators.intervals import count_overlaps_of, flank_segments, merge_intervals, overlap_join
 
 # Alignment flag bits and the insert size cap.
 UNMAPPED, MATE_UNMAPPED, SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 4, 8, 256, 512, 1024, 2048
 MAX_INSERT = 2000
 CUTOFFS = (1, 4, 10, 20)
+TARGET_BIN = 256  # targets are short and dense, so a cell holds few of them
 
 
 def _flag(bit: int) -> Column:
@@ -274,12 +275,13 @@ def capture_metrics(
     merged = cut(merge_intervals(targets.select("chrom", "start", "stop")))
     layers = {
         "depth": reads,
-        "unique": reads.where(~F.col("is_dup")),
+        "unique": reads,
         "target": merged,
     }
+    unique = {"unique": F.when(~F.col("is_dup"), F.lit(1)).otherwise(0).cast("long")}
     if flank:
         layers["flank"] = cut(flank_segments(merged, flank, chrom_len))
-    runs = sweep(layers).where(F.col("stop").isNotNull())
+    runs = sweep(layers, weights=unique).where(F.col("stop").isNotNull())
     size = F.col("stop") - F.col("start")
 
     def inside(cond: Column, value: Column) -> Column:
@@ -301,19 +303,23 @@ def capture_metrics(
         for c in cutoffs:
             aggs.append(inside(near & (F.col("unique") >= c), size).alias(f"f_{c}"))
     on_bases = runs.agg(*aggs)
-    hit = F.col("n_overlaps") > 0
     length = F.col("stop") - F.col("start")
-    totals = count_overlaps(reads, merged).agg(
+    totals = reads.agg(
         F.count(F.lit(1)).alias("mapped_reads"),
         inside(~F.col("is_dup"), F.lit(1)).alias("mapped_reads_rmdup"),
         F.sum(length).alias("mapped_bases"),
         inside(~F.col("is_dup"), length).alias("mapped_bases_rmdup"),
-        inside(hit, F.lit(1)).alias("target_reads"),
-        inside(hit & ~F.col("is_dup"), F.lit(1)).alias("target_reads_rmdup"),
         (F.count(F.lit(1)) * F.max("length")).alias("all_bases"),
     )
+    # reads go to the targets of their cell in one shuffle; targets in cells are more than Spark's size check knows
+    lean = reads.select("chrom", "start", "stop", "is_dup").hint("merge")
+    hits = overlap_join(lean, merged, "semi", bin_size=TARGET_BIN).agg(
+        F.count(F.lit(1)).alias("target_reads"), inside(~F.col("is_dup"), F.lit(1)).alias("target_reads_rmdup")
+    )
     c = F.col
-    one = totals.crossJoin(F.broadcast(on_bases))  # one row each
+    # one row each; as scalars, what a caller selects nothing from is not computed
+    one = on_bases.select("*", *[x.select(F.struct("*")).scalar().alias(n) for n, x in (("_all", totals), ("_hit", hits))])
+    one = one.select("*", "_all.*", "_hit.*")
     out = [
         "target_size", "mapped_reads", "mapped_reads_rmdup", "target_reads", "target_reads_rmdup",
         "target_bases", "target_bases_rmdup",

@@ -2,6 +2,8 @@
 
 import __spark_entry__ as contract
 import pytest
+from pyspark.sql import functions as F
+from strandwise.functions.running import sweep
 from strandwise.operators import assay as ay
 from strandwise.operators import cohort as ch
 from strandwise.operators import copynumber as cn
@@ -151,3 +153,19 @@ def test_targets_are_not_broadcast_to_one_task(spark, tmp_path):
     out = iv.best_overlap(targets, calls, key=["name"], order=["start", "stop", "ps"])
     assert {r["name"]: r["ps"] for r in out.collect()} == {1: "b", 2: None}
     assert "BroadcastHashJoin [chrom" not in _plan(iv.best_overlap(targets, calls, key=["name"], order=["start", "stop", "ps"]))
+
+
+def test_capture_metrics_cut_reads_once_and_join_them_once(spark, monkeypatch):
+    reads = spark.createDataFrame(
+        [("chr1", 0, 10, False, 10), ("chr1", 5, 15, True, 10), ("chr1", 18, 20, False, 10), ("chr1", 20, 25, None, 10), ("chr2", 0, 10, False, 10)],
+        "chrom string, start long, stop long, is_dup boolean, length long")
+    targets = spark.createDataFrame([("chr1", 8, 12), ("chr1", 10, 14), ("chr1", 24, 30)], "chrom string, start long, stop long")
+    got = cv.capture_metrics(reads, targets, cutoffs=(1, 2)).first()
+    assert (got["target_size"], got["target_bases"], got["target_bases_rmdup"]) == (12, 9, 2)
+    assert (got["mapped_reads"], got["mapped_reads_rmdup"], got["target_reads"], got["target_reads_rmdup"]) == (5, 3, 3, 1)
+    assert (got["coverage_1x"], got["coverage_2x"], got["coverage_1x_rmdup"]) == (700 / 12, 200 / 12, 200 / 12)
+    events = sweep({"depth": reads, "unique": reads}, weights={"unique": F.when(~F.col("is_dup"), 1).otherwise(0)})
+    assert sum("explode(" in line for line in events._jdf.queryExecution().analyzed().toString().split("\n")) == 2  # rows and blocks
+    monkeypatch.setattr(iv, "count_overlaps_of", None)  # it joined the reads with the counts at either end
+    monkeypatch.setattr(cv, "count_overlaps_of", None)
+    assert cv.capture_metrics(reads, targets).first()["target_reads"] == 3
