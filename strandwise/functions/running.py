@@ -121,8 +121,8 @@ def sweep(
     Returns runs ``(keys, start, stop, <layer>…)`` with one cover column per
     layer (the number of intervals, or the summed weight).  ``marks`` holds extra
     positions ``(keys, pos)`` at which a run must begin.  Each interval becomes
-    two events, which layers of the same DataFrame share, that are summed per position on the map side, so a pile-up at one
-    locus shrinks to one row before it is shuffled.
+    two events that are summed per position on the map side, so a pile-up at one
+    locus shrinks to one row before it is shuffled; layers of one DataFrame share them.
     """
     keys, weights = list(keys), dict(weights or {})
     names = list(layers)
