@@ -4,8 +4,8 @@ Suffixes are ordered by their first ``depth`` bytes only, one digit after the ot
 group that lies in one document leaves at once. A suffix's digits are read from its anchor
 outwards (see ``suffixes``): the anchor itself, then the whole run it travels in, then half
 a window on one side of the anchor, then the window. Equal groups after the last digit are
-exactly the repeated windows. Each pass is a grouping with partial sums before the shuffle,
-so a group as large as a third of all suffixes costs one row per task.
+exactly the repeated windows. The first two digits share one shuffle, in which a run stands
+once for each document, so a group as large as a third of all suffixes costs one row per document.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise.llm.common import discard, scratch, written
@@ -67,49 +67,43 @@ def _among(values: np.ndarray, names: np.ndarray) -> np.ndarray:
     return found
 
 
-def _anchors(depth: int):
-    """``(anchor, low, high)``: anchors with the least and the largest document among some rows."""
+def _distinct(doc: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Places of the distinct pairs, hardly any of them twice."""
+    order = np.argsort(_of(content, doc))
+    doc, content = doc[order], content[order]
+    return order[np.concatenate((np.ones(min(1, len(order)), bool), (doc[1:] != doc[:-1]) | (content[1:] != content[:-1])))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, docs, texts in _groups(batches):
-            for r in runs(texts, depth):
-                order = np.argsort(r.anchor, kind="stable")
-                a, d = r.anchor[order], docs[r.text[order]]
-                first = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1])))
-                yield pa.record_batch(
-                    [_longs(a[first]), _longs(np.minimum.reduceat(d, first)), _longs(np.maximum.reduceat(d, first))],
-                    ["anchor", "low", "high"],
-                )
 
-    return run
-
-
-def _occurrences(depth: int):
-    """``(anchor, doc)`` of every run."""
+def _named(depth: int):
+    """``(anchor, content, doc)`` of every run, mostly once for each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, docs, texts in _groups(batches):
             for r in runs(texts, depth):
-                yield pa.record_batch([_longs(r.anchor), _longs(docs[r.text])], ["anchor", "doc"])
+                doc, content = docs[r.text], r.names(np.arange(len(r.first)))
+                rows = _distinct(doc, content)
+                yield pa.record_batch([_longs(r.anchor[rows]), _longs(content[rows]), _longs(doc[rows])], ["anchor", "content", "doc"])
 
     return run
 
 
-def _contents(depth: int):
-    """``(doc, anchor, content, right, left)`` of the runs whose anchors are listed; null where a half is empty."""
+def _halves(depth: int):
+    """``(anchor, content, right, left, low)`` of the listed runs, ``low`` being their document; null where a half is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, docs, texts in _groups(batches):
-            wanted = np.unique(_flat(part.column(2))[0])
+            listed = np.unique(_of(*_flat(part.column(2))))
             for r in runs(texts, depth):
-                rows = np.flatnonzero(_among(r.anchor, wanted))
+                content = r.names(np.arange(len(r.first)))
+                rows = np.flatnonzero(_among(_of(content, r.text), listed))
+                rows = rows[_distinct(r.text[rows], content[rows])]
                 right, left, right_name, left_name = r.halves(rows)
                 yield pa.record_batch(
                     [
-                        _longs(docs[r.text[rows]]), _longs(r.anchor[rows]), _longs(r.names(rows)),
-                        pa.array(right_name.view(np.int64), mask=~right), pa.array(left_name.view(np.int64), mask=~left),
+                        _longs(r.anchor[rows]), _longs(content[rows]), pa.array(right_name.view(np.int64), mask=~right),
+                        pa.array(left_name.view(np.int64), mask=~left), _longs(docs[r.text[rows]]),
                     ],
-                    ["doc", "anchor", "content", "right", "left"],
+                    ["anchor", "content", "right", "left", "low"],
                 )
 
     return run
@@ -179,29 +173,20 @@ def repeats(docs: DataFrame, depth: int = 50) -> DataFrame:
         folders[name] = scratch(df.sparkSession)
         return written(df, folders[name])
 
-    first = docs.mapInArrow(_anchors(depth), "anchor long, low long, high long")
-    shared = first.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    shared = kept("shared", shared.select("anchor"))
-    seen = docs.mapInArrow(_occurrences(depth), "anchor long, doc long")
-    # the anchors of a partition are distinct, so the hash table is bounded; hot ones are split on the other side
-    listed = seen.join(shared.hint("shuffle_hash"), "anchor").groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))
-    listed = kept("listed", listed)
-    schema = "doc long, anchor long, content long, right long, left long"
-    found = docs.join(listed.hint("shuffle_hash"), "doc").select("doc", "text", "anchors").mapInArrow(_contents(depth), schema)
-    found = kept("found", found)
-    discard([folders["shared"], folders["listed"]])
-    groups = found.groupBy("anchor", "content").agg(
-        F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("right").alias("right"), F.first("left").alias("left"))
-    groups = kept("groups", groups)
-    # a run that starts in a smaller document goes as a whole
-    again = groups.where("low < high").select("anchor", "content", "low")
-    gone = found.select("doc", "anchor", "content").join(again.hint("shuffle_hash"), ["anchor", "content"]).where("low < doc")
-    gone = kept("gone", gone.groupBy("doc").agg(F.collect_set("content").alias("contents")))
+    # a run is one row of one shuffle; a hot anchor has as many rows as there are documents and contents with it
+    seen = docs.mapInArrow(_named(depth), "anchor long, content long, doc long").repartition("anchor")
+    content, anchor = Window.partitionBy("anchor", "content"), Window.partitionBy("anchor")
+    marked = seen.withColumn("low", F.min("doc").over(content))
     # a run's first document has to ask window by window, where other runs share its anchor and then half a window
-    several = groups.groupBy("anchor").agg(F.min("low").alias("a"), F.max("low").alias("b")).where("a < b").select("anchor")
-    unsure = groups.join(several.hint("shuffle_hash"), "anchor", "left_semi").drop("high")
+    marked = marked.withColumn("several", F.min("low").over(anchor) < F.max("low").over(anchor)).where("low < doc or several")
+    marked = kept("marked", marked.select("content", "doc", (F.col("low") < F.col("doc")).alias("gone")))
+    # a run that starts in a smaller document goes as a whole
+    gone = kept("gone", marked.where("gone").groupBy("doc").agg(F.collect_set("content").alias("contents")))
+    asking = marked.where("not gone").groupBy("doc").agg(F.collect_set("content").alias("contents"))
+    schema = "anchor long, content long, right long, left long, low long"
+    unsure = docs.join(asking.hint("shuffle_hash"), "doc").select("doc", "text", "contents").mapInArrow(_halves(depth), schema)
     unsure = kept("unsure", unsure)
-    discard([folders["found"], folders["groups"]])
+    discard([folders["marked"]])
     sides = F.array(
         F.struct(F.lit(True).alias("is_right"), F.col("right").alias("half")), F.struct(F.lit(False).alias("is_right"), F.col("left").alias("half")))
     halves = unsure.select("anchor", "content", "low", F.explode(sides).alias("s")).select("anchor", "content", "low", "s.*").where("half is not null")
@@ -212,13 +197,15 @@ def repeats(docs: DataFrame, depth: int = 50) -> DataFrame:
         F.collect_set(F.when(~F.col("is_right"), F.col("content"))).alias("lefts"))
     windows = docs.join(asked.hint("shuffle_hash"), "doc").select("doc", "text", "rights", "lefts")
     windows = kept("windows", windows.mapInArrow(_windows(depth), "anchor long, window long, doc long"))
-    least = windows.groupBy("anchor", "window").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high")
-    single = windows.join(least.drop("high").hint("shuffle_hash"), ["anchor", "window"]).where("low < doc")
+    discard([folders["unsure"]])
+    # shuffled once for the least document and for the rows themselves
+    alike = Window.partitionBy("anchor", "window")
+    single = windows.withColumn("low", F.min("doc").over(alike)).where("low < doc")
     single = single.groupBy("doc").agg(F.collect_set("window").alias("windows"))
     none = F.array().cast("array<long>")
     told = written(gone.join(single, "doc", "full").select(
         "doc", F.coalesce("contents", none).alias("contents"), F.coalesce("windows", none).alias("windows")))
-    discard([folders[name] for name in ("gone", "unsure", "windows")])
+    discard([folders[name] for name in ("gone", "windows")])
     return told
 
 

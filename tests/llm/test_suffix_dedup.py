@@ -2,11 +2,14 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandwise.llm import suffix_dedup, suffixes
+from strandwise.llm.common import FOLDERS
 from strandwise.llm.suffix_dedup import _among, deduplicate, removed_bytes
 from strandwise.llm.suffixes import runs
 
@@ -127,3 +130,17 @@ def test_names_are_found_among_others(count):
     values[:4] = [0, (1 << 64) - 1, 7, 7]
     names = np.unique(values[: 2 * count : 2]) if count else values[:0]
     assert (_among(values, names) == np.isin(values, names)).all()
+
+
+def test_runs_are_not_kept_beside_the_texts(spark, monkeypatch):
+    sizes, keep = [], suffix_dedup.written
+
+    def told(df, folder=None):
+        out = keep(df, folder)
+        sizes.append(sum(f.stat().st_size for f in Path((folder or FOLDERS[-1]).removeprefix("file://")).iterdir()))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", told)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    deduplicate(docs)
+    assert sum(sizes) < 0.8 * docs.agg(F.sum(F.octet_length("text"))).first()[0], sizes
