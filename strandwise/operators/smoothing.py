@@ -120,10 +120,8 @@ def _served(x: np.ndarray, r: np.ndarray, lo: float, hi: float) -> np.ndarray:
     return ((lo >= x) | (hi <= x)) & (lo >= x - r) & (hi <= x + r)
 
 
-def _by_moments(x, r, lo, hi, mw, my) -> np.ndarray:
-    """The five weighted sums of a node for every x, in units of its radius."""
-    mid, half = (lo + hi) / 2, (hi - lo) / 2 or 1.0
-    side = np.where(lo >= x, 1.0, -1.0)
+def _by_moments(x, r, side, mid, half, mw, my) -> np.ndarray:
+    """The five weighted sums of a node for every x, in units of its radius; ``side`` is 1 where the node is above x, else -1."""
     a, b = side * (mid - x) / r, side * half / r
     w, y = _shift(mw, a, b), _shift(my, a, b)
 
@@ -141,35 +139,63 @@ def _by_values(x, r, xs, ws, wys) -> np.ndarray:
     return np.stack([t @ ws, tu @ ws, (tu * u) @ ws, t @ wys, tu @ wys], axis=1)
 
 
+def _by_far(x, r, side: float, nodes: list[tuple]) -> np.ndarray:
+    """The sums of ``nodes`` (``lo, hi, mw, my``) that are all on one side of every x and within reach of it.
+
+    Where the block and the nodes are small beside the radii, the moments are first added up about the block's middle.
+    """
+    lo, hi = (np.array([n[i] for n in nodes]) for i in (0, 1))
+    mid, half = (lo + hi) / 2, np.where(hi > lo, (hi - lo) / 2, 1.0)
+    centre, least = (x[0] + x[-1]) / 2, r.min()
+    unit = max(np.abs(lo - centre).max(), np.abs(hi - centre).max())
+    if len(nodes) > 1 and unit > 0 and unit <= 1.25 * least and x[-1] - x[0] <= 0.5 * least:
+        # of a single value only the first moment is not zero, so that its unit plays no part
+        mw, my = (_shift(np.stack([n[i] for n in nodes]), (mid - centre) / unit, half / unit).sum(axis=0) for i in (2, 3))
+        return _by_moments(x, r, side, centre, unit, mw, my)
+    return sum(_by_moments(x, r, side, m, h, n[2], n[3]) for m, h, n in zip(mid, half, nodes))
+
+
 def _sums(keys: list[str], leaf: bool):
     """Function of (block of x, node) pairs -> sums per x, those of a batch added up."""
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            at, places, values = [], [], []
-            for i, row in enumerate(pdf.to_dict("records")):
-                x, r = np.asarray(row["tx"]), np.asarray(row["tr"])
+            blocks = {}  # x, radius, sums, which x have any, far nodes by side
+            for row in pdf.to_dict("records"):
+                name = (*(row[c] for c in keys), row["block"])
+                if name not in blocks:
+                    x = np.asarray(row["tx"])
+                    blocks[name] = x, np.asarray(row["tr"]), np.zeros((len(x), 5)), np.zeros(len(x), bool), {1.0: [], -1.0: []}
+                x, r, sums, hit, far = blocks[name]
                 lo, hi, up_lo, up_hi = row["lo"], row["hi"], row["up_lo"], row["up_hi"]
                 open_ = (r > 0) & (lo < x + r) & (hi > x - r)
                 if not np.isnan(up_lo):
                     open_ &= ~_served(x, r, up_lo, up_hi)
                 whole = open_ & _served(x, r, lo, hi)
-                sums = np.zeros((len(x), 5))
-                if whole.any():
-                    sums[whole] = _by_moments(x[whole], r[whole], lo, hi, np.asarray(row["mw"]), np.asarray(row["my"]))
+                mw, my = np.asarray(row["mw"]), np.asarray(row["my"])
+                if whole.all() and (lo >= x[-1] or hi <= x[0]):
+                    far[1.0 if lo >= x[-1] else -1.0].append((lo, hi, mw, my))
+                elif whole.any():
+                    sums[whole] += _by_moments(
+                        x[whole], r[whole], np.where(lo >= x[whole], 1.0, -1.0), (lo + hi) / 2, (hi - lo) / 2 or 1.0, mw, my)
                 part = open_ & ~whole
                 if leaf and part.any():
-                    sums[part] = _by_values(x[part], r[part], *(np.asarray(row[c]) for c in ("xs", "ws", "wys")))
-                hit = np.flatnonzero(open_ if leaf else whole)
-                if len(hit):
-                    at.append(np.full(len(hit), i))
-                    places.append(row["block"] * LEAF + hit)
-                    values.append(sums[hit])
-            if at:
-                frame = pdf[keys].iloc[np.concatenate(at)].reset_index(drop=True)
+                    sums[part] += _by_values(x[part], r[part], *(np.asarray(row[c]) for c in ("xs", "ws", "wys")))
+                hit |= open_ if leaf else whole
+            names, places, values = [], [], []
+            for name, (x, r, sums, hit, far) in blocks.items():
+                for side, nodes in far.items():
+                    if nodes:
+                        sums += _by_far(x, r, side, nodes)
+                at = np.flatnonzero(hit)
+                names += [name[:-1]] * len(at)
+                places.append(name[-1] * LEAF + at)
+                values.append(sums[at])
+            if names:
+                frame = pd.DataFrame(names, columns=keys)
                 frame["d"] = np.concatenate(places)
                 frame[list(_PARTS)] = np.concatenate(values)
-                yield frame.groupby([*keys, "d"], as_index=False, sort=False).sum()
+                yield frame
 
     return add
 

@@ -90,3 +90,24 @@ def test_r_square(spark):
     a = frame[frame["g"] == "a"]
     fit = plain(a["x"], a["y"], 0.3, 3)
     assert got == {"a": round(1 - ((a["y"] - fit) ** 2).sum() / ((a["y"] - a["y"].mean()) ** 2).sum(), 4), "b": None}
+
+
+def test_far_nodes_are_added_up_once(monkeypatch):
+    from strandwise.operators import smoothing
+
+    rng, calls, plain_moments = np.random.default_rng(5), [], smoothing._by_moments
+    xs = np.sort(rng.uniform(0, 1000, 40 * smoothing.LEAF)).reshape(40, -1)
+    ws, wys = rng.uniform(0, 1, xs.shape), rng.normal(size=xs.shape)
+    leaves = pd.DataFrame({"g": "a", "node": np.arange(40), "xs": list(xs), "ws": list(ws), "wys": list(wys)})
+    leaves = next(smoothing._leaf_moments(iter([leaves])))
+    x = xs[20]
+    radius = np.full(len(x), 300.0)
+    pairs = leaves.assign(block=20, tx=[x] * 40, tr=[radius] * 40, up_lo=np.nan, up_hi=np.nan)
+    monkeypatch.setattr(smoothing, "_by_moments", lambda *a: calls.append(1) or plain_moments(*a))
+    got = next(smoothing._sums(["g"], True)(iter([pairs]))).sort_values("d")
+    want = smoothing._by_values(x, radius, xs.ravel(), ws.ravel(), wys.ravel())
+    np.testing.assert_allclose(got[list(smoothing._PARTS)].to_numpy(), want, rtol=1e-11, atol=1e-9)
+    assert got["d"].tolist() == list(range(20 * smoothing.LEAF, 21 * smoothing.LEAF)) and len(calls) <= 6
+    # a radius far below the reach of the sums keeps every node by itself
+    near = [(x[-1], x[-1] + 1, *map(np.asarray, (np.ones(12), np.ones(12))))] * 2
+    np.testing.assert_allclose(smoothing._by_far(x, np.full(len(x), 5.0), 1.0, near), 2 * smoothing._by_far(x, np.full(len(x), 5.0), 1.0, near[:1]))
