@@ -14,6 +14,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from strandwise.llm.common import written
+from strandwise.llm.common import FOLDERS, discard, written
 from strandwise.llm.graph import components
 
 TABLES = 8
@@ -33,6 +34,8 @@ UNIT = 0.7
 #: Unit of the two projections whose cells gather bunches; it sets the cost, not the result.
 BUNCH_UNIT = 1.0
 SEED = 8
+#: Shares of the candidates that are verified one after the other, as every pair takes its two vectors along.
+SHARES = 8
 #: Slack in radians where bounds on angles decide.
 SLACK = 1e-6
 
@@ -140,7 +143,20 @@ def _bunches(vectors: DataFrame, least: float) -> DataFrame:
 
 
 def _candidates(members: DataFrame, tables: int, probes: int, unit: float) -> DataFrame:
-    """Pairs ``(a, b)``, ``a < b``, of leaders with members in a cell and in a cell probed."""
+    """Pairs ``(a, b)``, ``a < b``, of leaders with members in a cell and in a cell probed.
+
+    The cells of one table after the other are shuffled and joined, so that those of one are on disk at a time.
+    """
+    before = len(FOLDERS)
+    parts = [written(_met(members, t, probes, unit)) for t in range(tables)]
+    old = FOLDERS[before:]
+    pairs = written(reduce(DataFrame.union, parts).distinct())
+    discard(old)
+    return pairs
+
+
+def _met(members: DataFrame, t: int, probes: int, unit: float) -> DataFrame:
+    """The pairs of table ``t``."""
 
     def rows(wanted: bool):
         around = neighbours()
@@ -151,18 +167,17 @@ def _candidates(members: DataFrame, tables: int, probes: int, unit: float) -> Da
                 for numbers, x in _units(batch.column(1)):
                     for low in range(0, len(numbers), 1024):
                         part, who = x[low : low + 1024], leader[numbers[low : low + 1024]]
-                        for t in range(tables):
-                            y = part @ projection(x.shape[1], t, unit)
-                            cell = decode(y)
-                            if wanted:  # the cell itself and the nearest of its neighbours
-                                order = np.argpartition(-((y - cell) @ around.T), probes - 1, axis=1)[:, :probes]
-                                cell = np.concatenate([cell[:, None], cell[:, None] + around[order]], axis=1)
-                                name = np.repeat(who, probes + 1)
-                            else:
-                                name = who
-                            # members of a bunch mostly share their cells
-                            both = np.unique(np.stack([cell_keys(cell, x.shape[1], t).ravel(), name]), axis=1)
-                            yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], ["cell", "leader"])
+                        y = part @ projection(x.shape[1], t, unit)
+                        cell = decode(y)
+                        if wanted:  # the cell itself and the nearest of its neighbours
+                            order = np.argpartition(-((y - cell) @ around.T), probes - 1, axis=1)[:, :probes]
+                            cell = np.concatenate([cell[:, None], cell[:, None] + around[order]], axis=1)
+                            name = np.repeat(who, probes + 1)
+                        else:
+                            name = who
+                        # members of a bunch mostly share their cells
+                        both = np.unique(np.stack([cell_keys(cell, x.shape[1], t).ravel(), name]), axis=1)
+                        yield pa.record_batch([pa.array(both[0]), pa.array(both[1])], ["cell", "leader"])
 
         return members.select("leader", "v").mapInArrow(run, "cell long, leader long").distinct()
 
@@ -186,7 +201,9 @@ def near_duplicates(
     their own; an empty table gives no rows; further columns are ignored.
     """
     edge = math.acos(least)
-    source = vectors.select(F.col(vec_id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    # tasks reckon in doubles either way
+    kind = "array<float>" if dict(vectors.dtypes)[vector] == "array<float>" else "array<double>"
+    source = vectors.select(F.col(vec_id).alias("id"), F.col(vector).cast(kind).alias("v"))
     source = source.withColumn("ok", _valid(F.col("v")))
     good = source.where("ok")
     classes = written(
@@ -202,8 +219,7 @@ def near_duplicates(
             F.col("leader").alias(s), F.col("v").alias(f"v{s}"), F.col("radius").alias(f"r{s}"), F.col("rows").alias(f"n{s}"))
         for s in "ab"
     }
-    pairs = _candidates(members, tables, probes, unit).join(sides["a"], "a").join(sides["b"], "b").where("size(va) = size(vb)")
-    pairs = cosines(pairs, "va", "vb")
+    pairs = _candidates(members, tables, probes, unit)
     angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("cosine"))))
     reach = F.col("ra") + F.col("rb")
     single = reach == 0
@@ -211,7 +227,12 @@ def near_duplicates(
         F.when(single, F.when(F.col("cosine") >= least, "all").otherwise("none"))
         .when(angle + reach <= edge - SLACK, "all").when(angle - reach > edge + SLACK, "none").otherwise("some")
     )
-    pairs = written(pairs.withColumn("verdict", verdict).where("verdict <> 'none'").select("a", "b", "na", "nb", "verdict"))
+    shares = []
+    for share in range(SHARES):
+        part = pairs.where(F.pmod(F.xxhash64("a"), F.lit(SHARES)) == share).join(sides["a"], "a").join(sides["b"], "b").where("size(va) = size(vb)")
+        part = cosines(part, "va", "vb").withColumn("verdict", verdict).where("verdict <> 'none'")
+        shares.append(written(part.select("a", "b", "na", "nb", "verdict")))
+    pairs = reduce(DataFrame.union, shares)
     whole = pairs.where("verdict = 'all'")
     one, other = (
         members.select(F.col("leader").alias(s), F.col("cls").alias(f"c{s}"), F.col("v").alias(f"v{s}"), F.col("n").alias(f"n{s}"))

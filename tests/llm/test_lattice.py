@@ -82,3 +82,25 @@ def test_chains_link_through(spark):
     rows = [(100 - i, [math.cos(i * step), math.sin(i * step), 0.0, 0.0]) for i in range(15)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert sorted(map(tuple, near_duplicates(df).collect())) == plain([r[0] for r in rows], [r[1] for r in rows])
+
+
+def test_candidates_do_not_all_lie_on_disk_at_once(spark, monkeypatch):
+    from strandwise.llm import lattice
+
+    plans, keep = [], lattice.written
+
+    def told(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, *args)
+
+    monkeypatch.setattr(lattice, "written", told)
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(60, 16)).astype(np.float32)
+    x[30:] = x[:30] + 0.01
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = lattice.near_duplicates(docs).orderBy("vec_id").collect()
+    assert [r.component_id for r in got] == [*range(30), *range(30)]
+    # the cells of one table, or the cosines of one share of the pairs; not all cells and the cosines
+    held = [{c for c in ("cell", "verdict") if f"{c}#" in p} for p in plans]
+    assert (held.count({"cell"}), held.count({"cell", "verdict"})) == (lattice.TABLES, 0), held
+    assert held.count({"verdict"}) >= lattice.SHARES, held
